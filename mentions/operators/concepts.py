@@ -24,7 +24,8 @@ def _typed(concepts: DataFrame, concept_type: str, validate: bool) -> DataFrame:
 
 
 def _counts(concepts: DataFrame) -> DataFrame:
-    return concepts.groupBy("concept").agg(C.sum_or_zero("freq").alias("count"))
+    # pandas' groupby leaves NULL keys out; so do we.
+    return concepts.filter(F.col("concept").isNotNull()).groupBy("concept").agg(C.sum_or_zero("freq").alias("count"))
 
 
 def _total(concepts: DataFrame) -> Column:
@@ -134,7 +135,7 @@ def concept_frequencies(concepts: DataFrame, max_concepts: int = 200, concept_ty
     Type filter first, then ``concept_filter``; columns ``concept, freq``.
     """
     typed = apply_concept_filter(_typed(concepts, concept_type, validate), concept_filter)
-    counts = typed.groupBy("concept").agg(C.sum_or_zero("freq").alias("freq"))
+    counts = _counts(typed).withColumnRenamed("count", "freq")
     top = counts.orderBy(F.col("freq").desc(), F.col("concept").asc_nulls_last()).limit(max_concepts)
     return top.orderBy(F.col("freq").asc(), F.col("concept").desc_nulls_first())
 
@@ -152,7 +153,7 @@ def frequency_relevance(concepts: DataFrame, names=None, n: int | None = 15, con
         names = None
     if names is not None:
         typed = C.keep_names(typed, "concept", names)
-    agg = typed.groupBy("concept").agg(
+    agg = typed.filter(F.col("concept").isNotNull()).groupBy("concept").agg(
         C.sum_or_zero("freq").alias("frequency"), F.avg("relevance_score").alias("relevance"))
     if names is None:
         return C.top_k(agg.filter(F.col("relevance").isNotNull()), "relevance", "concept", n)

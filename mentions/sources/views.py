@@ -259,6 +259,12 @@ WHERE tok <> '' GROUP BY conv_id, turn, tok, role""",
 
 
 def with_views(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with the named views as CTEs."""
+    """Prefix ``sql`` with the named views as CTEs.
+
+    ``sql`` may start with ``, more_cte AS (...)`` to add its own CTEs.
+    """
+    if not names:
+        body = sql.lstrip()
+        return "WITH " + body[1:].lstrip() if body.startswith(",") else body
     ctes = ",\n".join(f"{n} AS (\n{VIEW_SQL[n]}\n)" for n in names)
     return f"WITH {ctes}\n{sql}"

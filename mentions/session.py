@@ -54,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set(CHECKPOINT_KEY, current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def scratch_dir(spark: SparkSession, tag: str = "scratch") -> str:
+    """A fresh folder under the shared checkpoint directory.
+
+    Intermediate files go to the cluster's shared folder, never to a
+    machine-local temp dir that other executors cannot see.
+    """
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/mentions-{tag}/{uuid.uuid4().hex}"

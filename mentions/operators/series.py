@@ -65,12 +65,10 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
         hi = bounds.select("hi").scalar()
         stop = F.date_add(hi, step) if is_date else F.timestamp_add("MICROSECOND", F.lit(step), hi)
     else:
-        lo, hi = interval
-        start, stop = F.lit(lo), F.lit(hi)
-        if is_date:
-            start, stop = start.cast("date"), stop.cast("date")
-        else:
-            start, stop = start.cast("timestamp_ntz"), stop.cast("timestamp_ntz")
+        # ISO text casts keep the bounds independent of any time zone.
+        lo, hi = (v.isoformat(sep=" ") if isinstance(v, dt.datetime) else str(v) for v in interval)
+        kind = "date" if is_date else "timestamp_ntz"
+        start, stop = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
 
     def offset(c: Column) -> Column:  # days or microseconds since start
         return F.datediff(c, start) if is_date else F.timestamp_diff("MICROSECOND", start, c)

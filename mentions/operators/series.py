@@ -83,11 +83,12 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     wanted = C.keep_names(concepts, "concept", names if isinstance(names, DataFrame) else C.as_name_list(names))
     dated = wanted.select("doc_id", "concept", "freq").join(
         date_info.select("doc_id", F.col(date_col).alias("_date")), "doc_id", "left")
-    if missing_dates == "drop":
-        dated = dated.filter(F.col("_date").isNotNull())
-    else:
-        dated = dated.filter(F.when(F.col("_date").isNull(), F.raise_error(
-            F.concat(F.lit("no date for document "), F.col("doc_id").cast("string")))).otherwise(F.lit(True)))
+    # A filter that raised on a NULL date would let Catalyst turn the outer
+    # join into an inner one (the tick filter below rejects NULLs) and drop
+    # the rows silently; the check is therefore its own scalar subquery
+    # (lowest undated document id), evaluated once and applied to the output.
+    first_missing = dated.filter(F.col("_date").isNull()).agg(F.min("doc_id")).scalar()
+    dated = dated.filter(F.col("_date").isNotNull())
     ticked = dated.select("concept", "freq", F.floor(offset(F.col("_date")) / F.lit(step)).cast("long").alias("tick"))
     counts = (ticked.filter((F.col("tick") >= 0) & (F.col("tick") < n_ticks))
               .groupBy("concept", "tick").agg(C.sum_or_zero("freq").alias("count")))
@@ -95,7 +96,11 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     ticks = F.when(n_ticks > 0, F.sequence(F.lit(0), n_ticks - 1)).otherwise(F.array().cast("array<int>"))
     grid = (requests.select("ord", "concept", F.explode(ticks).alias("tick"))
             .withColumn("tick", F.col("tick").cast("long")))
-    return (grid.join(counts, ["concept", "tick"], "left")
+    out = (grid.join(counts, ["concept", "tick"], "left")
             .select("ord", "concept", at(F.col("tick")).alias("start"), at(F.col("tick") + 1).alias("stop"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
             .orderBy("ord", "start"))
+    if missing_dates == "error":
+        failure = F.raise_error(F.concat(F.lit("no date for document "), first_missing.cast("string")))
+        out = out.withColumn("count", F.when(first_missing.isNull(), F.col("count")).otherwise(failure))
+    return out

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from mentions.operators import flatten as FL
 from mentions.plans.registry import r, register, rounded
-from mentions.sources.views import Raw, with_views
+from mentions.sources.views import Raw, stored_folder, with_views
 
 
 def _lines(raw: Raw) -> DataFrame:
@@ -44,7 +44,23 @@ def _ordered(items: str) -> F.Column:
 
 
 def nested_orders(spark, sf_dir: str, single_document: bool = True) -> DataFrame:
-    """Analysis rows (schema ``ANALYSIS``) built from lineitem, one per order."""
+    """Analysis rows (schema ``ANALYSIS``) built from lineitem, one per order.
+
+    When the views of ``sf_dir`` are materialised, the nested rows are
+    read from there (``analyses.parquet``) instead of being rebuilt.
+    """
+    folder = stored_folder(sf_dir)
+    if folder:
+        stored = spark.read.parquet(f"{folder}/analyses.parquet")
+        return stored.withColumn("single_document", F.lit(single_document))
+    return build_nested_orders(spark, sf_dir, single_document)
+
+
+def materialize_nested(spark, sf_dir: str, folder: str) -> None:
+    build_nested_orders(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/analyses.parquet")
+
+
+def build_nested_orders(spark, sf_dir: str, single_document: bool = True) -> DataFrame:
     lines = _lines(Raw(spark, sf_dir))
     text = ["ok", "t"]
 

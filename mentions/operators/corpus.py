@@ -21,6 +21,13 @@ def _typed(concepts: DataFrame, concept_type: str, validate: bool) -> DataFrame:
     return C.type_equals(concepts, "concept_type", concept_type)
 
 
+def bag_counts(concepts: DataFrame, concept_type: str = "", validate: bool = True) -> DataFrame:
+    """``doc_id, concept, count``: the bag contents without term frequencies."""
+    typed = _typed(concepts, concept_type, validate).filter(F.col("concept").isNotNull())
+    return (typed.groupBy("doc_id", "concept").agg(C.sum_or_zero("freq").alias("count"))
+            .filter(F.col("count") > 0))
+
+
 def concept_bags(concepts: DataFrame, concept_type: str = "", validate: bool = True) -> DataFrame:
     """AG-20: ``doc_id, concept, count, tf`` with ``tf = count / bag size``.
 
@@ -29,9 +36,7 @@ def concept_bags(concepts: DataFrame, concept_type: str = "", validate: bool = T
     over each document), so a document holding a large share of all rows is
     split by AQE's skew-join handling instead of landing in one task.
     """
-    typed = _typed(concepts, concept_type, validate).filter(F.col("concept").isNotNull())
-    counts = (typed.groupBy("doc_id", "concept").agg(C.sum_or_zero("freq").alias("count"))
-              .filter(F.col("count") > 0))
+    counts = bag_counts(concepts, concept_type, validate)
     sizes = counts.groupBy("doc_id").agg(F.sum("count").alias("_size"))
     return (counts.join(sizes, "doc_id", "inner")
             .select("doc_id", "concept", "count", (F.col("count") / F.col("_size")).alias("tf")))
@@ -48,9 +53,8 @@ def idf(concepts: DataFrame, concept_type: str = "", names=None, validate: bool
     With ``names`` it is a lookup instead: ``ord, concept, idf`` in request
     order with ``idf = 0`` for names no bag holds.
     """
-    bags = concept_bags(concepts, concept_type, validate)
     n_docs = document_count(concepts)
-    df = bags.groupBy("concept").agg(F.count(F.lit(1)).alias("doc_freq"))
+    df = bag_counts(concepts, concept_type, validate).groupBy("concept").agg(F.count(F.lit(1)).alias("doc_freq"))
     out = df.select("concept", "doc_freq", F.log(n_docs.cast("double") / F.col("doc_freq")).alias("idf"))
     if names is None:
         return out

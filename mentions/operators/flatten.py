@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from mentions.schemas import ANALYSIS, conform
 
 CALLS_IN_ORDER = ("categories", "concepts", "sentiment", "absa")
+_LEAF_OF_CALL = {"categories": lambda: F.transform("categories", lambda t: t.getField("probability")),
+                 "concepts": lambda: F.transform("concepts", lambda t: t.getField("freq")),
+                 "sentiment": lambda: F.col("sentiment.sentiment_value"),
+                 "absa": lambda: F.col("absa.normalized_text")}
 
 
 def analysis_length(single: Column | None = None) -> Column:
@@ -29,33 +33,41 @@ def analysis_length(single: Column | None = None) -> Column:
     sentiment, absa. A present but empty list consumes 0.
     """
     single = F.coalesce(F.col("single_document"), F.lit(False)) if single is None else single
-    sizes = [F.when(F.col(c).isNotNull(), F.size(F.col(c))) for c in reversed(CALLS_IN_ORDER)]
+    # Each size reads one small leaf of its call (nested schema pruning), not the whole nested column.
+    sizes = [F.when(F.col(c).isNotNull(), F.size(_LEAF_OF_CALL[c]())) for c in reversed(CALLS_IN_ORDER)]
     return F.when(single, F.lit(1)).otherwise(F.coalesce(*sizes, F.lit(1))).cast("long")
 
 
-def assign_doc_ids(analyses: DataFrame, buckets: int | None = None, seq: str = "seq") -> DataFrame:
+# Sizing of the first pass of assign_doc_ids: a bucket covers at least
+# MIN_BUCKET_WIDTH consecutive seq values, and there are at most MAX_BUCKETS.
+MIN_BUCKET_WIDTH = 1 << 22
+MAX_BUCKETS = 1 << 16
+
+
+def assign_doc_ids(analyses: DataFrame, bucket_width: int | None = None, seq: str = "seq") -> DataFrame:
     """FL-02: ``(seq, doc_base)`` with ``doc_base`` = documents used by earlier analyses.
 
-    An exclusive running sum in ``seq`` order, done in two passes so no
-    step sees the whole input in one task:
+    An exclusive running sum in ``seq`` order, done in two passes over the
+    thin ``(seq, len)`` projection only:
 
-    1. ``seq`` is cut into ``buckets`` equal-width ranges; per-bucket totals
-       are summed (at most ``buckets`` rows) and turned into bucket offsets
-       by a window over those few rows;
-    2. inside each bucket a running-sum window over ``seq`` adds the
-       offset of its bucket (a broadcast of ``buckets`` rows).
+    1. ``seq`` is cut into equal-width buckets; per-bucket totals are summed
+       (partial aggregation, then at most MAX_BUCKETS rows) and turned into
+       bucket offsets by a window over those few rows;
+    2. inside each bucket a running-sum window over ``seq`` adds the offset
+       of its bucket (a broadcast of at most MAX_BUCKETS rows).
 
-    Only the thin ``(seq, len)`` projection is shuffled. ``seq`` must be
-    unique; it is expected to be roughly dense (an input position), which
-    keeps the buckets even.
+    ``seq`` is unique, so a bucket holds at most ``width`` rows, with
+    ``width = max(MIN_BUCKET_WIDTH, range / MAX_BUCKETS)``: the window of
+    a bucket stays bounded however large the input, and so does the number
+    of buckets whatever the spread of ``seq``.
     """
-    spark = analyses.sparkSession
-    if buckets is None:
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     thin = analyses.select(F.col(seq).alias("seq"), analysis_length().alias("_len"))
-    lo = thin.agg(F.min("seq")).scalar()
-    hi = thin.agg(F.max("seq")).scalar()
-    width = F.greatest(F.ceil((hi - lo + 1) / F.lit(buckets)), F.lit(1))
+    bounds = thin.agg(F.struct(F.min("seq").alias("lo"), F.max("seq").alias("hi"))).scalar()  # one subquery
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
+    if bucket_width is None:
+        width = F.greatest(F.lit(MIN_BUCKET_WIDTH).cast("long"), F.ceil((hi - lo + 1) / F.lit(MAX_BUCKETS)))
+    else:
+        width = F.lit(int(bucket_width)).cast("long")
     thin = thin.withColumn("_bucket", F.floor((F.col("seq") - lo) / width).cast("long"))
 
     totals = thin.groupBy("_bucket").agg(F.sum("_len").alias("_total"))
@@ -70,9 +82,9 @@ def assign_doc_ids(analyses: DataFrame, buckets: int | None = None, seq: str = "
             .select("seq", (F.col("_offset") + within).cast("long").alias("doc_base")))
 
 
-def with_doc_base(analyses: DataFrame, buckets: int | None = None) -> DataFrame:
+def with_doc_base(analyses: DataFrame, bucket_width: int | None = None) -> DataFrame:
     """Attach ``doc_base`` to every analysis row (join on ``seq``)."""
-    return analyses.join(assign_doc_ids(analyses, buckets), "seq", "inner")
+    return analyses.join(assign_doc_ids(analyses, bucket_width), "seq", "inner")
 
 
 def _address(pos: Column) -> tuple[Column, Column]:
@@ -205,7 +217,7 @@ _CALL_OF = {"categories": "categories", "concepts": "concepts", "concepts_surfac
             "sentiments": "sentiment"}
 
 
-def flatten_analyses(analyses: DataFrame, buckets: int | None = None) -> dict[str, DataFrame]:
+def flatten_analyses(analyses: DataFrame, bucket_width: int | None = None) -> dict[str, DataFrame]:
     """FL-01/FL-14/FL-15: all ten tables from a DataFrame of analyses.
 
     ``analyses`` needs ``seq`` (input order) and any subset of the call
@@ -215,7 +227,7 @@ def flatten_analyses(analyses: DataFrame, buckets: int | None = None) -> dict[st
     for field in ANALYSIS.fields:
         if field.name not in analyses.columns:
             analyses = analyses.withColumn(field.name, F.lit(None).cast(field.dataType))
-    based = with_doc_base(analyses, buckets)
+    based = with_doc_base(analyses, bucket_width)
     return {name: fn(based) for name, fn in FLATTENERS.items()}
 
 

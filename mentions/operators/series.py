@@ -60,9 +60,8 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     step = _delta_days(delta) if is_date else _delta_micros(delta)
 
     if interval is None:
-        bounds = date_info.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-        start = bounds.select("lo").scalar()
-        hi = bounds.select("hi").scalar()
+        bounds = date_info.agg(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+        start, hi = bounds.getField("lo"), bounds.getField("hi")
         stop = F.date_add(hi, step) if is_date else F.timestamp_add("MICROSECOND", F.lit(step), hi)
     else:
         # ISO text casts keep the bounds independent of any time zone.
@@ -83,15 +82,19 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     wanted = C.keep_names(concepts, "concept", names if isinstance(names, DataFrame) else C.as_name_list(names))
     dated = wanted.select("doc_id", "concept", "freq").join(
         date_info.select("doc_id", F.col(date_col).alias("_date")), "doc_id", "left")
-    # A filter that raised on a NULL date would let Catalyst turn the outer
-    # join into an inner one (the tick filter below rejects NULLs) and drop
-    # the rows silently; the check is therefore its own scalar subquery
-    # (lowest undated document id), evaluated once and applied to the output.
-    first_missing = dated.filter(F.col("_date").isNull()).agg(F.min("doc_id")).scalar()
-    dated = dated.filter(F.col("_date").isNotNull())
-    ticked = dated.select("concept", "freq", F.floor(offset(F.col("_date")) / F.lit(step)).cast("long").alias("tick"))
-    counts = (ticked.filter((F.col("tick") >= 0) & (F.col("tick") < n_ticks))
-              .groupBy("concept", "tick").agg(C.sum_or_zero("freq").alias("count")))
+    # One outer join serves both the counts and the missing-date check:
+    # mentions without a date keep a NULL tick and form their own group
+    # (with the lowest undated document id). The NULL-tick test keeps the
+    # join an outer one - a filter that raised on NULL dates would let
+    # Catalyst turn it into an inner join and drop those rows silently.
+    tick = F.floor(offset(F.col("_date")) / F.lit(step)).cast("long")
+    ticked = dated.select("doc_id", "concept", "freq", tick.alias("tick"))
+    in_range = (F.col("tick") >= 0) & (F.col("tick") < n_ticks)
+    keep = in_range if missing_dates == "drop" else (F.col("tick").isNull() | in_range)
+    grouped = (ticked.filter(keep).groupBy("concept", "tick")
+               .agg(C.sum_or_zero("freq").alias("count"), F.min("doc_id").alias("_undated")))
+    counts = grouped.filter(F.col("tick").isNotNull()).select("concept", "tick", "count")
+    first_missing = grouped.filter(F.col("tick").isNull()).agg(F.min("_undated")).scalar()
 
     ticks = F.when(n_ticks > 0, F.sequence(F.lit(0), n_ticks - 1)).otherwise(F.array().cast("array<int>"))
     grid = (requests.select("ord", "concept", F.explode(ticks).alias("tick"))

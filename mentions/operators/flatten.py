@@ -38,53 +38,51 @@ def analysis_length(single: Column | None = None) -> Column:
     return F.when(single, F.lit(1)).otherwise(F.coalesce(*sizes, F.lit(1))).cast("long")
 
 
-# Sizing of the first pass of assign_doc_ids: a bucket covers at least
-# MIN_BUCKET_WIDTH consecutive seq values, and there are at most MAX_BUCKETS.
-MIN_BUCKET_WIDTH = 1 << 22
-MAX_BUCKETS = 1 << 16
+# Bucket levels of assign_doc_ids: a level-1 bucket is seq >> LOW_BITS (at
+# most 2**LOW_BITS rows, seq being unique), a level-2 bucket is
+# seq >> HIGH_BITS (at most 2**(64 - HIGH_BITS) of them for a 64-bit seq).
+LOW_BITS = 22
+HIGH_BITS = 44
 
 
-def assign_doc_ids(analyses: DataFrame, bucket_width: int | None = None, seq: str = "seq") -> DataFrame:
+def _exclusive_sum(value: str, order: str, partition: str | None = None) -> Column:
+    w = Window.orderBy(order) if partition is None else Window.partitionBy(partition).orderBy(order)
+    return F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def assign_doc_ids(analyses: DataFrame, seq: str = "seq") -> DataFrame:
     """FL-02: ``(seq, doc_base)`` with ``doc_base`` = documents used by earlier analyses.
 
-    An exclusive running sum in ``seq`` order, done in two passes over the
-    thin ``(seq, len)`` projection only:
+    An exclusive running sum in ``seq`` order over the thin ``(seq, len)``
+    projection, built from three windows whose inputs all have proven size
+    bounds (``seq`` is a unique 64-bit integer):
 
-    1. ``seq`` is cut into equal-width buckets; per-bucket totals are summed
-       (partial aggregation, then at most MAX_BUCKETS rows) and turned into
-       bucket offsets by a window over those few rows;
-    2. inside each bucket a running-sum window over ``seq`` adds the offset
-       of its bucket (a broadcast of at most MAX_BUCKETS rows).
+    * level-2 totals (``seq >> 44``: at most 2**20 rows) get their offsets
+      from one window over all of them;
+    * level-1 totals (``seq >> 22``: at most 2**22 per level-2 bucket) get
+      theirs from a window per level-2 bucket plus its offset (broadcast of
+      at most 2**20 rows);
+    * rows (at most 2**22 per level-1 bucket) get theirs from a window per
+      level-1 bucket plus the bucket offset (a join on the bucket number).
 
-    ``seq`` is unique, so a bucket holds at most ``width`` rows, with
-    ``width = max(MIN_BUCKET_WIDTH, range / MAX_BUCKETS)``: the window of
-    a bucket stays bounded however large the input, and so does the number
-    of buckets whatever the spread of ``seq``.
+    No step needs the whole input in one task, nothing is collected to the
+    driver, and the result is deterministic.
     """
-    thin = analyses.select(F.col(seq).alias("seq"), analysis_length().alias("_len"))
-    bounds = thin.agg(F.struct(F.min("seq").alias("lo"), F.max("seq").alias("hi"))).scalar()  # one subquery
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    if bucket_width is None:
-        width = F.greatest(F.lit(MIN_BUCKET_WIDTH).cast("long"), F.ceil((hi - lo + 1) / F.lit(MAX_BUCKETS)))
-    else:
-        width = F.lit(int(bucket_width)).cast("long")
-    thin = thin.withColumn("_bucket", F.floor((F.col("seq") - lo) / width).cast("long"))
-
-    totals = thin.groupBy("_bucket").agg(F.sum("_len").alias("_total"))
-    offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_total").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"))
-    within = F.coalesce(
-        F.sum("_len").over(Window.partitionBy("_bucket").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))
-    return (thin.join(F.broadcast(offsets), "_bucket", "inner")
-            .select("seq", (F.col("_offset") + within).cast("long").alias("doc_base")))
-
-
-def with_doc_base(analyses: DataFrame, bucket_width: int | None = None) -> DataFrame:
+    thin = analyses.select(F.col(seq).cast("long").alias("seq"), analysis_length().alias("_len"),
+                           F.shiftright(F.col(seq).cast("long"), LOW_BITS).alias("_b1"),
+                           F.shiftright(F.col(seq).cast("long"), HIGH_BITS).alias("_b2"))
+    level1 = thin.groupBy("_b2", "_b1").agg(F.sum("_len").alias("_s1"))
+    level2 = level1.groupBy("_b2").agg(F.sum("_s1").alias("_s2"))
+    off2 = level2.select("_b2", _exclusive_sum("_s2", "_b2").alias("_o2"))
+    off1 = (level1.join(F.broadcast(off2), "_b2", "inner")
+            .select("_b1", (F.col("_o2") + _exclusive_sum("_s1", "_b1", "_b2")).alias("_o1")))
+    return (thin.join(off1, "_b1", "inner")
+            .select("seq", (F.col("_o1") + _exclusive_sum("_len", "seq", "_b1")).cast("long").alias("doc_base")))
+
+
+def with_doc_base(analyses: DataFrame) -> DataFrame:
     """Attach ``doc_base`` to every analysis row (join on ``seq``)."""
-    return analyses.join(assign_doc_ids(analyses, bucket_width), "seq", "inner")
+    return analyses.join(assign_doc_ids(analyses), "seq", "inner")
 
 
 def _address(pos: Column) -> tuple[Column, Column]:
@@ -217,7 +215,7 @@ _CALL_OF = {"categories": "categories", "concepts": "concepts", "concepts_surfac
             "sentiments": "sentiment"}
 
 
-def flatten_analyses(analyses: DataFrame, bucket_width: int | None = None) -> dict[str, DataFrame]:
+def flatten_analyses(analyses: DataFrame) -> dict[str, DataFrame]:
     """FL-01/FL-14/FL-15: all ten tables from a DataFrame of analyses.
 
     ``analyses`` needs ``seq`` (input order) and any subset of the call
@@ -227,7 +225,7 @@ def flatten_analyses(analyses: DataFrame, bucket_width: int | None = None) -> di
     for field in ANALYSIS.fields:
         if field.name not in analyses.columns:
             analyses = analyses.withColumn(field.name, F.lit(None).cast(field.dataType))
-    based = with_doc_base(analyses, bucket_width)
+    based = with_doc_base(analyses)
     return {name: fn(based) for name, fn in FLATTENERS.items()}
 
 

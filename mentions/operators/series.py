@@ -48,7 +48,8 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     ``date_info`` is ``(doc_id, <date_col>)`` of DATE (``delta`` = whole days,
     an int or a timedelta) or TIMESTAMP_NTZ (any positive timedelta).
     ``interval=None`` spans min(date) to max(date) + delta over all of
-    ``date_info``. A mention whose document has no date fails the query
+    ``date_info`` (computed by one small aggregate job; an empty
+    ``date_info`` gives a single empty tick). A mention whose document has no date fails the query
     (``missing_dates='error'``) or is left out (``'drop'``).
 
     Columns ``ord, concept, start, stop, count`` ordered by request order,
@@ -60,14 +61,17 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     step = _delta_days(delta) if is_date else _delta_micros(delta)
 
     if interval is None:
-        bounds = date_info.agg(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
-        start, hi = bounds.getField("lo"), bounds.getField("hi")
-        stop = F.date_add(hi, step) if is_date else F.timestamp_add("MICROSECOND", F.lit(step), hi)
-    else:
-        # ISO text casts keep the bounds independent of any time zone.
-        lo, hi = (v.isoformat(sep=" ") if isinstance(v, dt.datetime) else str(v) for v in interval)
-        kind = "date" if is_date else "timestamp_ntz"
-        start, stop = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
+        # The default interval is data-dependent: one small aggregate job
+        # (min and max date) fixes it, and the bounds become literals.
+        lo, hi = date_info.agg(F.min(date_col), F.max(date_col)).first()
+        if lo is None:
+            lo = hi = dt.date(1970, 1, 1)
+        hi = hi + (dt.timedelta(days=step) if is_date else dt.timedelta(microseconds=step))
+        interval = (lo, hi)
+    # ISO text casts keep the bounds independent of any time zone.
+    lo, hi = (v.isoformat(sep=" ") if isinstance(v, dt.datetime) else str(v) for v in interval)
+    kind = "date" if is_date else "timestamp_ntz"
+    start, stop = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
 
     def offset(c: Column) -> Column:  # days or microseconds since start
         return F.datediff(c, start) if is_date else F.timestamp_diff("MICROSECOND", start, c)

@@ -78,7 +78,7 @@ class TableSet:
         return cls(found)
 
     @classmethod
-    def from_analyses(cls, analyses: DataFrame, bucket_width: int | None = None) -> "TableSet":
+    def from_analyses(cls, analyses: DataFrame) -> "TableSet":
         """SC-04: flatten a DataFrame of analyses (see :mod:`mentions.operators.flatten`).
 
         A table is present when its call occurs in the input schema.
@@ -86,14 +86,14 @@ class TableSet:
         from mentions.operators.flatten import flatten_analyses
 
         calls = {"categories": "categories", "concepts": "concepts", "sentiments": "sentiment", "absa": "absa"}
-        flat = flatten_analyses(analyses, bucket_width)
+        flat = flatten_analyses(analyses)
         present = {t for call, col in calls.items() if col in analyses.columns for t in CALL_TABLES[call]}
         return cls({name: df for name, df in flat.items() if name in present})
 
     @classmethod
-    def from_json(cls, spark: SparkSession, path: str, bucket_width: int | None = None) -> "TableSet":
+    def from_json(cls, spark: SparkSession, path: str) -> "TableSet":
         """SC-04: read JSON-lines analyses (one response per line, with ``seq``)."""
-        return cls.from_analyses(spark.read.schema(ANALYSIS).json(path), bucket_width)
+        return cls.from_analyses(spark.read.schema(ANALYSIS).json(path))
 
     @classmethod
     def from_sink(cls, sink) -> "TableSet":

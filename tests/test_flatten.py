@@ -33,10 +33,12 @@ def test_id_increase(spark, data, inc):
     assert bases == {0: 0, 1: inc}
 
 
-def test_doc_ids_across_buckets(spark):
-    items = [(s, {"concepts": [None] * (s % 3)}) for s in range(0, 40)]
+def test_doc_ids_across_buckets(spark, monkeypatch):
+    monkeypatch.setattr(FL, "LOW_BITS", 2)
+    monkeypatch.setattr(FL, "HIGH_BITS", 4)
+    items = [(s, {"concepts": [None] * (s % 3)}) for s in list(range(0, 40)) + [77, 1000, 1001, 5000]]
     df = analyses_df(spark, items)
-    got = {r["seq"]: r["doc_base"] for r in FL.assign_doc_ids(df, bucket_width=7).collect()}
+    got = {r["seq"]: r["doc_base"] for r in FL.assign_doc_ids(df).collect()}
     running, want = 0, {}
     for s, a in items:
         want[s] = running

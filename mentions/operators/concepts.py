@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,8 +116,6 @@ def apply_concept_filter(df: DataFrame, concept_filter, column: str = "concept")
     if isinstance(predicate, Column):
         return df.filter(predicate)
 
-    import pandas as pd
-
     fn = concept_filter
 
     @F.pandas_udf(T.BooleanType())

@@ -85,117 +85,138 @@ def with_doc_base(analyses: DataFrame) -> DataFrame:
     return analyses.join(assign_doc_ids(analyses), "seq", "inner")
 
 
-def _address(pos: Column) -> tuple[Column, Column]:
-    single = F.coalesce(F.col("single_document"), F.lit(False))
-    doc_id = F.when(single, F.col("doc_base")).otherwise(F.col("doc_base") + pos).cast("long")
-    text_order = F.when(single, pos).otherwise(F.lit(0)).cast("int")
-    return doc_id, text_order
-
-
 def _span(c: Column) -> Column:
     return F.array_join(F.transform(c, lambda x: x.cast("string")), "-")
 
 
+def _carry(df: DataFrame) -> list[str]:
+    """Columns each exploded row keeps until it is addressed in :func:`_finish`."""
+    base = "doc_base" if "doc_base" in df.columns else "seq"
+    return [base, "single_document"]
+
+
 def _texts(df: DataFrame, call: str) -> DataFrame:
-    """One row per text of ``call``: ``doc_id, text_order, item``."""
-    exploded = df.select("doc_base", "single_document", F.posexplode(call).alias("_pos", "item"))
-    doc_id, text_order = _address(F.col("_pos"))
-    return exploded.select(doc_id.alias("doc_id"), text_order.alias("text_order"), "item")
+    """One row per text of ``call``: carried columns, ``_pos`` and ``item``."""
+    return df.select(*_carry(df), F.posexplode(call).alias("_pos", "item"))
+
 
+def _finish(rows: DataFrame, name: str, bases: DataFrame | None) -> DataFrame:
+    """Give exploded rows their ``doc_id``/``text_order`` and the table schema (FL-03).
 
-def flatten_categories(df: DataFrame) -> DataFrame:
+    Without ``doc_base`` on the rows, the analysis bases are joined on
+    ``seq`` here, after exploding: only the narrow output rows of this one
+    table are shuffled, never the whole nested analyses.
+    """
+    if "doc_base" not in rows.columns:
+        rows = rows.join(bases, "seq", "inner")
+    single = F.coalesce(F.col("single_document"), F.lit(False))
+    pos = F.col("_pos")
+    doc_id = F.when(single, F.col("doc_base")).otherwise(F.col("doc_base") + pos).cast("long")
+    text_order = F.when(single, pos).otherwise(F.lit(0)).cast("int")
+    return conform(rows.withColumn("doc_id", doc_id).withColumn("text_order", text_order), name)
+
+
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c in ("doc_base", "seq", "single_document", "_pos")]
+
+
+def flatten_categories(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-04: ``categories`` rows (label -> category)."""
-    t = _texts(df, "categories").select("doc_id", "text_order", F.explode("item").alias("c"))
-    return conform(t.select("doc_id", "text_order", F.col("c.label").alias("category"),
-                            F.col("c.probability").alias("probability")), "categories")
+    t = _texts(df, "categories")
+    c = t.select(*_keys(t), F.explode("item").alias("c"))
+    return _finish(c.select(*_keys(c), F.col("c.label").alias("category"),
+                            F.col("c.probability").alias("probability")), "categories", bases)
 
 
 def _concepts(df: DataFrame) -> DataFrame:
-    return _texts(df, "concepts").select("doc_id", "text_order", F.explode("item").alias("c"))
+    t = _texts(df, "concepts")
+    return t.select(*_keys(t), F.explode("item").alias("c"))
 
 
-def flatten_concepts(df: DataFrame) -> DataFrame:
+def flatten_concepts(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-05: ``concepts`` rows; a NULL text has no rows, missing fields are NULL."""
     c = _concepts(df)
-    return conform(c.select("doc_id", "text_order", F.col("c.concept").alias("concept"), F.col("c.freq").alias("freq"),
+    return _finish(c.select(*_keys(c), F.col("c.concept").alias("concept"), F.col("c.freq").alias("freq"),
                             F.col("c.relevance_score").alias("relevance_score"),
-                            F.col("c.type").alias("concept_type")), "concepts")
+                            F.col("c.type").alias("concept_type")), "concepts", bases)
 
 
-def flatten_concept_surface_strings(df: DataFrame) -> DataFrame:
+def flatten_concept_surface_strings(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-06: one row per surface occurrence of a concept."""
-    s = _concepts(df).select("doc_id", "text_order", F.col("c.concept").alias("concept"),
-                             F.explode("c.surface").alias("s"))
-    return conform(s.select("doc_id", "text_order", "concept", F.col("s.surface_string").alias("surface_string"),
-                            _span(F.col("s.span")).alias("text_span")), "concepts_surface_strings")
+    c = _concepts(df)
+    s = c.select(*_keys(c), F.col("c.concept").alias("concept"), F.explode("c.surface").alias("s"))
+    return _finish(s.select(*_keys(s), "concept", F.col("s.surface_string").alias("surface_string"),
+                            _span(F.col("s.span")).alias("text_span")), "concepts_surface_strings", bases)
 
 
-def flatten_sentiments(df: DataFrame) -> DataFrame:
+def flatten_sentiments(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-07: one row per text."""
     t = _texts(df, "sentiment")
-    return conform(t.select("doc_id", "text_order", F.col("item.sentiment_value").alias("sentiment_value")),
-                   "sentiments")
+    return _finish(t.select(*_keys(t), F.col("item.sentiment_value").alias("sentiment_value")), "sentiments", bases)
 
 
-def flatten_absa_entities(df: DataFrame) -> DataFrame:
+def flatten_absa_entities(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-08: entity x semantics product."""
-    e = _texts(df, "absa").select("doc_id", "text_order", F.explode("item.entities").alias("e"))
-    s = e.select("doc_id", "text_order", "e.surface", F.explode("e.semantics").alias("sem"))
-    return conform(s.select("doc_id", "text_order", F.col("sem.value").alias("entity_name"),
-                            F.col("sem.type").alias("entity_type"),
+    t = _texts(df, "absa")
+    e = t.select(*_keys(t), F.explode("item.entities").alias("e"))
+    s = e.select(*_keys(e), "e.surface", F.explode("e.semantics").alias("sem"))
+    return _finish(s.select(*_keys(s), F.col("sem.value").alias("entity_name"), F.col("sem.type").alias("entity_type"),
                             F.col("surface.surface_string").alias("surface_string"),
-                            _span(F.col("surface.span")).alias("text_span")), "absa_entities")
+                            _span(F.col("surface.span")).alias("text_span")), "absa_entities", bases)
 
 
-def flatten_absa_normalized_texts(df: DataFrame) -> DataFrame:
+def flatten_absa_normalized_texts(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-09: one row per text."""
     t = _texts(df, "absa")
-    return conform(t.select("doc_id", "text_order", F.col("item.normalized_text").alias("normalized_text")),
-                   "absa_normalized_texts")
+    return _finish(t.select(*_keys(t), F.col("item.normalized_text").alias("normalized_text")),
+                   "absa_normalized_texts", bases)
 
 
 def _relations(df: DataFrame) -> DataFrame:
-    return _texts(df, "absa").select("doc_id", "text_order", F.posexplode("item.relations").alias("relation_id", "r"))
+    t = _texts(df, "absa")
+    return t.select(*_keys(t), F.posexplode("item.relations").alias("relation_id", "r"))
 
 
-def flatten_absa_relations(df: DataFrame) -> DataFrame:
+def flatten_absa_relations(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-10: position in the list = relation_id."""
     r = _relations(df)
-    return conform(r.select("doc_id", "text_order", "relation_id",
+    return _finish(r.select(*_keys(r), "relation_id",
                             F.col("r.semantics.opinion_holder").alias("opinion_holder"),
                             F.col("r.semantics.restriction").alias("restriction"),
                             F.col("r.semantics.sentiment_value").alias("sentiment_value"),
                             F.col("r.external_entity").alias("is_external"),
                             F.col("r.surface.surface_string").alias("surface_string"),
-                            _span(F.col("r.surface.span")).alias("text_span")), "absa_relations")
+                            _span(F.col("r.surface.span")).alias("text_span")), "absa_relations", bases)
 
 
-def flatten_absa_relations_entities(df: DataFrame) -> DataFrame:
+def flatten_absa_relations_entities(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-11: one row per entity of a relation."""
-    e = _relations(df).select("doc_id", "text_order", "relation_id", F.explode("r.semantics.entity").alias("e"))
-    return conform(e.select("doc_id", "text_order", "relation_id", F.col("e.type").alias("entity_type"),
-                            F.col("e.value").alias("entity_name")), "absa_relations_entities")
+    r = _relations(df)
+    e = r.select(*_keys(r), "relation_id", F.explode("r.semantics.entity").alias("e"))
+    return _finish(e.select(*_keys(e), "relation_id", F.col("e.type").alias("entity_type"),
+                            F.col("e.value").alias("entity_name")), "absa_relations_entities", bases)
 
 
 def _evaluations(df: DataFrame) -> DataFrame:
-    return _texts(df, "absa").select("doc_id", "text_order",
-                                     F.posexplode("item.evaluations").alias("evaluation_id", "v"))
+    t = _texts(df, "absa")
+    return t.select(*_keys(t), F.posexplode("item.evaluations").alias("evaluation_id", "v"))
 
 
-def flatten_absa_evaluations(df: DataFrame) -> DataFrame:
+def flatten_absa_evaluations(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-12: position in the list = evaluation_id."""
     v = _evaluations(df)
-    return conform(v.select("doc_id", "text_order", "evaluation_id",
+    return _finish(v.select(*_keys(v), "evaluation_id",
                             F.col("v.semantics.sentiment_value").alias("sentiment_value"),
                             F.col("v.surface.surface_string").alias("surface_string"),
-                            _span(F.col("v.surface.span")).alias("text_span")), "absa_evaluations")
+                            _span(F.col("v.surface.span")).alias("text_span")), "absa_evaluations", bases)
 
 
-def flatten_absa_evaluations_entities(df: DataFrame) -> DataFrame:
+def flatten_absa_evaluations_entities(df: DataFrame, bases: DataFrame | None = None) -> DataFrame:
     """FL-13: one row per entity of an evaluation."""
-    e = _evaluations(df).select("doc_id", "text_order", "evaluation_id", F.explode("v.semantics.entity").alias("e"))
-    return conform(e.select("doc_id", "text_order", "evaluation_id", F.col("e.type").alias("entity_type"),
-                            F.col("e.value").alias("entity_name")), "absa_evaluations_entities")
+    v = _evaluations(df)
+    e = v.select(*_keys(v), "evaluation_id", F.explode("v.semantics.entity").alias("e"))
+    return _finish(e.select(*_keys(e), "evaluation_id", F.col("e.type").alias("entity_type"),
+                            F.col("e.value").alias("entity_name")), "absa_evaluations_entities", bases)
 
 
 FLATTENERS = {
@@ -215,18 +236,21 @@ _CALL_OF = {"categories": "categories", "concepts": "concepts", "concepts_surfac
             "sentiments": "sentiment"}
 
 
-def flatten_analyses(analyses: DataFrame) -> dict[str, DataFrame]:
+def flatten_analyses(analyses: DataFrame, bases: DataFrame | None = None) -> dict[str, DataFrame]:
     """FL-01/FL-14/FL-15: all ten tables from a DataFrame of analyses.
 
     ``analyses`` needs ``seq`` (input order) and any subset of the call
-    columns; missing call columns count as absent calls. Cache the input
-    (or write it) when several of the returned tables are computed.
+    columns; missing call columns count as absent calls. Each table explodes
+    only the nested fields it needs and then joins the thin ``(seq,
+    doc_base)`` table (``bases``, computed by :func:`assign_doc_ids` when
+    not given; cache it when several tables are computed).
     """
     for field in ANALYSIS.fields:
         if field.name not in analyses.columns:
             analyses = analyses.withColumn(field.name, F.lit(None).cast(field.dataType))
-    based = with_doc_base(analyses)
-    return {name: fn(based) for name, fn in FLATTENERS.items()}
+    if bases is None:
+        bases = assign_doc_ids(analyses)
+    return {name: fn(analyses, bases) for name, fn in FLATTENERS.items()}
 
 
 def flatten_call(items: DataFrame, call: str, doc_base: Column | int = 0, single_document: bool = False
@@ -239,5 +263,8 @@ def flatten_call(items: DataFrame, call: str, doc_base: Column | int = 0, single
     """
     base = F.lit(doc_base) if isinstance(doc_base, int) else doc_base
     df = items.select(F.col(call), base.cast("long").alias("doc_base"), F.lit(single_document).alias("single_document"))
+    for field in ANALYSIS.fields:
+        if field.name not in df.columns and field.name != "seq":
+            df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
     names = [n for n, c in _CALL_OF.items() if c == call] if call != "absa" else [n for n in FLATTENERS if n.startswith("absa")]
     return {n: FLATTENERS[n](df) for n in names}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from mentions.operators import flatten as FL
 from mentions.plans.registry import r, register, rounded
+from mentions.sources.tables import TableSet
 from mentions.sources.views import Raw, stored_folder, with_views
 
 
@@ -149,7 +150,7 @@ SELECT d.new_doc AS doc_id, x.new_text AS text_order, {cols} FROM {view} v {join
 def _flat(name: str):
     def run(spark, sf_dir):
         analyses = nested_orders(spark, sf_dir)
-        return rounded(FL.flatten_analyses(analyses)[name])
+        return rounded(TableSet.from_analyses(analyses)[name])
     return run
 
 
@@ -201,3 +202,15 @@ FROM (SELECT ok, COUNT(DISTINCT t) AS n FROM lines GROUP BY ok) s"""))
 def doc_id_assignment(spark, sf_dir):
     """Multi-document mode: every text of an order is its own document."""
     return FL.assign_doc_ids(nested_orders(spark, sf_dir, single_document=False))
+
+
+@register("flatten_call_sentiments", ids=("FL-16", "FL-07", "D26"), oracle=with_views(f"""
+, {_BASE}
+SELECT CAST(l.ok + x.new_text AS BIGINT) AS doc_id, 0 AS text_order, {r("AVG(l.l_discount)")} AS sentiment_value
+FROM lines l JOIN texts x ON l.ok = x.ok AND l.t = x.t
+GROUP BY l.ok, x.new_text"""))
+def flatten_call_sentiments(spark, sf_dir):
+    """One call's list flattened at a caller-given id (here the order key),
+    in multi-document mode: no running counter is involved."""
+    analyses = nested_orders(spark, sf_dir)
+    return rounded(FL.flatten_call(analyses, "sentiment", doc_base=F.col("seq"))["sentiments"])

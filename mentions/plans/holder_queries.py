@@ -8,7 +8,7 @@ from mentions.functions.display import remove_stopwords, with_display_names
 from mentions.operators import concepts as K
 from mentions.plans.registry import r, register, rounded
 from mentions.session import scratch_dir
-from mentions.sources.sinks import TableSink
+from mentions.sources.sinks import TableSink, ViewSink
 from mentions.sources.tables import TableSet
 from mentions.sources.views import Raw, load_views, with_views
 
@@ -95,3 +95,42 @@ SELECT doc_id, text_order, concept, freq, {r("relevance_score")} AS relevance_sc
                                                                                     "concepts"))
 def parquet_round_trip(spark, sf_dir):
     return rounded(_round_trip(spark, sf_dir, "parquet")["concepts"])
+
+
+@register("backup_round_trip", ids=("SC-02", "SK-03", "SK-01"), oracle=with_views(f"""
+SELECT {_REL_COLS} FROM absa_relations""", "absa_relations"))
+def backup_round_trip(spark, sf_dir):
+    """Write the relations, write a second (filtered) version over them, and
+    read the first version back through its time-stamped backup suffix."""
+    v = load_views(spark, sf_dir)
+    sink = TableSink(spark, scratch_dir(spark, "backup"), "parquet")
+    sink.write({"absa_relations": v["absa_relations"]})
+    newer = v["absa_relations"].filter(F.col("relation_id") == 1)
+    sink.write({"absa_relations": newer})
+    suffix = sink.backed_up[0].rsplit("_", 1)[-1]
+    return rounded(TableSet.from_path(spark, sink.path, "parquet", backup_suffix=suffix)["absa_relations"])
+
+
+@register("view_sink_round_trip", ids=("SK-02", "SC-03"), oracle=with_views("""
+SELECT category, CAST(COUNT(*) AS BIGINT) AS n FROM categories GROUP BY category""", "categories"))
+def view_sink_round_trip(spark, sf_dir):
+    """Tables registered as session views and queried back with SQL."""
+    sink = ViewSink(spark, prefix="mentions_check_")
+    sink.write(_set(spark, sf_dir, "categories"))
+    return spark.sql("SELECT category, CAST(COUNT(*) AS BIGINT) AS n FROM mentions_check_categories GROUP BY category")
+
+
+def _suffix_predicate(name: str) -> bool:
+    """A plain Python predicate (runs in a pandas UDF on distinct names)."""
+    text = str(name)
+    return text.endswith("ion") and len(text) > 5
+
+
+@register("python_filtered_frequencies", ids=("UD-01", "PF-11", "AG-05"), oracle=with_views(f"""
+SELECT concept, freq FROM (
+  SELECT concept, CAST(COALESCE(SUM(freq), 0) AS BIGINT) AS freq FROM token_concepts
+  WHERE concept_type = '{ROLE}' AND concept LIKE '%ion' AND length(concept) > 5
+  GROUP BY concept ORDER BY freq DESC, concept LIMIT 25) t""", "token_concepts"))
+def python_filtered_frequencies(spark, sf_dir):
+    tokens = load_views(spark, sf_dir)["token_concepts"]
+    return K.concept_frequencies(tokens, max_concepts=25, concept_type=ROLE, concept_filter=_suffix_predicate)

@@ -49,10 +49,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     under the system temp dir and registered with the session.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None)
+    if not current:
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on a Connect session
+            current = None
     if not current:
         current = tempfile.mkdtemp(prefix="mentions-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, current)
-    spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.sparkContext.setCheckpointDir(current)
+        except Exception:
+            pass
     return current
 
 

@@ -44,7 +44,9 @@ def backup(spark: SparkSession, root: str, names, fmt: str = "parquet", now: dt.
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    writer = df.write.mode("errorifexists")
+    # Overwrite only ever meets a failed earlier attempt of this same write:
+    # existing outputs were moved aside by backup() first.
+    writer = df.write.mode("overwrite")
     if fmt == "csv":
         (writer.option("header", True).option("escape", '"').option("emptyValue", "")
          .csv(path))

@@ -8,7 +8,7 @@ from tests.conftest import SF_SMALL
 
 QUERIES = E.queries()
 EXECUTES_WHILE_BUILDING = {"stream_ingest", "stream_concept_counts", "csv_round_trip", "parquet_round_trip"}
-PYTHON_ALLOWED = {"batch_texts"}
+PYTHON_ALLOWED = {"batch_texts", "python_filtered_frequencies"}
 TOP_K = ["most_common_concepts", "least_common_concepts", "co_occurring_concepts", "frequency_relevance",
          "most_common_entities", "co_occurring_entities", "best_rated_entities", "worst_rated_entities",
          "main_category", "surface_forms", "concept_frequencies"]

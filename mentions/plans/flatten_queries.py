@@ -178,7 +178,7 @@ for _name, (_view, _cols, _ids) in _FLAT.items():
     if _view is None:
         continue
     _rel = "relation_id" if "relation_id" in _cols else ("evaluation_id" if "evaluation_id" in _cols else None)
-    register(f"flatten_{_name}", ids=_ids + ("FL-01", "FL-02", "FL-03", "FL-15"), oracle=_flat_sql(_view, _cols, _rel))(
+    register(f"flatten_{_name}", ids=_ids + ("FL-01", "FL-02", "FL-03", "FL-15", "SC-04"), oracle=_flat_sql(_view, _cols, _rel))(
         _flat(_name))
 
 

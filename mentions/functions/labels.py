@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Display renames applied after capitalising a category name.
+# Display renames applied after capitalising a category name,
+# the word pattern of camel-case names (a word, then an optional hyphen) and
+# the default key labels.
 CATEGORY_RENAMES = {"Auto": "Automotive", "Hr": "HR"}
+CAMEL_WORD = r"([A-Z][a-z]*|[0-9]+)(-?)"
+DEFAULT_CONCEPT_LABEL = "Concept"
+DEFAULT_ENTITY_LABEL = "Entity"
 
 
 def capitalize(c: Column) -> Column:
@@ -23,7 +28,7 @@ def category_label(c: Column) -> Column:
     return out
 
 
-def type_label(c: Column, default: str = "Concept") -> Column:
+def type_label(c: Column, default: str = DEFAULT_CONCEPT_LABEL) -> Column:
     """SF-08: ``feature_subjective`` -> ``FeatureSubjective``; ``''``/NULL -> ``default``.
 
     Each ``_``-separated part is capitalised (first letter upper, rest
@@ -42,7 +47,7 @@ def split_camel_case(c: Column) -> Column:
     longer than one character that does not end in ``-``. Other characters
     are dropped.
     """
-    words = F.regexp_extract_all(c, F.lit(r"([A-Z][a-z]*|[0-9]+)(-?)"), 0)
+    words = F.regexp_extract_all(c, F.lit(CAMEL_WORD), 0)
     spaced = F.transform(
         words, lambda w: F.when(w.endswith("-") | (F.length(w) <= 1), w).otherwise(F.concat(w, F.lit(" "))))
     return F.trim(F.array_join(spaced, ""))

@@ -31,9 +31,7 @@ def request_overhead(analyses) -> int:
     unknown = [a for a in analyses if a not in ANALYSES]
     if unknown:
         raise ValueError(f"No support for {', '.join(unknown)} analyses")
-    frame = json.dumps({"texts": ["%%mark%%"], "analyses": analyses})
-    head, tail = frame.split('"%%mark%%"')
-    return len(head) + len(tail)
+    return len(json.dumps({"texts": [], "analyses": analyses}))
 
 
 def text_cost(text: str | None) -> int:

@@ -100,12 +100,12 @@ def parquet_round_trip(spark, sf_dir):
 @register("backup_round_trip", ids=("SC-02", "SK-03", "SK-01"), oracle=with_views(f"""
 SELECT {_REL_COLS} FROM absa_relations""", "absa_relations"))
 def backup_round_trip(spark, sf_dir):
-    """Write the relations, write a second (filtered) version over them, and
+    """Write the relations, write a second (changed) version over them, and
     read the first version back through its time-stamped backup suffix."""
     v = load_views(spark, sf_dir)
     sink = TableSink(spark, scratch_dir(spark, "backup"), "parquet")
     sink.write({"absa_relations": v["absa_relations"]})
-    newer = v["absa_relations"].filter(F.col("relation_id") == 1)
+    newer = v["absa_relations"].withColumn("surface_string", F.upper("surface_string"))
     sink.write({"absa_relations": newer})
     suffix = sink.backed_up[0].rsplit("_", 1)[-1]
     return rounded(TableSet.from_path(spark, sink.path, "parquet", backup_suffix=suffix)["absa_relations"])

@@ -88,26 +88,28 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
         date_info.select("doc_id", F.col(date_col).alias("_date")), "doc_id", "left")
     # One outer join serves both the counts and the missing-date check:
     # mentions without a date keep a NULL tick and form their own group
-    # (with the lowest undated document id). The NULL-tick test keeps the
+    # (holding the lowest undated document id). The NULL-tick test keeps the
     # join an outer one - a filter that raised on NULL dates would let
     # Catalyst turn it into an inner join and drop those rows silently.
     tick = F.floor(offset(F.col("_date")) / F.lit(step)).cast("long")
     ticked = dated.select("doc_id", "concept", "freq", tick.alias("tick"))
     in_range = (F.col("tick") >= 0) & (F.col("tick") < n_ticks)
     keep = in_range if missing_dates == "drop" else (F.col("tick").isNull() | in_range)
-    grouped = (ticked.filter(keep).groupBy("concept", "tick")
-               .agg(C.sum_or_zero("freq").alias("count"), F.min("doc_id").alias("_undated")))
-    counts = grouped.filter(F.col("tick").isNotNull()).select("concept", "tick", "count")
-    first_missing = grouped.filter(F.col("tick").isNull()).agg(F.min("_undated")).scalar()
+    counts = (ticked.filter(keep).groupBy("concept", "tick")
+              .agg(C.sum_or_zero("freq").alias("count"), F.min("doc_id").alias("_undated")))
 
     ticks = F.when(n_ticks > 0, F.sequence(F.lit(0), n_ticks - 1)).otherwise(F.array().cast("array<int>"))
     grid = (requests.select("ord", "concept", F.explode(ticks).alias("tick"))
             .withColumn("tick", F.col("tick").cast("long")))
-    out = (grid.join(counts, ["concept", "tick"], "left")
+    # With missing_dates='error' the grid is FULL-joined: the NULL-tick group
+    # (never equal to a grid key) comes out as an unmatched row and fails the
+    # query; no separate pass over the mentions is needed.
+    how = "left" if missing_dates == "drop" else "full"
+    count = F.coalesce(F.col("count"), F.lit(0)).cast("long")
+    if missing_dates == "error":
+        failure = F.raise_error(F.concat(F.lit("no date for document "), F.col("_undated").cast("string")))
+        count = F.when(F.col("tick").isNull(), failure).otherwise(count)
+    return (grid.join(counts, ["concept", "tick"], how)
             .select("ord", "concept", at(F.col("tick")).alias("start"), at(F.col("tick") + 1).alias("stop"),
-                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+                    count.alias("count"))
             .orderBy("ord", "start"))
-    if missing_dates == "error":
-        failure = F.raise_error(F.concat(F.lit("no date for document "), first_missing.cast("string")))
-        out = out.withColumn("count", F.when(first_missing.isNull(), F.col("count")).otherwise(failure))
-    return out

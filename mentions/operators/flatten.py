@@ -236,6 +236,14 @@ _CALL_OF = {"categories": "categories", "concepts": "concepts", "concepts_surfac
             "sentiments": "sentiment"}
 
 
+def complete_analyses(analyses: DataFrame) -> DataFrame:
+    """Add the missing call columns as NULL (absent calls)."""
+    for field in ANALYSIS.fields:
+        if field.name not in analyses.columns:
+            analyses = analyses.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return analyses
+
+
 def flatten_analyses(analyses: DataFrame, bases: DataFrame | None = None) -> dict[str, DataFrame]:
     """FL-01/FL-14/FL-15: all ten tables from a DataFrame of analyses.
 
@@ -245,9 +253,7 @@ def flatten_analyses(analyses: DataFrame, bases: DataFrame | None = None) -> dic
     doc_base)`` table (``bases``, computed by :func:`assign_doc_ids` when
     not given; cache it when several tables are computed).
     """
-    for field in ANALYSIS.fields:
-        if field.name not in analyses.columns:
-            analyses = analyses.withColumn(field.name, F.lit(None).cast(field.dataType))
+    analyses = complete_analyses(analyses)
     if bases is None:
         bases = assign_doc_ids(analyses)
     return {name: fn(analyses, bases) for name, fn in FLATTENERS.items()}

@@ -42,16 +42,31 @@ class TableSet:
     """Up to ten named annotation tables (missing ones are ``None``)."""
 
     def __init__(self, tables: dict[str, DataFrame | None] | None = None, **kwargs: DataFrame | None):
+        """Tables by name; a value may also be a zero-argument callable that
+        builds the DataFrame on first access (plans are analysed lazily)."""
         given = dict(tables or {}, **kwargs)
         unknown = set(given) - set(TABLES)
         if unknown:
             raise KeyError(f"unknown tables: {sorted(unknown)}")
-        self._tables = {name: (conform(df, name) if df is not None else None) for name, df in given.items()}
-        for name in TABLES:
-            self._tables.setdefault(name, None)
-        if all(df is None for df in self._tables.values()):
+        self._tables: dict[str, object] = {name: given.get(name) for name in TABLES}
+        self._built: dict[str, DataFrame] = {}
+        if all(v is None for v in self._tables.values()):
             raise ValueError("No data provided")
 
+    def _resolve(self, name: str) -> DataFrame | None:
+        value = self._tables[name]
+        if value is None:
+            return None
+        if name not in self._built:
+            self._built[name] = conform(value() if callable(value) else value, name)
+        return self._built[name]
+
+    def _derive(self, change) -> "TableSet":
+        """A new set whose present tables are ``change(name, df)`` of ours, built lazily."""
+        def builder(name):
+            return lambda: change(name, self[name])
+        return TableSet({n: builder(n) for n in self.names()})
+
     # ---------------------------------------------------------- readers --
     @classmethod
     def from_path(cls, spark: SparkSession, path: str, fmt: str = "parquet", backup_suffix: str = "") -> "TableSet":
@@ -83,12 +98,16 @@ class TableSet:
 
         A table is present when its call occurs in the input schema.
         """
-        from mentions.operators.flatten import flatten_analyses
+        from mentions.operators import flatten as FL
 
         calls = {"categories": "categories", "concepts": "concepts", "sentiments": "sentiment", "absa": "absa"}
-        flat = flatten_analyses(analyses)
         present = {t for call, col in calls.items() if col in analyses.columns for t in CALL_TABLES[call]}
-        return cls({name: df for name, df in flat.items() if name in present})
+        full = FL.complete_analyses(analyses)
+        bases = FL.assign_doc_ids(full)
+
+        def builder(name):
+            return lambda: FL.FLATTENERS[name](full, bases)
+        return cls({name: builder(name) for name in FL.FLATTENERS if name in present})
 
     @classmethod
     def from_json(cls, spark: SparkSession, path: str) -> "TableSet":
@@ -105,13 +124,18 @@ class TableSet:
         """SC-06: a table by name; KeyError for unknown names, None when absent."""
         if name not in TABLES:
             raise KeyError(name)
-        return self._tables[name]
+        return self._resolve(name)
 
     def has(self, name: str) -> bool:
-        return self[name] is not None
+        if name not in TABLES:
+            raise KeyError(name)
+        return self._tables[name] is not None
+
+    def names(self) -> list[str]:
+        return [n for n, v in self._tables.items() if v is not None]
 
     def tables(self) -> dict[str, DataFrame]:
-        return {n: df for n, df in self._tables.items() if df is not None}
+        return {n: self[n] for n in self.names()}
 
     @property
     def concepts(self):
@@ -156,26 +180,19 @@ class TableSet:
         """
         if isinstance(document_ids, DataFrame):
             ids = document_ids.select(F.col("doc_id").cast("long")).distinct()
-
-            def keep(df):
-                return df.join(ids, "doc_id", "left_semi")
-        else:
-            wanted = sorted(set(int(i) for i in document_ids))
-            if not wanted:
-                raise ValueError("Can't use empty filter")
-
-            def keep(df):
-                return df.filter(F.col("doc_id").isin(wanted))
-        return TableSet({n: (keep(df) if df is not None else None) for n, df in self._tables.items()})
+            return self._derive(lambda _name, df: df.join(ids, "doc_id", "left_semi"))
+        wanted = sorted(set(int(i) for i in document_ids))
+        if not wanted:
+            raise ValueError("Can't use empty filter")
+        return self._derive(lambda _name, df: df.filter(F.col("doc_id").isin(wanted)))
 
     def remove_concepts(self, concepts) -> "TableSet":
         """PF-09: drop the named concepts from both concept tables (NULL names stay).
 
         Returns a new set; the original is unchanged.
         """
-        out = dict(self._tables)
-        for name in CALL_TABLES["concepts"]:
-            if out[name] is not None:
-                names = concepts if isinstance(concepts, DataFrame) else C.as_name_list(concepts)
-                out[name] = C.drop_names(out[name], "concept", names)
-        return TableSet(out)
+        names = concepts if isinstance(concepts, DataFrame) else C.as_name_list(concepts)
+
+        def change(name, df):
+            return C.drop_names(df, "concept", names) if name in CALL_TABLES["concepts"] else df
+        return self._derive(change)

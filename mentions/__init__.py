@@ -1,3 +1,11 @@
-"""mentions: PySpark operators over flattened text-annotation tables."""
+"""mentions: PySpark operators over flattened text-annotation tables.
+
+Entry points: :class:`mentions.sources.tables.TableSet` (read, filter,
+facades), :mod:`mentions.operators` (the operator functions),
+:mod:`mentions.streaming` (incremental ingest, windowed counts).
+"""
 
 __version__ = "0.1.0"
+
+from mentions.errors import NoRelevantData  # noqa: E402,F401
+from mentions.sources.tables import TableSet  # noqa: E402,F401

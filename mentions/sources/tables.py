@@ -114,6 +114,21 @@ class TableSet:
         """SC-04: read JSON-lines analyses (one response per line, with ``seq``)."""
         return cls.from_analyses(spark.read.schema(ANALYSIS).json(path))
 
+    @classmethod
+    def from_results(cls, spark: SparkSession, results) -> "TableSet":
+        """SC-04: one analysis dict, or a list of them, already held by the caller.
+
+        ``seq`` is the list position. The input is the caller's own Python
+        object (bounded by driver memory); large inputs belong in files read
+        with :meth:`from_json`.
+        """
+        items = [results] if isinstance(results, dict) else list(results)
+        rows = [dict(item, seq=i) for i, item in enumerate(items)]
+        calls = {"categories", "concepts", "sentiment", "absa"}
+        present = sorted({k for item in items for k in item if k in calls})
+        df = spark.createDataFrame(rows, ANALYSIS).select("seq", "single_document", *present)
+        return cls.from_analyses(df)
+
     @classmethod
     def from_sink(cls, sink) -> "TableSet":
         """SC-05: re-open what a :class:`mentions.sources.sinks.TableSink` wrote."""

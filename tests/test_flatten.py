@@ -103,3 +103,12 @@ def test_json_reader(spark, analysis, tmp_path):
     tables = TableSet.from_json(spark, str(path))
     assert tables["concepts"].count() == 4
     assert tables["absa_relations"].agg(F.max("doc_id")).first()[0] == 2
+
+
+def test_from_results_single_and_list(spark, analysis):
+    one = TableSet.from_results(spark, analysis)
+    assert one["categories"].count() == 60 and one["absa_relations"].count() == 1
+    two = TableSet.from_results(spark, [analysis, {"sentiment": analysis["sentiment"]}])
+    assert sorted(r[0] for r in two["sentiments"].collect()) == [0, 1, 2, 3]
+    only_concepts = TableSet.from_results(spark, {"concepts": analysis["concepts"]})
+    assert only_concepts["categories"] is None and only_concepts["concepts"].count() == 2

@@ -41,12 +41,23 @@ def _delta_micros(delta) -> int:
     return micros
 
 
+def _dates_from_dict(spark, dates: dict, date_col: str) -> DataFrame:
+    """A caller-held ``{doc_id: date}`` mapping as a ``(doc_id, date)`` table."""
+    timed = any(isinstance(v, dt.datetime) for v in dates.values())
+    kind = "timestamp_ntz" if timed else "date"
+    rows = [(int(k), v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v.isoformat())
+            for k, v in dates.items()]
+    raw = spark.createDataFrame(rows, f"doc_id long, {date_col} string")
+    return raw.select("doc_id", F.col(date_col).cast(kind).alias(date_col))
+
+
 def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta, interval=None,
                         missing_dates: str = "error", date_col: str = "doc_date") -> DataFrame:
     """Counts of each requested concept per tick, zero-filled.
 
     ``date_info`` is ``(doc_id, <date_col>)`` of DATE (``delta`` = whole days,
-    an int or a timedelta) or TIMESTAMP_NTZ (any positive timedelta).
+    an int or a timedelta) or TIMESTAMP_NTZ (any positive timedelta), or a
+    ``{doc_id: date}`` dict held by the caller.
     ``interval=None`` spans min(date) to max(date) + delta over all of
     ``date_info`` (computed by one small aggregate job; an empty
     ``date_info`` gives a single empty tick). A mention whose document has no date fails the query
@@ -57,6 +68,8 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     """
     if missing_dates not in MISSING:
         raise ValueError(f"missing_dates must be one of {MISSING}")
+    if isinstance(date_info, dict):
+        date_info = _dates_from_dict(concepts.sparkSession, date_info, date_col)
     is_date = isinstance(date_info.schema[date_col].dataType, T.DateType)
     step = _delta_days(delta) if is_date else _delta_micros(delta)
 

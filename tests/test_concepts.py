@@ -170,3 +170,12 @@ def test_facade_and_missing_data(concepts, surface_strings):
         _ = ts.absa
     with pytest.raises(NoRelevantData):
         TableSet(concepts_surface_strings=surface_strings).concepts.most_common_concepts()
+
+
+def test_time_series_from_dict(time_data):
+    concepts, _ = time_data
+    dates = {0: dt.date(2016, 1, 1), 1: dt.date(2016, 1, 5), 2: dt.date(2016, 1, 18), 3: dt.date(2016, 1, 21),
+             4: dt.date(2016, 2, 1)}
+    out = S.concept_time_series(concepts, ["Lenovo", "Samsung"], dates, dt.timedelta(days=7),
+                                (dt.date(2016, 1, 1), dt.date(2016, 1, 21)))
+    assert [r["count"] for r in out.collect()] == [2, 0, 3, 1, 0, 2]

@@ -177,3 +177,24 @@ ORDER BY 1, 2, 3""", "absa_entities", "absa_normalized_texts"))
 def entity_texts(spark, sf_dir):
     v = load_views(spark, sf_dir)
     return A.entity_texts(v["absa_entities"], v["absa_normalized_texts"], ENTITY_LOOKUP)
+
+
+@register("least_common_entities", ids=("AG-13", "PF-02", "SO-02"), oracle=with_views(f"""
+, named AS (SELECT * FROM absa_entities WHERE starts_with(entity_type, 'e') AND entity_name IS NOT NULL)
+SELECT entity_name, count, CAST(ROW_NUMBER() OVER (ORDER BY count, entity_name) AS INTEGER) AS rank
+FROM (SELECT entity_name, COUNT(*) AS count FROM named GROUP BY entity_name) t
+ORDER BY count, entity_name LIMIT {N}""", "absa_entities"))
+def least_common_entities(spark, sf_dir):
+    return A.least_common_entities(load_views(spark, sf_dir)["absa_entities"], N, "e")
+
+
+@register("co_occurring_entities_typed", ids=("AG-14", "PF-02", "PF-06"), oracle=with_views(f"""
+, anchors AS (SELECT DISTINCT doc_id, text_order FROM absa_entities WHERE lower(entity_name) = lower('{ANCHOR}')),
+counts AS (
+  SELECT e.entity_name, COUNT(*) AS count
+  FROM absa_entities e JOIN anchors a ON e.doc_id = a.doc_id AND e.text_order = a.text_order
+  WHERE lower(e.entity_name) <> lower('{ANCHOR}') AND starts_with(e.entity_type, '{PREFIX}') GROUP BY e.entity_name)
+SELECT entity_name, count, CAST(ROW_NUMBER() OVER (ORDER BY count DESC, entity_name) AS INTEGER) AS rank
+FROM counts ORDER BY count DESC, entity_name LIMIT {N}""", "absa_entities"))
+def co_occurring_entities_typed(spark, sf_dir):
+    return A.co_occurring_entities(load_views(spark, sf_dir)["absa_entities"], ANCHOR, N, PREFIX)

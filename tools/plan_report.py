@@ -1,6 +1,8 @@
 """Summarise the physical plan of every registered query.
 
-Usage: python tools/plan_report.py [sf_dir] [name ...]
+Usage: python tools/plan_report.py [--stored] [sf_dir] [name ...]
+``--stored`` first stores the derived annotation tables as parquet (as the
+bench does), so the plans show the operators rather than the derivation.
 Prints per query: number of shuffles, joins by strategy, single-partition
 exchanges, Python evaluation nodes, top-k nodes and scans.
 """
@@ -26,9 +28,19 @@ def plan_text(df) -> str:
 
 
 def main(argv):
+    stored = "--stored" in argv
+    argv = [a for a in argv if a != "--stored"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
     spark = local_session(8)
+    if stored:
+        from mentions.plans.flatten_queries import materialize_nested
+        from mentions.session import scratch_dir
+        from mentions.sources.views import materialize
+
+        folder = scratch_dir(spark, "plan-report")
+        materialize(spark, sf_dir, folder)
+        materialize_nested(spark, sf_dir, folder)
     for name, q in load_all().items():
         if only and name not in only:
             continue

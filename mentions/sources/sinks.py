@@ -97,12 +97,18 @@ class ViewSink:
         self.spark, self.prefix = spark, prefix
         self.frames: dict[str, DataFrame] = {}
 
-    def write(self, tables: TableSet | dict[str, DataFrame]) -> list[str]:
+    def write(self, tables: TableSet | dict[str, DataFrame], skip_empty: bool = True) -> list[str]:
+        """Register every present table; with ``skip_empty`` (SK-04) a table
+        without rows is left out (one ``LIMIT 1`` probe per table)."""
         frames = tables.tables() if isinstance(tables, TableSet) else {n: d for n, d in tables.items() if d is not None}
+        written = []
         for name, df in frames.items():
+            if skip_empty and df.isEmpty():
+                continue
             df.createOrReplaceTempView(f"{self.prefix}{name}")
             self.frames[name] = df
-        return list(frames)
+            written.append(name)
+        return written
 
     def open(self) -> TableSet:
         return TableSet(self.frames)

@@ -61,7 +61,8 @@ def test_sink_round_trip_and_backup(spark, concepts, absa_tables, tmp_path, fmt)
 
 def test_view_sink(spark, concepts):
     sink = ViewSink(spark, prefix="t_")
-    sink.write({"concepts": concepts})
+    assert sink.write({"concepts": concepts, "concepts_surface_strings": concepts.limit(0).selectExpr(
+        "doc_id", "text_order", "concept", "concept AS surface_string", "concept AS text_span")}) == ["concepts"]
     assert spark.sql("SELECT count(*) FROM t_concepts").first()[0] == 4
     assert sink.open()["concepts"].count() == 4
 

@@ -67,7 +67,7 @@ def co_occurring_entities(entities: DataFrame, entity: str, n: int | None = 15,
     anchor = C.same_text("entity_name", entity)
     anchors = entities.filter(anchor).select(*C.TEXT_KEY)
     others = _named(entities.filter(~F.coalesce(anchor, F.lit(False))), entity_type)
-    counts = _counts(others.join(anchors.distinct(), C.TEXT_KEY, "left_semi"))  # distinct: see co_occurring_concepts
+    counts = _counts(others.join(anchors, C.TEXT_KEY, "left_semi"))  # skew: see co_occurring_concepts
     return C.top_k(counts, "count", "entity_name", n)
 
 

@@ -142,3 +142,26 @@ def share_of(df: DataFrame, metric: str, total: Column, alias: str = "share") ->
 def sum_or_zero(column: str) -> Column:
     """SUM that yields 0 for an all-NULL group, as pandas does."""
     return F.coalesce(F.sum(column), F.lit(0)).cast("long")
+
+
+
+# Salts used by with_group_total: a hot group is spread over this many join keys.
+SALTS = 64
+
+
+def with_group_total(rows: DataFrame, group: str, split: str, value, total: str, salts: int = SALTS) -> DataFrame:
+    """Attach to every row the sum of ``value`` over its ``group``, skew-safe.
+
+    A plain "aggregate, then join back on the group key" puts all rows of
+    a hot group (say, one document holding a third of the data) into one
+    join task, and AQE cannot split that join because one side is an
+    aggregate. Here every row gets a salt from ``hash(split) mod salts``:
+    partial sums per ``(group, salt)`` (at most ``salts`` rows per group)
+    are totalled by a window over those few rows, and the join back runs on
+    ``(group, salt)``, so a hot group is spread over ``salts`` tasks.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(split)), F.lit(salts)))
+    value_col = value if isinstance(value, Column) else F.col(value)
+    parts = salted.groupBy(group, "_salt").agg(F.sum(value_col).alias("_part"))
+    totals = parts.select(group, "_salt", F.sum("_part").over(Window.partitionBy(group)).alias(total))
+    return salted.join(totals, [group, "_salt"], "inner").drop("_salt")

@@ -83,10 +83,10 @@ def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15,
     anchors = concepts.filter(anchor).select(*C.TEXT_KEY)
     others = C.type_equals(concepts.filter(~F.coalesce(anchor, F.lit(False))), "concept_type", concept_type)
     if dedupe:
-        # distinct() costs no extra shuffle (its exchange already partitions
-        # by the join key) and collapses a text that repeats the anchor many
-        # times map-side, so the build side of the join cannot be skewed.
-        joined = others.join(anchors.distinct(), C.TEXT_KEY, "left_semi")
+        # Both join inputs come straight from shuffles, which lets AQE split
+        # a hot text's partition (skew join); an aggregate (e.g. distinct())
+        # on either side would hide that pattern from AQE.
+        joined = others.join(anchors, C.TEXT_KEY, "left_semi")
     else:
         per_text = anchors.groupBy(*C.TEXT_KEY).agg(F.count(F.lit(1)).alias("_k"))
         joined = others.join(per_text, C.TEXT_KEY, "inner").withColumn("freq", F.col("freq") * F.col("_k"))

@@ -32,14 +32,13 @@ def concept_bags(concepts: DataFrame, concept_type: str = "", validate: bool = T
     """AG-20: ``doc_id, concept, count, tf`` with ``tf = count / bag size``.
 
     Only concepts with a positive count are in a bag. The bag size is a
-    per-document aggregate joined back on ``doc_id`` (rather than a window
-    over each document), so a document holding a large share of all rows is
-    split by AQE's skew-join handling instead of landing in one task.
+    salted per-document total (:func:`mentions.operators.common.with_group_total`),
+    never a window over a whole document, so a document holding a large
+    share of all rows is spread over many tasks.
     """
     counts = bag_counts(concepts, concept_type, validate)
-    sizes = counts.groupBy("doc_id").agg(F.sum("count").alias("_size"))
-    return (counts.join(sizes, "doc_id", "inner")
-            .select("doc_id", "concept", "count", (F.col("count") / F.col("_size")).alias("tf")))
+    sized = C.with_group_total(counts, "doc_id", "concept", "count", "_size")
+    return sized.select("doc_id", "concept", "count", (F.col("count") / F.col("_size")).alias("tf"))
 
 
 def document_count(concepts: DataFrame) -> Column:
@@ -66,9 +65,12 @@ def idf(concepts: DataFrame, concept_type: str = "", names=None, validate: bool
 def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True) -> DataFrame:
     """TF-IDF per document and concept: ``doc_id, concept, tf, idf, tf_idf``."""
     bags = concept_bags(concepts, concept_type, validate)
-    weights = idf(concepts, concept_type, validate=False).select("concept", "idf")
-    return (bags.join(weights, "concept", "inner")
-            .select("doc_id", "concept", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf")))
+    # Document frequency attached per row with the salted group total, so
+    # a concept found in a large share of all documents is spread over many
+    # tasks instead of one join partition.
+    with_df = C.with_group_total(bags, "concept", "doc_id", F.lit(1), "_df")
+    weight = F.log(document_count(concepts).cast("double") / F.col("_df"))
+    return with_df.select("doc_id", "concept", "tf", weight.alias("idf"), (F.col("tf") * weight).alias("tf_idf"))
 
 
 def idf_filter(concepts: DataFrame, threshold: float, concept_type: str = "", validate: bool = True):

@@ -70,7 +70,8 @@ def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True) -
     # tasks instead of one join partition.
     with_df = C.with_group_total(bags, "concept", "doc_id", F.lit(1), "_df")
     weight = F.log(document_count(concepts).cast("double") / F.col("_df"))
-    return with_df.select("doc_id", "concept", "tf", weight.alias("idf"), (F.col("tf") * weight).alias("tf_idf"))
+    return (with_df.select("doc_id", "concept", "tf", weight.alias("idf"))
+            .withColumn("tf_idf", F.col("tf") * F.col("idf")))
 
 
 def idf_filter(concepts: DataFrame, threshold: float, concept_type: str = "", validate: bool = True):

@@ -149,7 +149,7 @@ def sum_or_zero(column: str) -> Column:
 SALTS = 64
 
 
-def with_group_total(rows: DataFrame, group: str, split: str, value, total: str, salts: int = SALTS) -> DataFrame:
+def with_group_total(rows: DataFrame, group, split: str, value, total: str, salts: int = SALTS) -> DataFrame:
     """Attach to every row the sum of ``value`` over its ``group``, skew-safe.
 
     A plain "aggregate, then join back on the group key" puts all rows of
@@ -160,8 +160,9 @@ def with_group_total(rows: DataFrame, group: str, split: str, value, total: str,
     are totalled by a window over those few rows, and the join back runs on
     ``(group, salt)``, so a hot group is spread over ``salts`` tasks.
     """
+    keys = [group] if isinstance(group, str) else list(group)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(split)), F.lit(salts)))
     value_col = value if isinstance(value, Column) else F.col(value)
-    parts = salted.groupBy(group, "_salt").agg(F.sum(value_col).alias("_part"))
-    totals = parts.select(group, "_salt", F.sum("_part").over(Window.partitionBy(group)).alias(total))
-    return salted.join(totals, [group, "_salt"], "inner").drop("_salt")
+    parts = salted.groupBy(*keys, "_salt").agg(F.sum(value_col).alias("_part"))
+    totals = parts.select(*keys, "_salt", F.sum("_part").over(Window.partitionBy(*keys)).alias(total))
+    return salted.join(totals, [*keys, "_salt"], "inner").drop("_salt")

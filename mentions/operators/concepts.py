@@ -73,9 +73,10 @@ def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15,
     ``(doc_id, text_order)``: each other concept row is kept at most once,
     however often the anchor occurs in its text, and no row is multiplied.
     ``dedupe=False`` counts a text once per anchor row in it (the
-    multiplicity of the literal pandas join); the anchor rows are then
-    counted per text first and the count joined as a multiplier, so the
-    join still emits one row per other concept row.
+    multiplicity of the literal pandas join): the number of anchor rows of
+    each text is attached to its rows as a salted group total and used as a
+    multiplier, so no pair of rows is ever emitted and a hot text is spread
+    over many tasks.
     """
     if validate:
         C.require_value(concepts, "concept_type", concept_type)
@@ -88,8 +89,14 @@ def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15,
         # on either side would hide that pattern from AQE.
         joined = others.join(anchors, C.TEXT_KEY, "left_semi")
     else:
-        per_text = anchors.groupBy(*C.TEXT_KEY).agg(F.count(F.lit(1)).alias("_k"))
-        joined = others.join(per_text, C.TEXT_KEY, "inner").withColumn("freq", F.col("freq") * F.col("_k"))
+        # Anchor rows per text, attached to every row of the text as a salted
+        # group total (skew-safe), then used as a multiplier: no row pairs.
+        is_anchor = F.coalesce(anchor, F.lit(False))
+        keep = is_anchor | (F.col("concept_type") == concept_type) if concept_type else F.lit(True)
+        tagged = concepts.filter(keep).withColumn("_anchor", is_anchor.cast("long"))
+        counted = C.with_group_total(tagged, C.TEXT_KEY, "concept", "_anchor", "_k")
+        joined = (counted.filter((F.col("_anchor") == 0) & (F.col("_k") > 0))
+                  .withColumn("freq", F.col("freq") * F.col("_k")))
     counts = joined.filter(F.col("concept").isNotNull()).groupBy("concept").agg(C.sum_or_zero("freq").alias("count"))
     return C.top_k(counts, "count", "concept", n)
 

@@ -53,14 +53,16 @@ def keep_names(df: DataFrame, column: str, names) -> DataFrame:
     shuffle from the measured size of that side).
     """
     if isinstance(names, DataFrame):
-        return df.join(names.select(F.col(column)).distinct(), column, "left_semi")
+        # No distinct(): semi/anti joins ignore duplicates, and a plain
+        # shuffle on both sides lets AQE split a hot name (skew join).
+        return df.join(names.select(F.col(column)), column, "left_semi")
     return df.filter(F.col(column).isin(as_name_list(names)))
 
 
 def drop_names(df: DataFrame, column: str, names) -> DataFrame:
     """Drop rows whose ``column`` is in ``names``; NULL keys stay (pandas rule)."""
     if isinstance(names, DataFrame):
-        return df.join(names.select(F.col(column)).distinct(), column, "left_anti")
+        return df.join(names.select(F.col(column)), column, "left_anti")
     return df.filter(~F.coalesce(F.col(column).isin(as_name_list(names)), F.lit(False)))
 
 

@@ -116,7 +116,7 @@ def apply_concept_filter(df: DataFrame, concept_filter, column: str = "concept")
     if concept_filter is None:
         return df
     if isinstance(concept_filter, DataFrame):
-        return df.join(concept_filter.select(F.col("concept").alias(column)).distinct(), column, "left_semi")
+        return df.join(concept_filter.select(F.col("concept").alias(column)), column, "left_semi")
     if isinstance(concept_filter, Column):
         return df.filter(concept_filter)
     try:

@@ -194,7 +194,7 @@ class TableSet:
         the scans) or a DataFrame with a ``doc_id`` column (a left-semi join).
         """
         if isinstance(document_ids, DataFrame):
-            ids = document_ids.select(F.col("doc_id").cast("long")).distinct()
+            ids = document_ids.select(F.col("doc_id").cast("long"))  # semi join: duplicates are harmless
             return self._derive(lambda _name, df: df.join(ids, "doc_id", "left_semi"))
         wanted = sorted(set(int(i) for i in document_ids))
         if not wanted:

@@ -54,7 +54,15 @@ def nested_orders(spark, sf_dir: str, single_document: bool = True) -> DataFrame
     if folder:
         stored = spark.read.parquet(f"{folder}/analyses.parquet")
         return stored.withColumn("single_document", F.lit(single_document))
-    return build_nested_orders(spark, sf_dir, single_document)
+    # The nested input is rebuilt from lineitem (about ten shuffles); the
+    # flatten checks share one persisted copy per session and table folder.
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _NESTED:
+        _NESTED[key] = build_nested_orders(spark, sf_dir).persist()
+    return _NESTED[key].withColumn("single_document", F.lit(single_document))
+
+
+_NESTED: dict[tuple[int, str], DataFrame] = {}
 
 
 def materialize_nested(spark, sf_dir: str, folder: str) -> None:

@@ -2,11 +2,12 @@
 
 The streaming counterpart of the time-series tick rule: windows of
 ``delta`` aligned to a chosen ``start`` (``startTime`` = start modulo
-delta), one sum of ``freq`` per concept and window. With the append or
-update output mode, rows older than the watermark are dropped and the
-state of finished windows is released - a behaviour the batch operator
-does not have; the complete mode keeps every window. Zero filling stays a
-batch step (:mod:`mentions.operators.series`).
+delta), one sum of ``freq`` per concept and window. With the append
+output mode a window is emitted, and its state released, once the
+watermark has passed its end; rows older than the watermark may then be
+dropped (Spark keeps every row within the watermark) - a behaviour the
+batch operator does not have. The complete mode keeps every window. Zero
+filling stays a batch step (:mod:`mentions.operators.series`).
 """
 
 from __future__ import annotations

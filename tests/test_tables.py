@@ -91,3 +91,13 @@ def test_stopwords(concepts):
     freqs = K.concept_frequencies(concepts)
     out = {r[0] for r in remove_stopwords(freqs, ["lenovo", "SAMSUNG"]).collect()}
     assert out == {"VisualAppearance"}
+
+
+def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
+    from tests.conftest import table
+
+    texts = table(spark, "absa_normalized_texts", [(0, 0, 'He said "fine",\nthen left.'), (0, 1, "安全性能很好，很帅气。")])
+    sink = TableSink(spark, str(tmp_path / "csv"), "csv")
+    sink.write({"absa_normalized_texts": texts})
+    back = TableSet.from_sink(sink)["absa_normalized_texts"]
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in texts.collect())

@@ -101,3 +101,13 @@ def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     sink.write({"absa_normalized_texts": texts})
     back = TableSet.from_sink(sink)["absa_normalized_texts"]
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in texts.collect())
+
+
+def test_csv_keeps_number_like_and_na_names(spark, tmp_path):
+    from tests.conftest import table
+
+    rows = [(0, 0, "30", 1, 0.5, "brand"), (0, 0, "NA", 2, 0.5, "brand"), (1, 0, "null", 3, None, "brand")]
+    sink = TableSink(spark, str(tmp_path / "names"), "csv")
+    sink.write({"concepts": table(spark, "concepts", rows)})
+    back = sorted(tuple(r) for r in TableSet.from_sink(sink)["concepts"].collect())
+    assert back == sorted(rows)

@@ -415,5 +415,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
                 names=["doc_id", "row", "n_words", "n_removed", "spans", "kept"])
 
-    out = base.join(lost, ["doc_id", "version"], "left").select("doc_id", "row", "text", "starts").mapInArrow(run, schema)
+    # the row holds the text; it is sent once
+    whole = base.drop("text").join(lost, ["doc_id", "version"], "left")
+    out = whole.select("doc_id", "row", F.col("row").getField(text_col).cast("string").alias("text"), "starts").mapInArrow(run, schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))

@@ -31,7 +31,7 @@ def remove_stopwords(freqs: DataFrame, stopwords=None, column: str = "concept")
     """
     words = stopword_table(freqs.sparkSession, stopwords)
     keyed = freqs.withColumn("_word", F.lower(F.col(column)))
-    return keyed.join(F.broadcast(words), "_word", "left_anti").drop("_word")
+    return keyed.join(words, "_word", "left_anti").drop("_word")
 
 
 def with_display_names(df: DataFrame, name_col: str = "concept", type_col: str | None = "concept_type",

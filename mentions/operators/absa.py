@@ -26,7 +26,8 @@ def _counts(named: DataFrame) -> DataFrame:
 
 
 def _total(named: DataFrame):
-    return named.agg(F.count(F.lit(1))).scalar()
+    """All named mentions, summed from the counts by entity (their exchange is reused)."""
+    return _counts(named).agg(F.sum("count")).scalar()
 
 
 def entity_frequency(entities: DataFrame, entity, entity_type: str = "", normalize: bool = False) -> DataFrame:

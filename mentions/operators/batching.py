@@ -3,19 +3,20 @@
 Texts are packed, in order, into request batches whose JSON body stays
 under ``max_size`` bytes: a text costs the length of its ASCII-escaped JSON
 string literal plus one separator, a batch also pays the fixed overhead of
-the request frame. Packing is greedy and therefore sequential; it runs as a
-streaming ``mapInPandas`` over range-partitioned, sorted rows, so memory per
-task is one Arrow batch and a huge shard is spread over several tasks. A
-batch never spans two shards nor two range partitions: every batch keeps
-the input order and the size bound, and inside a partition the next text
-never fits into the previous batch.
+the request frame. Lengths are computed by Spark (:func:`text_bytes`).
+
+Packing is greedy and therefore sequential, so it runs per shard: a given
+column, or fixed ranges of ``RANGE_WIDTH`` order keys. Shards come from the
+data alone, so batches are the same at any number of partitions. A task
+streams its shards in order; memory per task is one Arrow batch.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,56 +25,73 @@ from pyspark.sql import types as T
 ANALYSES = ("concepts", "categories", "sentiment", "absa")
 MAX_REQUEST_BYTES = 1_000_000
 
+#: Order keys in one shard, where no shard column is given.
+RANGE_WIDTH = 100_000
+
 
 def request_overhead(analyses) -> int:
     """Bytes of the request frame around the texts list."""
     analyses = list(dict.fromkeys(analyses))
     unknown = [a for a in analyses if a not in ANALYSES]
     if unknown:
-        raise ValueError(f"No support for {', '.join(unknown)} analyses")
+        raise ValueError(f"unknown analyses: {', '.join(unknown)}")
     return len(json.dumps({"texts": [], "analyses": analyses}))
 
 
-def text_cost(text: str | None) -> int:
-    """Bytes one text adds to a request (JSON literal + separator)."""
-    return len(json.dumps(text)) + 1
+def text_bytes(text: Column) -> Column:
+    """Bytes one text adds to a request: its JSON literal in ASCII, and a separator.
+
+    Quotes, backslashes and the five short control escapes take two bytes,
+    other control and non-ASCII characters six, characters beyond the basic
+    plane twelve; a null is written ``null``.
+    """
+    def count(outside: str) -> Column:
+        return F.length(F.regexp_replace(text, outside, ""))
+
+    short = count(r'[^"\\\x08\x0C\n\r\t]')
+    long = count(r"[^\x00-\x07\x0B\x0E-\x1F\x{7F}-\x{FFFF}]")
+    astral = count(r"[^\x{10000}-\x{10FFFF}]")
+    return F.coalesce(F.length(text) + 3 + short + 5 * long + 11 * astral, F.lit(5)).cast("long")
 
 
 def batch_texts(texts: DataFrame, analyses=ANALYSES, max_size: int = MAX_REQUEST_BYTES, text_col: str = "text",
-                order_col: str = "doc_id", shard_col: str | None = None, partitions: int | None = None) -> DataFrame:
+                order_col: str = "doc_id", shard_col: str | None = None, range_width: int = RANGE_WIDTH) -> DataFrame:
     """Add ``batch_start`` (``order_col`` of the batch's first text) and ``text_bytes``.
 
-    Rows of one batch share ``(shard_col,) batch_start``. A text too large
-    for an empty request forms a batch of its own (``oversized`` true).
+    Rows of one batch share ``(shard, batch_start)``; the shard is
+    ``shard_col``, or else the integer ``order_col`` divided by
+    ``range_width``. A text too large for an empty request forms a batch of
+    its own (``oversized`` true). Rows with equal order keys are ordered by
+    their text.
     """
     overhead = request_overhead(analyses)
     if max_size <= overhead:
         raise ValueError("max_size leaves no room for texts")
-    keys = ([shard_col] if shard_col else []) + [order_col]
-    spark = texts.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = texts.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    out_schema = T.StructType(list(texts.schema.fields) + [
+    shard = F.col(shard_col) if shard_col else F.floor(F.col(order_col) / F.lit(float(range_width))).cast("long")
+    kept = texts.columns
+    dealt = (texts.withColumn("_shard", shard).withColumn("text_bytes", text_bytes(F.col(text_col)))
+             .repartition("_shard").sortWithinPartitions("_shard", order_col, text_col))
+    schema = T.StructType([
+        *dealt.schema.fields,
         T.StructField("batch_start", texts.schema[order_col].dataType),
-        T.StructField("text_bytes", T.LongType()),
         T.StructField("oversized", T.BooleanType()),
     ])
 
     def pack(batches):
-        fill, shard, start = None, object(), None
-        for pdf in batches:
-            costs = pdf[text_col].map(text_cost)
-            shards = pdf[shard_col] if shard_col else [None] * len(pdf)
+        fill, last, start = None, None, None
+        for batch in batches:
             starts, big = [], []
-            for s, o, c in zip(shards, pdf[order_col], costs):
-                if fill is None or s != shard or fill + c > max_size:
-                    fill, shard, start = overhead, s, o
+            for s, o, c in zip(*[batch[n].to_pylist() for n in ("_shard", order_col, "text_bytes")], strict=True):
+                if fill is None or s != last or fill + c > max_size:
+                    fill, last, start = overhead, s, o
                 fill += c
                 starts.append(start)
                 big.append(overhead + c > max_size)
-            yield pdf.assign(batch_start=starts, text_bytes=costs.astype("int64"), oversized=big)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(starts, batch[order_col].type), pa.array(big, pa.bool_())],
+                names=[*batch.schema.names, "batch_start", "oversized"])
 
-    return ranged.mapInPandas(pack, out_schema)
+    return dealt.mapInArrow(pack, schema).select(*kept, "batch_start", "text_bytes", "oversized")
 
 
 def batch_summary(batched: DataFrame, analyses=ANALYSES, order_col: str = "doc_id",

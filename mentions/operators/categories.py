@@ -45,7 +45,7 @@ def category_pie(categories: DataFrame, category_count: int = 6) -> DataFrame:
     means = (categories.filter(F.col("category").isNotNull())
              .groupBy("category").agg(F.avg("probability").alias("probability")))
     top = C.top_k(means, "probability", "category", category_count)
-    rest = means.join(F.broadcast(top.select("category")), "category", "left_anti")
+    rest = means.join(top.select("category"), "category", "left_anti")
     other = rest.agg(F.coalesce(F.sum("probability"), F.lit(0.0)).alias("probability"))
     slices = top.select(F.col("rank"), F.col("category").alias("label"), "probability").unionByName(
         other.select(F.lit(category_count + 1).alias("rank"), F.lit("other").alias("label"), "probability"))

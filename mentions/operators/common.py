@@ -2,7 +2,7 @@
 
 All functions are lazy DataFrame -> DataFrame transforms. The only place a
 job is started eagerly is :func:`require_value`, the existence probe behind
-the concept-type validation (a ``LIMIT 1`` scan with the filter pushed down).
+the concept-type validation (``take(1)`` with the filter pushed down).
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def request_table(spark: SparkSession, names, key: str) -> DataFrame:
     if isinstance(names, DataFrame):
         if "ord" in names.columns:
             return names.select(F.col("ord").cast("int"), F.col(key).cast("string"))
-        return names.select(F.lit(None).cast("int").alias("ord"), F.col(key).cast("string"))
+        raise ValueError("a DataFrame of names needs an ord column, as rows of a DataFrame have no order")
     rows = [(i, n) for i, n in enumerate(as_name_list(names))]
     schema = T.StructType([T.StructField("ord", T.IntegerType(), False), T.StructField(key, T.StringType(), True)])
     return spark.createDataFrame(rows, schema)
@@ -80,8 +80,9 @@ def type_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
 
 def require_value(df: DataFrame, column: str, value: str) -> None:
     """Raise ValueError unless ``value`` is ``''`` or occurs in ``column``."""
-    if value and df.filter(F.col(column) == value).limit(1).count() == 0:
-        raise ValueError(f'"{value}" not valid filter string')
+    # take(1) reads partitions step by step and stops at the first match
+    if value and not df.filter(F.col(column) == value).select(F.lit(1)).take(1):
+        raise ValueError(f"no row has {column} = {value!r}")
 
 
 def same_text(column: str, value: str) -> Column:
@@ -101,16 +102,41 @@ def top_k(df: DataFrame, metric: str, key: str, n: int | None, ascending: bool =
 
     With ``n`` set this is ORDER BY ... LIMIT n, which Spark runs as a
     per-partition top-n followed by a merge of at most n rows per partition
-    (TakeOrderedAndProject); a 1-based ``rank`` is then numbered over those
-    n rows only. With ``n=None`` the full result is range-sorted, no rank.
+    (TakeOrderedAndProject). With ``n=None`` the full result is
+    range-sorted. The 1-based ``rank`` comes from :func:`ranked`.
     """
     check_n(n)
     metric_order = F.col(metric).asc_nulls_last() if ascending else F.col(metric).desc_nulls_last()
     order = [metric_order, F.col(key).asc_nulls_last()]
-    if n is None:
-        return df.orderBy(*order)
-    limited = df.orderBy(*order).limit(n)
-    return limited.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("int")).orderBy("rank")
+    if n is not None and n <= RANK_ROWS:
+        limited = df.orderBy(*order).limit(n)
+        return limited.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("int")).orderBy("rank")
+    numbered = ranked(df, order)
+    return numbered if n is None else numbered.filter(F.col("rank") <= n)
+
+
+#: Rows that one window numbers directly; longer results are numbered by range partition.
+RANK_ROWS = 10_000
+
+
+def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Number the rows of ``df`` in ``order`` without one task that sees them all.
+
+    Rows are range-partitioned; each partition numbers its own, and adds the
+    sizes of the partitions before it (one row per partition). The ranges are
+    computed once and stored, so both sides see the same partitions.
+    """
+    from mentions.session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, "ranked")
+    own = Window.partitionBy("_part").orderBy(*order)
+    df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    sizes = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", before.alias("_before"))
+    numbered = kept.withColumn("_at", F.row_number().over(own)).join(offsets, "_part")
+    return numbered.withColumn("rank", (F.col("_before") + F.col("_at")).cast("int")).drop("_part", "_at", "_before").orderBy("rank")
 
 
 def lookup(requests: DataFrame, found: DataFrame, key: str, fill: dict[str, object] | None = None) -> DataFrame:
@@ -147,11 +173,25 @@ def sum_or_zero(column: str) -> Column:
 
 
 
-# Salts used by with_group_total: a hot group is spread over this many join keys.
+#: Rows that one salted join key of with_group_total should hold.
+ROWS_PER_SALT = 1_000_000
+#: Salts where the caller names no number: enough for groups of 64 million rows.
 SALTS = 64
 
 
-def with_group_total(rows: DataFrame, group, split: str, value, total: str, salts: int = SALTS) -> DataFrame:
+def salts_for(largest_group: int, rows_per_salt: int = ROWS_PER_SALT) -> int:
+    """Salts that spread a group of ``largest_group`` rows into keys of about ``rows_per_salt``."""
+    return max(1, -(-largest_group // rows_per_salt))
+
+
+def largest_group(rows: DataFrame, group) -> int:
+    """Rows of the largest group (a job: counts are combined map-side, and one row comes back)."""
+    keys = [group] if isinstance(group, str) else list(group)
+    top = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("n")).first()
+    return top.n or 0
+
+
+def with_group_total(rows: DataFrame, group, split, value, total: str, salts: int = SALTS) -> DataFrame:
     """Attach to every row the sum of ``value`` over its ``group``, skew-safe.
 
     A plain "aggregate, then join back on the group key" puts all rows of
@@ -161,9 +201,14 @@ def with_group_total(rows: DataFrame, group, split: str, value, total: str, salt
     partial sums per ``(group, salt)`` (at most ``salts`` rows per group)
     are totalled by a window over those few rows, and the join back runs on
     ``(group, salt)``, so a hot group is spread over ``salts`` tasks.
+
+    ``split`` names the columns to salt by; together with the group they
+    should tell rows apart, since equal rows get one salt. ``salts`` can be
+    sized from the data with ``salts_for(largest_group(rows, group))``.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(split)), F.lit(salts)))
+    split = [split] if isinstance(split, str) else list(split)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in split]), F.lit(salts)))
     value_col = value if isinstance(value, Column) else F.col(value)
     parts = salted.groupBy(*keys, "_salt").agg(F.sum(value_col).alias("_part"))
     totals = parts.select(*keys, "_salt", F.sum("_part").over(Window.partitionBy(*keys)).alias(total))

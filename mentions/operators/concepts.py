@@ -24,13 +24,23 @@ def _typed(concepts: DataFrame, concept_type: str, validate: bool) -> DataFrame:
     return C.type_equals(concepts, "concept_type", concept_type)
 
 
+def _by_name(concepts: DataFrame) -> DataFrame:
+    """``concept, _sum, _named``: sums by concept; rows without a name are one group, with ``_named`` 0."""
+    return concepts.groupBy("concept").agg(F.sum("freq").alias("_sum"), F.count("concept").alias("_named"))
+
+
 def _counts(concepts: DataFrame) -> DataFrame:
     # pandas' groupby leaves NULL keys out; so do we.
-    return concepts.filter(F.col("concept").isNotNull()).groupBy("concept").agg(C.sum_or_zero("freq").alias("count"))
+    return _by_name(concepts).filter("_named > 0").select("concept", F.coalesce("_sum", F.lit(0)).cast("long").alias("count"))
 
 
 def _total(concepts: DataFrame) -> Column:
-    return concepts.agg(F.sum("freq")).scalar()
+    """Sum of ``freq`` over all rows, named or not, from the sums by concept.
+
+    The plan below the sum equals that of :func:`_counts` up to its exchange,
+    so one scan and one exchange serve a ranking and its shares.
+    """
+    return _by_name(concepts).filter("_named >= 0").agg(F.sum("_sum")).scalar()
 
 
 def concept_frequency(concepts: DataFrame, concept, concept_type: str = "", normalize: bool = False,
@@ -66,7 +76,7 @@ def least_common_concepts(concepts: DataFrame, n: int | None = 15, concept_type:
 
 
 def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15, concept_type: str = "",
-                          dedupe: bool = True, validate: bool = True) -> DataFrame:
+                          dedupe: bool = True, validate: bool = True, salts: int = C.SALTS) -> DataFrame:
     """AG-04: concepts sharing a text with ``concept`` (case-insensitive), by ``sum(freq)``.
 
     The texts holding the anchor become a left-semi join on
@@ -94,24 +104,26 @@ def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15,
         is_anchor = F.coalesce(anchor, F.lit(False))
         keep = is_anchor | (F.col("concept_type") == concept_type) if concept_type else F.lit(True)
         tagged = concepts.filter(keep).withColumn("_anchor", is_anchor.cast("long"))
-        counted = C.with_group_total(tagged, C.TEXT_KEY, "concept", "_anchor", "_k")
+        # Raw rows: a concept may be repeated in a text, so all columns of a row make its salt.
+        counted = C.with_group_total(tagged, C.TEXT_KEY, tagged.columns, "_anchor", "_k", salts)
         joined = (counted.filter((F.col("_anchor") == 0) & (F.col("_k") > 0))
                   .withColumn("freq", F.col("freq") * F.col("_k")))
     counts = joined.filter(F.col("concept").isNotNull()).groupBy("concept").agg(C.sum_or_zero("freq").alias("count"))
     return C.top_k(counts, "count", "concept", n)
 
 
-ConceptFilter = Callable[[str], bool] | Column | DataFrame | Callable[[Column], Column]
+ConceptFilter = Callable[[str], bool] | Column | DataFrame
 
 
-def apply_concept_filter(df: DataFrame, concept_filter, column: str = "concept") -> DataFrame:
+def apply_concept_filter(df: DataFrame, concept_filter: ConceptFilter | None, column: str = "concept") -> DataFrame:
     """PF-11 / UD-01: keep rows whose concept passes ``concept_filter``.
 
     Accepted forms, fastest first:
       * a DataFrame with a ``concept`` column (e.g. :func:`idf_filter`): left-semi join;
-      * a Column, or a function Column -> Column: a JVM-side predicate;
-      * a plain Python predicate str -> bool: evaluated by a pandas UDF on
-        the distinct names only, then applied as a left-semi join.
+      * a Column: a JVM-side predicate;
+      * a callable: always a Python predicate str -> bool, evaluated by a
+        pandas UDF on the distinct names only, then applied as a left-semi
+        join. NULL names don't pass.
     """
     if concept_filter is None:
         return df
@@ -119,22 +131,17 @@ def apply_concept_filter(df: DataFrame, concept_filter, column: str = "concept")
         return df.join(concept_filter.select(F.col("concept").alias(column)), column, "left_semi")
     if isinstance(concept_filter, Column):
         return df.filter(concept_filter)
-    try:
-        predicate = concept_filter(F.col(column))
-    except Exception:  # a Python predicate over str cannot take a Column
-        predicate = None
-    if isinstance(predicate, Column):
-        return df.filter(predicate)
-
     fn = concept_filter
 
     @F.pandas_udf(T.BooleanType())
     def _passes(names: pd.Series) -> pd.Series:
-        return names.map(lambda s: bool(fn(s)) if s is not None else False)
+        return names.map(lambda s: bool(fn(s)))
 
-    passing = (df.select(F.col(column)).distinct().filter(F.col(column).isNotNull())
-               .filter(_passes(F.col(column))))
-    return df.join(passing, column, "left_semi")
+    # Not deterministic for the optimiser: it would else infer the same filter
+    # for the other side of the join and run it on every row.
+    passes = _passes.asNondeterministic()
+    names = df.select(F.col(column)).distinct().filter(F.col(column).isNotNull())
+    return df.join(names.filter(passes(F.col(column))), column, "left_semi")
 
 
 def concept_frequencies(concepts: DataFrame, max_concepts: int = 200, concept_type: str = "",

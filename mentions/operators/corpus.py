@@ -9,7 +9,7 @@ documents whose bag holds the concept (``sum(freq) > 0``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mentions.operators import common as C
@@ -28,16 +28,17 @@ def bag_counts(concepts: DataFrame, concept_type: str = "", validate: bool = Tru
             .filter(F.col("count") > 0))
 
 
-def concept_bags(concepts: DataFrame, concept_type: str = "", validate: bool = True) -> DataFrame:
+def concept_bags(concepts: DataFrame, concept_type: str = "", validate: bool = True, salts: int = C.SALTS) -> DataFrame:
     """AG-20: ``doc_id, concept, count, tf`` with ``tf = count / bag size``.
 
     Only concepts with a positive count are in a bag. The bag size is a
     salted per-document total (:func:`mentions.operators.common.with_group_total`),
     never a window over a whole document, so a document holding a large
-    share of all rows is spread over many tasks.
+    share of all rows is spread over ``salts`` tasks. Salting is by concept:
+    a bag holds a concept once, so its rows spread.
     """
     counts = bag_counts(concepts, concept_type, validate)
-    sized = C.with_group_total(counts, "doc_id", "concept", "count", "_size")
+    sized = C.with_group_total(counts, "doc_id", "concept", "count", "_size", salts)
     return sized.select("doc_id", "concept", "count", (F.col("count") / F.col("_size")).alias("tf"))
 
 
@@ -62,26 +63,45 @@ def idf(concepts: DataFrame, concept_type: str = "", names=None, validate: bool
     return C.lookup(requests, found.select("concept", "idf"), "concept", {"idf": 0.0})
 
 
-def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True) -> DataFrame:
-    """TF-IDF per document and concept: ``doc_id, concept, tf, idf, tf_idf``."""
-    bags = concept_bags(concepts, concept_type, validate)
-    # Document frequency attached per row with the salted group total, so
-    # a concept found in a large share of all documents is spread over many
-    # tasks instead of one join partition.
-    with_df = C.with_group_total(bags, "concept", "doc_id", F.lit(1), "_df")
-    weight = F.log(document_count(concepts).cast("double") / F.col("_df"))
-    return (with_df.select("doc_id", "concept", "tf", weight.alias("idf"))
+def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True, salts: int = C.SALTS) -> DataFrame:
+    """TF-IDF per document and concept: ``doc_id, concept, tf, idf, tf_idf``.
+
+    Bags are counted once and stored below the checkpoint folder (an eager
+    step): size, document frequency and result all read that small table
+    instead of counting anew. Both totals are salted, so a document or a
+    concept with a large share of all rows is spread over ``salts`` tasks.
+    """
+    from mentions.session import scratch_dir
+
+    spark = concepts.sparkSession
+    path = scratch_dir(spark, "bags")
+    bag_counts(concepts, concept_type, validate).write.parquet(path)
+    bags = spark.read.parquet(path)
+    doc_salt, concept_salt = (F.pmod(F.xxhash64(c), F.lit(salts)) for c in ("concept", "doc_id"))
+    sizes = _totals(bags.withColumn("_d", doc_salt), "doc_id", "_d", F.sum("count"), "_size")
+    freqs = _totals(bags.withColumn("_c", concept_salt), "concept", "_c", F.count(F.lit(1)), "_df")
+    n_docs = document_count(concepts)
+    joined = (bags.withColumn("_d", doc_salt).withColumn("_c", concept_salt)
+              .join(sizes, ["doc_id", "_d"]).join(freqs, ["concept", "_c"]))
+    return (joined.select("doc_id", "concept", (F.col("count") / F.col("_size")).alias("tf"),
+                          F.log(n_docs.cast("double") / F.col("_df")).alias("idf"))
             .withColumn("tf_idf", F.col("tf") * F.col("idf")))
 
 
-def idf_filter(concepts: DataFrame, threshold: float, concept_type: str = "", validate: bool = True):
+def _totals(rows: DataFrame, group: str, salt: str, value: Column, name: str) -> DataFrame:
+    """``group, salt, total``: a group's total beside each of its salts (at most ``salts`` rows a group)."""
+    parts = rows.groupBy(group, salt).agg(value.alias("_part"))
+    return parts.select(group, salt, F.sum("_part").over(Window.partitionBy(group)).alias(name))
+
+
+def idf_filter(concepts: DataFrame, threshold: float, concept_type: str = "", validate: bool = True) -> DataFrame:
     """AG-22: the concepts whose IDF is at least ``threshold``.
 
-    Returned as a one-column DataFrame ``concept`` to use as a
-    ``concept_filter`` (a left-semi join). Concepts outside the corpus have
-    IDF 0, so for ``threshold <= 0`` every name passes and the filter is the
-    constant-true Column instead.
+    A one-column DataFrame ``concept`` to use as a ``concept_filter`` (a
+    left-semi join). Names that no bag holds have IDF 0, so for ``threshold
+    <= 0`` they pass too: the names of the whole concepts table are added.
     """
-    if threshold <= 0:
-        return F.lit(True)
-    return idf(concepts, concept_type, validate=validate).filter(F.col("idf") >= F.lit(threshold)).select("concept")
+    passing = idf(concepts, concept_type, validate=validate).filter(F.col("idf") >= F.lit(threshold)).select("concept")
+    if threshold > 0:
+        return passing
+    return passing.unionByName(concepts.select("concept").filter(F.col("concept").isNotNull())).distinct()

@@ -13,6 +13,8 @@ document ``base + i``, text_order 0; in single-document mode it is document
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,21 +62,23 @@ def assign_doc_ids(analyses: DataFrame, seq: str = "seq") -> DataFrame:
     * level-2 totals (``seq >> 44``: at most 2**20 rows) get their offsets
       from one window over all of them;
     * level-1 totals (``seq >> 22``: at most 2**22 per level-2 bucket) get
-      theirs from a window per level-2 bucket plus its offset (broadcast of
-      at most 2**20 rows);
+      theirs from a window per level-2 bucket plus its offset;
     * rows (at most 2**22 per level-1 bucket) get theirs from a window per
       level-1 bucket plus the bucket offset (a join on the bucket number).
 
     No step needs the whole input in one task, nothing is collected to the
     driver, and the result is deterministic.
     """
-    thin = analyses.select(F.col(seq).cast("long").alias("seq"), analysis_length().alias("_len"),
-                           F.shiftright(F.col(seq).cast("long"), LOW_BITS).alias("_b1"),
-                           F.shiftright(F.col(seq).cast("long"), HIGH_BITS).alias("_b2"))
+    return _running_ids(analyses.select(F.col(seq).cast("long").alias("seq"), analysis_length().alias("_len")))
+
+
+def _running_ids(thin: DataFrame) -> DataFrame:
+    """:func:`assign_doc_ids` of rows ``seq, _len``."""
+    thin = thin.select("seq", "_len", F.shiftright("seq", LOW_BITS).alias("_b1"), F.shiftright("seq", HIGH_BITS).alias("_b2"))
     level1 = thin.groupBy("_b2", "_b1").agg(F.sum("_len").alias("_s1"))
     level2 = level1.groupBy("_b2").agg(F.sum("_s1").alias("_s2"))
     off2 = level2.select("_b2", _exclusive_sum("_s2", "_b2").alias("_o2"))
-    off1 = (level1.join(F.broadcast(off2), "_b2", "inner")
+    off1 = (level1.join(off2, "_b2", "inner")
             .select("_b1", (F.col("_o2") + _exclusive_sum("_s1", "_b1", "_b2")).alias("_o1")))
     return (thin.join(off1, "_b1", "inner")
             .select("seq", (F.col("_o1") + _exclusive_sum("_len", "seq", "_b1")).cast("long").alias("doc_base")))
@@ -244,18 +248,71 @@ def complete_analyses(analyses: DataFrame) -> DataFrame:
     return analyses
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Checked analyses, their first document ids, and what is known of them."""
+
+    analyses: DataFrame
+    bases: DataFrame
+    calls: tuple[str, ...]
+    used: int  # document ids that the analyses take up
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The tables of the calls that occur."""
+        return {name: fn(self.analyses, self.bases) for name, fn in FLATTENERS.items()
+                if _CALL_OF.get(name, "absa") in self.calls}
+
+
+def stage_analyses(analyses: DataFrame, first_id: int = 0, store: bool = True) -> Staged:
+    """FL-01/FL-02: check the analyses and hand out their document ids (an eager step).
+
+    With ``store`` one pass over the input writes the typed nested rows as
+    parquet below the checkpoint folder; ids, checks and all ten tables then
+    read only the columns they need from there. Without it the input is
+    scanned again for each table, which suits columnar input.
+
+    A thin table ``(seq, length, calls)`` is stored in either case; ids and
+    checks come from it. Raises ValueError if ``seq`` is missing, NULL or
+    repeated, as the order of analyses, and so their ids, would be undefined.
+    """
+    from mentions.session import scratch_dir
+
+    if "seq" not in analyses.columns:
+        raise ValueError("analyses need a column seq, the input order")
+    spark = analyses.sparkSession
+    root = scratch_dir(spark, "analyses")
+    rows = complete_analyses(analyses).select([f.name for f in ANALYSIS.fields])
+    if store:
+        rows.write.parquet(f"{root}/rows")
+        rows = spark.read.schema(ANALYSIS).parquet(f"{root}/rows")
+    rows.select(F.col("seq").cast("long").alias("seq"), analysis_length().alias("_len"),
+                *[F.col(c).isNotNull().alias(c) for c in CALLS_IN_ORDER]).write.parquet(f"{root}/thin")
+    thin = spark.read.parquet(f"{root}/thin")
+    seen = thin.agg(F.count(F.lit(1)).alias("n"), F.count("seq").alias("seqs"), F.sum("_len").alias("used"),
+                    *[F.max(c).alias(c) for c in CALLS_IN_ORDER]).first()
+    if seen.n != seen.seqs:
+        raise ValueError(f"{seen.n - seen.seqs} analyses without seq")
+    twice = thin.groupBy("seq").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
+    if twice:
+        raise ValueError(f"seq {twice[0].seq} occurs {twice[0].n} times")
+    _running_ids(thin).withColumn("doc_base", F.col("doc_base") + F.lit(first_id)).write.parquet(f"{root}/ids")
+    bases = spark.read.schema("seq long, doc_base long").parquet(f"{root}/ids")
+    return Staged(rows, bases, tuple(c for c in CALLS_IN_ORDER if seen[c]), seen.used or 0)
+
+
 def flatten_analyses(analyses: DataFrame, bases: DataFrame | None = None) -> dict[str, DataFrame]:
     """FL-01/FL-14/FL-15: all ten tables from a DataFrame of analyses.
 
     ``analyses`` needs ``seq`` (input order) and any subset of the call
     columns; missing call columns count as absent calls. Each table explodes
     only the nested fields it needs and then joins the thin ``(seq,
-    doc_base)`` table (``bases``, computed by :func:`assign_doc_ids` when
-    not given; cache it when several tables are computed).
+    doc_base)`` table. Without ``bases`` the analyses are staged and checked
+    first (:func:`stage_analyses`, an eager step); with them nothing is run.
     """
-    analyses = complete_analyses(analyses)
     if bases is None:
-        bases = assign_doc_ids(analyses)
+        staged = stage_analyses(analyses)
+        analyses, bases = staged.analyses, staged.bases
+    analyses = complete_analyses(analyses)
     return {name: fn(analyses, bases) for name, fn in FLATTENERS.items()}
 
 

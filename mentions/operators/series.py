@@ -2,9 +2,9 @@
 
 Ticks are half-open ``[start + k*delta, start + (k+1)*delta)``; the interval
 is stretched to a whole number of ticks, so ``n_ticks = ceil((stop - start) /
-delta)``. Each mention gets its tick number by arithmetic on its document
-date (an equi-grouping, not a range join), one grouped pass sums ``freq``
-per concept and tick, and the result is joined onto the dense grid of
+delta)``. Mentions are summed per document, get their tick number by
+arithmetic on the document's date (an equi-grouping, not a range join), and
+are summed per concept and tick. The result is joined onto the dense grid of
 requested concepts x ticks, whose size is (names requested) x (ticks
 requested) — both bounded by the caller's arguments.
 """
@@ -51,7 +51,7 @@ def _dates_from_dict(spark, dates: dict, date_col: str) -> DataFrame:
     return raw.select("doc_id", F.col(date_col).cast(kind).alias(date_col))
 
 
-def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta, interval=None,
+def concept_time_series(concepts: DataFrame, names, date_info: DataFrame | dict, delta, interval=None,
                         missing_dates: str = "error", date_col: str = "doc_date") -> DataFrame:
     """Counts of each requested concept per tick, zero-filled.
 
@@ -60,8 +60,11 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
     ``{doc_id: date}`` dict held by the caller.
     ``interval=None`` spans min(date) to max(date) + delta over all of
     ``date_info`` (computed by one small aggregate job; an empty
-    ``date_info`` gives a single empty tick). A mention whose document has no date fails the query
-    (``missing_dates='error'``) or is left out (``'drop'``).
+    ``date_info`` gives a single empty tick). A document has one date: of
+    several rows the earliest date counts, and NULL dates count as missing.
+    A mention whose document has no date raises :class:`MissingDates` (a
+    ``ValueError``) before a plan is returned (``missing_dates='error'``: one
+    small job that stops at the first such document) or is left out (``'drop'``).
 
     Columns ``ord, concept, start, stop, count`` ordered by request order,
     then time.
@@ -97,32 +100,32 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame, delta,
 
     requests = C.request_table(concepts.sparkSession, names, "concept")
     wanted = C.keep_names(concepts, "concept", names if isinstance(names, DataFrame) else C.as_name_list(names))
-    dated = wanted.select("doc_id", "concept", "freq").join(
-        date_info.select("doc_id", F.col(date_col).alias("_date")), "doc_id", "left")
-    # One outer join serves both the counts and the missing-date check:
-    # mentions without a date keep a NULL tick and form their own group
-    # (holding the lowest undated document id). The NULL-tick test keeps the
-    # join an outer one - a filter that raised on NULL dates would let
-    # Catalyst turn it into an inner join and drop those rows silently.
+    dates = date_info.groupBy("doc_id").agg(F.min(date_col).alias("_date")).filter(F.col("_date").isNotNull())
+    if missing_dates == "error":
+        require_dates(wanted, dates)
+    # Only dates inside the interval are joined (the test reaches the scan of
+    # date_info), and mentions are summed per document first.
+    n_steps = F.ceil(offset(stop).cast("double") / F.lit(float(step)))
+    inside = dates.filter((F.col("_date") >= start) & (F.col("_date") < at(n_steps)))
+    per_doc = wanted.groupBy("doc_id", "concept").agg(C.sum_or_zero("freq").alias("freq"))
     tick = F.floor(offset(F.col("_date")) / F.lit(step)).cast("long")
-    ticked = dated.select("doc_id", "concept", "freq", tick.alias("tick"))
-    in_range = (F.col("tick") >= 0) & (F.col("tick") < n_ticks)
-    keep = in_range if missing_dates == "drop" else (F.col("tick").isNull() | in_range)
-    counts = (ticked.filter(keep).groupBy("concept", "tick")
-              .agg(C.sum_or_zero("freq").alias("count"), F.min("doc_id").alias("_undated")))
-
+    counts = (per_doc.join(inside, "doc_id").groupBy("concept", tick.alias("tick"))
+              .agg(C.sum_or_zero("freq").alias("count")))
     ticks = F.when(n_ticks > 0, F.sequence(F.lit(0), n_ticks - 1)).otherwise(F.array().cast("array<int>"))
     grid = (requests.select("ord", "concept", F.explode(ticks).alias("tick"))
             .withColumn("tick", F.col("tick").cast("long")))
-    # With missing_dates='error' the grid is FULL-joined: the NULL-tick group
-    # (never equal to a grid key) comes out as an unmatched row and fails the
-    # query; no separate pass over the mentions is needed.
-    how = "left" if missing_dates == "drop" else "full"
-    count = F.coalesce(F.col("count"), F.lit(0)).cast("long")
-    if missing_dates == "error":
-        failure = F.raise_error(F.concat(F.lit("no date for document "), F.col("_undated").cast("string")))
-        count = F.when(F.col("tick").isNull(), failure).otherwise(count)
-    return (grid.join(counts, ["concept", "tick"], how)
+    return (grid.join(counts, ["concept", "tick"], "left")
             .select("ord", "concept", at(F.col("tick")).alias("start"), at(F.col("tick") + 1).alias("stop"),
-                    count.alias("count"))
+                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
             .orderBy("ord", "start"))
+
+
+class MissingDates(ValueError):
+    """A requested concept is mentioned in a document without a date."""
+
+
+def require_dates(mentions: DataFrame, dates: DataFrame) -> None:
+    """Raise unless every mention's document is in ``dates`` (``take(1)`` on an anti join)."""
+    undated = mentions.select("doc_id").join(dates.select("doc_id"), "doc_id", "left_anti").take(1)
+    if undated:
+        raise MissingDates(f"no date for document {undated[0].doc_id}")

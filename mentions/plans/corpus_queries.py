@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from mentions.operators import concepts as K
 from mentions.operators import corpus as P
 from mentions.operators import series as S
@@ -104,3 +106,37 @@ def concept_time_series(spark, sf_dir):
 def concept_time_series_window(spark, sf_dir):
     v = load_views(spark, sf_dir)
     return S.concept_time_series(v["concepts"], SERIES_NAMES, v["date_info"], WINDOW_DAYS, interval=WINDOW)
+
+
+TICK_HOURS = 36  # fixed query argument: ticks that no whole number of days gives
+TIMED = (dt.datetime(1996, 1, 1, 6), dt.datetime(1996, 2, 20, 0))
+
+
+@register("concept_time_series_timestamps", ids=("AG-23", "SF-11", "SF-12", "D19"), oracle=with_views(f"""
+, n AS (SELECT TIMESTAMP '{TIMED[0]}' AS s, CAST(CEIL(date_diff('second', TIMESTAMP '{TIMED[0]}', TIMESTAMP '{TIMED[1]}')
+          / {TICK_HOURS * 3600.0}) AS BIGINT) AS ticks),
+names AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{c}')" for i, c in enumerate(SERIES_NAMES))}) v(ord, concept)),
+grid AS (SELECT ord, concept, unnest(range(0, n.ticks)) AS tick FROM names CROSS JOIN n),
+m AS (SELECT c.concept, c.freq, CAST(FLOOR(date_diff('second', n.s, CAST(d.doc_date AS TIMESTAMP) + INTERVAL 7 HOUR)
+        / {TICK_HOURS * 3600.0}) AS BIGINT) AS tick
+      FROM concepts c JOIN date_info d ON c.doc_id = d.doc_id CROSS JOIN n),
+counts AS (SELECT concept, tick, SUM(freq) AS cnt FROM m GROUP BY concept, tick)
+SELECT CAST(g.ord AS INTEGER) AS ord, g.concept, n.s + to_hours(g.tick * {TICK_HOURS}) AS start,
+  n.s + to_hours((g.tick + 1) * {TICK_HOURS}) AS stop, CAST(COALESCE(c.cnt, 0) AS BIGINT) AS count
+FROM grid g CROSS JOIN n LEFT JOIN counts c ON g.concept = c.concept AND g.tick = c.tick""", "concepts", "date_info"))
+def concept_time_series_timestamps(spark, sf_dir):
+    """TIMESTAMP_NTZ dates (seven in the morning) and ticks of 36 hours."""
+    v = load_views(spark, sf_dir)
+    dates = v["date_info"].select("doc_id", F.expr("CAST(doc_date AS TIMESTAMP_NTZ) + INTERVAL 7 HOUR").alias("doc_date"))
+    return S.concept_time_series(v["concepts"], SERIES_NAMES, dates, dt.timedelta(hours=TICK_HOURS), interval=TIMED)
+
+
+@register("concept_time_series_drop", ids=("AG-23", "J-08"), oracle=_series_sql(
+    SERIES_NAMES, WINDOW_DAYS, *WINDOW).replace("CAST(o_orderdate AS DATE) AS doc_date FROM orders",
+                                                "CAST(o_orderdate AS DATE) AS doc_date FROM orders WHERE o_orderkey % 3 <> 0"))
+def concept_time_series_drop(spark, sf_dir):
+    """Documents without a date (here those whose key divides by three) are left out; repeated dates count once."""
+    v = load_views(spark, sf_dir)
+    dated = v["date_info"].withColumn("doc_date", F.when(F.col("doc_id") % 3 != 0, F.col("doc_date")))
+    twice = dated.unionByName(dated.withColumn("doc_date", F.date_add("doc_date", 400)))
+    return S.concept_time_series(v["concepts"], SERIES_NAMES, twice, WINDOW_DAYS, interval=WINDOW, missing_dates="drop")

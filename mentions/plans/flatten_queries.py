@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from mentions.operators import flatten as FL
 from mentions.plans.registry import r, register, rounded
+from mentions.schemas import CALL_TABLES
+from mentions.session import scratch_dir
+from mentions.sources.sinks import TableSink
 from mentions.sources.tables import TableSet
 from mentions.sources.views import Raw, stored_folder, with_views
 
@@ -54,15 +57,7 @@ def nested_orders(spark, sf_dir: str, single_document: bool = True) -> DataFrame
     if folder:
         stored = spark.read.parquet(f"{folder}/analyses.parquet")
         return stored.withColumn("single_document", F.lit(single_document))
-    # The nested input is rebuilt from lineitem (about ten shuffles); the
-    # flatten checks share one persisted copy per session and table folder.
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-    if key not in _NESTED:
-        _NESTED[key] = build_nested_orders(spark, sf_dir).persist()
-    return _NESTED[key].withColumn("single_document", F.lit(single_document))
-
-
-_NESTED: dict[tuple[int, str], DataFrame] = {}
+    return build_nested_orders(spark, sf_dir, single_document)
 
 
 def materialize_nested(spark, sf_dir: str, folder: str) -> None:
@@ -158,7 +153,8 @@ SELECT d.new_doc AS doc_id, x.new_text AS text_order, {cols} FROM {view} v {join
 def _flat(name: str):
     def run(spark, sf_dir):
         analyses = nested_orders(spark, sf_dir)
-        return rounded(TableSet.from_analyses(analyses)[name])
+        # analyses that are stored as parquet already are not copied
+        return rounded(TableSet.from_analyses(analyses, store=stored_folder(sf_dir) is None)[name])
     return run
 
 
@@ -222,3 +218,63 @@ def flatten_call_sentiments(spark, sf_dir):
     in multi-document mode: no running counter is involved."""
     analyses = nested_orders(spark, sf_dir)
     return rounded(FL.flatten_call(analyses, "sentiment", doc_base=F.col("seq"))["sentiments"])
+
+
+def _json_orders(spark, sf_dir: str, single_document: bool = True) -> str:
+    """The nested orders as JSON lines; returns their folder."""
+    path = scratch_dir(spark, "json-analyses")
+    nested_orders(spark, sf_dir, single_document).write.json(path)
+    return path
+
+
+_RELATIONS = _FLAT["absa_relations"][1]
+
+
+@register("json_round_trip", ids=("SC-04", "FL-01", "FL-02", "FL-10"), oracle=_flat_sql("absa_relations", _RELATIONS, "relation_id"))
+def json_round_trip(spark, sf_dir):
+    """Orders written as JSON lines and read back with ``from_json`` (one scan of the JSON)."""
+    return rounded(TableSet.from_json(spark, _json_orders(spark, sf_dir))["absa_relations"])
+
+
+@register("json_multi_document", ids=("SC-04", "FL-02", "FL-03", "FL-05"), oracle=with_views(f"""
+, {_BASE},
+starts AS (SELECT ok, CAST(COALESCE(SUM(n) OVER (ORDER BY ok ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s
+           FROM (SELECT ok, COUNT(*) AS n FROM texts GROUP BY ok) n)
+SELECT s.s + x.new_text AS doc_id, 0 AS text_order, v.concept, v.freq, {r('v.relevance_score')} AS relevance_score, v.concept_type
+FROM concepts v JOIN texts x ON v.doc_id = x.ok AND v.text_order = x.t JOIN starts s ON s.ok = v.doc_id""", "concepts"))
+def json_multi_document(spark, sf_dir):
+    """Multi-document mode: every text of an order is a document of its own."""
+    return rounded(TableSet.from_json(spark, _json_orders(spark, sf_dir, False))["concepts"])
+
+
+@register("flatten_call_concepts", ids=("FL-16", "FL-05"), oracle=with_views(f"""
+, {_BASE}
+SELECT v.doc_id, x.new_text AS text_order, v.concept, v.freq, {r('v.relevance_score')} AS relevance_score, v.concept_type
+FROM concepts v JOIN texts x ON v.doc_id = x.ok AND v.text_order = x.t""", "concepts"))
+def flatten_call_concepts(spark, sf_dir):
+    analyses = nested_orders(spark, sf_dir)
+    return rounded(FL.flatten_call(analyses, "concepts", doc_base=F.col("seq"), single_document=True)["concepts"])
+
+
+@register("append_analyses", ids=("FL-15", "FL-02", "SK-01"), oracle=_flat_sql(
+    "concepts", f"v.concept, v.freq, {r('v.relevance_score')} AS relevance_score, v.concept_type"))
+def append_analyses(spark, sf_dir):
+    """The lower half of the orders, then the upper half appended: ids go on where the first batch ended."""
+    analyses = nested_orders(spark, sf_dir)
+    middle = analyses.agg(F.expr("(min(seq) + max(seq)) div 2")).first()[0]
+    sink = TableSink(spark, scratch_dir(spark, "append"))
+    sink.append(analyses.filter(F.col("seq") <= middle))
+    sink.append(analyses.filter(F.col("seq") > middle))
+    return rounded(sink.open()["concepts"])
+
+
+@register("presence_by_call", ids=("SC-07", "SC-08", "SK-04"), oracle="""
+SELECT 'absa' AS facade, FALSE AS present UNION ALL SELECT 'categories', FALSE
+UNION ALL SELECT 'concepts', COUNT(*) > 0 FROM lineitem UNION ALL SELECT 'sentiments', COUNT(*) > 0 FROM lineitem""")
+def presence_by_call(spark, sf_dir):
+    """Which facades a JSON input of two calls has."""
+    path = scratch_dir(spark, "two-calls")
+    nested_orders(spark, sf_dir).select("seq", "concepts", "sentiment").write.json(path)
+    tables = TableSet.from_json(spark, path)
+    there = {facade: any(tables.has(t) for t in names) for facade, names in CALL_TABLES.items()}
+    return spark.createDataFrame(sorted(there.items()), "facade string, present boolean")

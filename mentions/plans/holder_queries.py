@@ -25,8 +25,9 @@ def _set(spark, sf_dir, *names):
 
 
 @register("remove_concepts", ids=("PF-09", "D4"), oracle=with_views("""
-SELECT concept, CAST(COALESCE(SUM(freq), 0) AS BIGINT) AS count FROM concepts
-WHERE concept NOT IN ('Brand#1', 'Brand#2') GROUP BY concept ORDER BY count DESC, concept""", "concepts"))
+SELECT concept, count, CAST(ROW_NUMBER() OVER (ORDER BY count DESC, concept) AS INTEGER) AS rank FROM (
+  SELECT concept, CAST(COALESCE(SUM(freq), 0) AS BIGINT) AS count FROM concepts
+  WHERE concept NOT IN ('Brand#1', 'Brand#2') GROUP BY concept) t""", "concepts"))
 def remove_concepts(spark, sf_dir):
     tables = _set(spark, sf_dir, "concepts", "concepts_surface_strings").remove_concepts(REMOVED)
     return K.most_common_concepts(tables["concepts"], n=None)
@@ -111,6 +112,50 @@ def backup_round_trip(spark, sf_dir):
     return rounded(TableSet.from_path(spark, sink.path, "parquet", backup_suffix=suffix)["absa_relations"])
 
 
+@register("rewrite_in_place", ids=("SK-01", "SK-03", "PF-09"), oracle=with_views(f"""
+SELECT doc_id, text_order, concept, freq, {r("relevance_score")} AS relevance_score, concept_type FROM concepts
+WHERE concept NOT IN ('Brand#1', 'Brand#2')""", "concepts"))
+def rewrite_in_place(spark, sf_dir):
+    """Load, change, write back to the same folder; an empty table is left out."""
+    path = scratch_dir(spark, "in-place")
+    v = load_views(spark, sf_dir)
+    TableSink(spark, path).write({"concepts": v["concepts"], "categories": v["categories"].filter(F.lit(False))})
+    TableSink(spark, path).write(TableSet.from_path(spark, path).remove_concepts(REMOVED))
+    back = TableSet.from_path(spark, path)
+    if back.has("categories"):
+        raise AssertionError("an empty table was written")
+    return rounded(back["concepts"])
+
+
+@register("csv_permuted_columns", ids=("SC-01",), oracle=with_views(f"""
+SELECT doc_id, text_order, concept, freq, {r("relevance_score")} AS relevance_score, concept_type FROM concepts""", "concepts"))
+def csv_permuted_columns(spark, sf_dir):
+    """A CSV whose columns come in another order, and with one more: columns go by their header."""
+    path = scratch_dir(spark, "permuted")
+    concepts = load_views(spark, sf_dir)["concepts"]
+    odd = concepts.select("concept_type", "freq", F.lit("x").alias("note"), "text_order", "concept", "relevance_score", "doc_id")
+    odd.write.option("header", True).csv(f"{path}/concepts.csv")
+    return rounded(TableSet.from_path(spark, path, "csv", multi_line=False)["concepts"])
+
+
+@register("projected_concepts", ids=("PF-13",), oracle=with_views(
+    "SELECT DISTINCT concept, concept_type FROM concepts", "concepts"))
+def projected_concepts(spark, sf_dir):
+    """Two columns of a table: the others are not computed."""
+    return _set(spark, sf_dir, "concepts")["concepts"].select("concept", "concept_type").distinct()
+
+
+@register("column_filtered_frequencies", ids=("PF-11", "AG-05"), oracle=with_views(f"""
+SELECT concept, freq FROM (
+  SELECT concept, CAST(COALESCE(SUM(freq), 0) AS BIGINT) AS freq FROM token_concepts
+  WHERE concept_type = '{ROLE}' AND concept LIKE 't%' GROUP BY concept ORDER BY freq DESC, concept LIMIT 25) t""",
+                                                                          "token_concepts"))
+def column_filtered_frequencies(spark, sf_dir):
+    tokens = load_views(spark, sf_dir)["token_concepts"]
+    keep = F.col("concept").startswith("t")
+    return K.concept_frequencies(tokens, max_concepts=25, concept_type=ROLE, concept_filter=keep)
+
+
 @register("view_sink_round_trip", ids=("SK-02", "SC-03"), oracle=with_views("""
 SELECT category, CAST(COUNT(*) AS BIGINT) AS n FROM categories GROUP BY category""", "categories"))
 def view_sink_round_trip(spark, sf_dir):

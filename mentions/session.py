@@ -46,25 +46,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    On a cluster the operator of the cluster sets it to a shared file system;
-    we only read it. When it is unset (local tests), a fresh folder is made
-    under the system temp dir and registered with the session.
+    The cluster names it; a folder of the driver's machine would not be seen
+    by executors, so on a cluster an unset name is an error. A ``local``
+    master has one machine: there, as in tests, a fresh folder below the
+    system temp folder is used and set for the session.
     """
     current = spark.conf.get(CHECKPOINT_KEY, None)
     if not current:
-        try:
-            current = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext on a Connect session
-            current = None
-    if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="mentions-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, current)
-        try:
-            spark.sparkContext.setCheckpointDir(current)
-        except Exception:
-            pass
     return current
 
 

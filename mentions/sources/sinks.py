@@ -1,20 +1,21 @@
 """Table-set sinks (SK-01 … SK-04).
 
 ``TableSink`` writes every present table of a set under one directory
-(parquet by default, CSV on request), first moving any earlier output of
-the same names aside with a UTC time-stamp suffix, and removes outputs that
-turned out empty. Writes go through Spark's commit protocol, so a lost
-executor only re-runs its tasks.
+(parquet by default, CSV on request): to a staging folder first, then any
+earlier output of the same names is moved aside with a UTC time-stamp suffix
+and the new one takes its place; tables without rows are left out. Writes go
+through Spark's commit protocol, so a lost executor only re-runs its tasks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mentions.schemas import TABLES
-from mentions.sources.tables import FORMATS, TableSet, csv_reader, table_path
+from mentions.sources.tables import FORMATS, TableSet, path_exists, read_csv, table_path
 
 STAMP = "%Y%m%d%H%M%S"  # fixed value: backup suffix format (UTC)
 
@@ -25,28 +26,35 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hpath
 
 
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename, or raise: a target that exists is refused, and a rename that reports failure is an error."""
+    fs, hsrc = _fs(spark, src)
+    hdst = spark._jvm.org.apache.hadoop.fs.Path(dst)
+    if fs.exists(hdst):
+        raise FileExistsError(dst)
+    if not fs.rename(hsrc, hdst):
+        raise OSError(f"could not rename {src} to {dst}")
+
+
 def backup(spark: SparkSession, root: str, names, fmt: str = "parquet", now: dt.datetime | None = None) -> list[str]:
     """SK-03: rename existing ``<root>/<table>`` outputs to ``..._<UTC stamp>``.
 
-    Returns the new names (file names only), in the order of ``names``.
+    Returns the new names (file names only), in the order of ``names``. A
+    backup of the same second is never overwritten or nested into: it raises
+    FileExistsError before anything is moved.
     """
     stamp = (now or dt.datetime.now(dt.timezone.utc)).strftime(STAMP)
-    moved = []
-    for name in names:
-        src = table_path(root, name, fmt)
-        fs, hsrc = _fs(spark, src)
-        if not fs.exists(hsrc):
-            continue
-        dst = f"{src}_{stamp}"
-        fs.rename(hsrc, spark._jvm.org.apache.hadoop.fs.Path(dst))
-        moved.append(dst.rsplit("/", 1)[-1])
-    return moved
+    there = [src for src in (table_path(root, name, fmt) for name in names) if path_exists(spark, src)]
+    for src in there:
+        if path_exists(spark, f"{src}_{stamp}"):
+            raise FileExistsError(f"{src}_{stamp}")
+    for src in there:
+        move(spark, src, f"{src}_{stamp}")
+    return [f"{src}_{stamp}".rsplit("/", 1)[-1] for src in there]
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    # Overwrite only ever meets a failed earlier attempt of this same write:
-    # existing outputs were moved aside by backup() first.
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("errorifexists")
     if fmt == "csv":
         (writer.option("header", True).option("escape", '"').option("emptyValue", "")
          .csv(path))
@@ -64,25 +72,44 @@ class TableSink:
         self.backed_up: list[str] = []
 
     def write(self, tables: TableSet | dict[str, DataFrame], backup_existing: bool = True) -> list[str]:
-        """Write every present table; return the names written (empty ones removed)."""
+        """Write every present table; return the names written (empty ones left out).
+
+        All tables are first written whole to a staging folder below the
+        target, so the input may be the target's own tables. Then earlier
+        outputs are moved aside (without ``backup_existing`` they must not
+        exist), and the new ones take their names.
+        """
         frames = tables.tables() if isinstance(tables, TableSet) else {n: d for n, d in tables.items() if d is not None}
-        if backup_existing:
-            self.backed_up = backup(self.spark, self.path, list(frames), self.fmt)
+        staging = f"{self.path}/_staging_{uuid.uuid4().hex}"
         written = []
         for name, df in frames.items():
-            target = table_path(self.path, name, self.fmt)
-            write_table(df, target, self.fmt)
-            if self._read(name).isEmpty():  # SK-04: the written files are cheap to probe
-                fs, hpath = _fs(self.spark, target)
-                fs.delete(hpath, True)
-            else:
+            staged = table_path(staging, name, self.fmt)
+            write_table(df, staged, self.fmt)
+            if not self._read(staged, name).isEmpty():  # SK-04: the written files are cheap to probe
                 written.append(name)
+        if backup_existing:
+            self.backed_up = backup(self.spark, self.path, list(frames), self.fmt)
+        for name in written:
+            move(self.spark, table_path(staging, name, self.fmt), table_path(self.path, name, self.fmt))
+        if frames:
+            fs, hpath = _fs(self.spark, staging)
+            fs.delete(hpath, True)
         return written
 
-    def _read(self, name: str) -> DataFrame:
-        target = table_path(self.path, name, self.fmt)
+    def append(self, analyses: DataFrame) -> int:
+        """FL-15: flatten further analyses and add them; document ids go on. Returns the batch's number.
+
+        Readers see the batch once it is whole (see :mod:`mentions.streaming.ingest`).
+        """
+        from mentions.streaming.ingest import append_analyses
+
+        if self.fmt != "parquet":
+            raise ValueError("append needs the parquet format")
+        return append_analyses(analyses, self.path)
+
+    def _read(self, target: str, name: str) -> DataFrame:
         if self.fmt == "csv":
-            return csv_reader(self.spark, TABLES[name]).csv(target)
+            return read_csv(self.spark, target, TABLES[name])
         return self.spark.read.schema(TABLES[name]).parquet(target)
 
     def open(self) -> TableSet:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mentions.errors import NoRelevantData
 from mentions.operators import common as C
@@ -19,10 +20,34 @@ from mentions.schemas import ANALYSIS, CALL_TABLES, TABLES, conform
 FORMATS = ("parquet", "csv")
 
 
-def csv_reader(spark: SparkSession, schema):
-    """CSV options matching the sink: header, quoted multi-line values, explicit schema."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", "FAILFAST"))
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """A CSV table by its header: columns are found by name, in any order.
+
+    Values are read as text and cast to the declared types, so a value that
+    doesn't fit fails the query. ``enforceSchema`` off makes Spark hold every
+    file's header against the first one's. ``multi_line`` allows line breaks
+    in quoted values, but then a file can't be split; switch it off for large
+    files without such values.
+    """
+    reader = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+              .option("mode", "FAILFAST"))
+    names = reader.csv(path).columns  # reads the header
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no columns {missing}")
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = reader.option("enforceSchema", False).schema(text).csv(path)
+    return rows.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+#: Records of committed batches beside incrementally written tables (:mod:`mentions.streaming.ingest`).
+IDS = "_ids"
+
+
+def committed_batches(spark: SparkSession, root: str) -> DataFrame | None:
+    """``batch, next_id`` of the batches that are written whole; None for tables that were written at once."""
+    path = f"{root.rstrip('/')}/{IDS}"
+    return spark.read.schema("next_id long, batch long").parquet(path) if path_exists(spark, path) else None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -38,6 +63,24 @@ def table_path(root: str, name: str, fmt: str, suffix: str = "") -> str:
     return f"{base}_{suffix}" if suffix else base
 
 
+def read_analyses(spark: SparkSession, path: str) -> DataFrame:
+    """JSON-lines analyses; a line that is malformed or of other types fails the query."""
+    return spark.read.schema(ANALYSIS).option("mode", "FAILFAST").json(path)
+
+
+def _as_type(value, kind: T.DataType):
+    """A value of parsed JSON as a value of a Spark type: whole numbers become doubles where doubles are due."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        return {f.name: _as_type(value.get(f.name), f.dataType) for f in kind.fields}
+    if isinstance(kind, T.ArrayType):
+        return [_as_type(v, kind.elementType) for v in value]
+    if isinstance(kind, T.DoubleType) and isinstance(value, int) and not isinstance(value, bool):
+        return float(value)
+    return value
+
+
 class TableSet:
     """Up to ten named annotation tables (missing ones are ``None``)."""
 
@@ -69,50 +112,60 @@ class TableSet:
 
     # ---------------------------------------------------------- readers --
     @classmethod
-    def from_path(cls, spark: SparkSession, path: str, fmt: str = "parquet", backup_suffix: str = "") -> "TableSet":
+    def from_path(cls, spark: SparkSession, path: str, fmt: str = "parquet", backup_suffix: str = "",
+                  multi_line: bool = True) -> "TableSet":
         """SC-01/SC-02: read every table present under ``path``.
 
         Table ``t`` lives at ``<path>/t.parquet`` (or ``t.csv``), optionally
         with ``_<backup_suffix>`` appended. Missing tables are ``None``; a
-        directory without any raises ValueError. Only the existence test
-        runs on the driver; the scans are lazy.
+        directory without any raises ValueError. Of tables written batch by
+        batch only committed batches are read. The driver tests existence
+        and reads CSV headers; the scans are lazy.
         """
         if fmt not in FORMATS:
             raise ValueError(f"fmt must be one of {FORMATS}")
+        batches = committed_batches(spark, path) if fmt == "parquet" and not backup_suffix else None
         found: dict[str, DataFrame | None] = {}
         for name, schema in TABLES.items():
             p = table_path(path, name, fmt, backup_suffix)
             if not path_exists(spark, p):
                 found[name] = None
             elif fmt == "csv":
-                found[name] = csv_reader(spark, schema).csv(p)
+                found[name] = read_csv(spark, p, schema, multi_line)
+            elif batches is not None:
+                rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(p)
+                found[name] = rows.join(batches.select("batch"), "batch", "left_semi").drop("batch")
             else:
                 found[name] = spark.read.schema(schema).parquet(p)
         if all(v is None for v in found.values()):
-            raise ValueError(f"No relevant table files in {path}")
+            raise ValueError(f"no table files in {path}")
         return cls(found)
 
     @classmethod
-    def from_analyses(cls, analyses: DataFrame) -> "TableSet":
+    def from_analyses(cls, analyses: DataFrame, store: bool = True) -> "TableSet":
         """SC-04: flatten a DataFrame of analyses (see :mod:`mentions.operators.flatten`).
 
-        A table is present when its call occurs in the input schema.
+        The analyses are read once, checked and stored
+        (:func:`~mentions.operators.flatten.stage_analyses`; without
+        ``store`` columnar input is not copied). A table is present when its
+        call occurs in some analysis.
         """
         from mentions.operators import flatten as FL
 
-        calls = {"categories": "categories", "concepts": "concepts", "sentiments": "sentiment", "absa": "absa"}
-        present = {t for call, col in calls.items() if col in analyses.columns for t in CALL_TABLES[call]}
-        full = FL.complete_analyses(analyses)
-        bases = FL.assign_doc_ids(full)
-
-        def builder(name):
-            return lambda: FL.FLATTENERS[name](full, bases)
-        return cls({name: builder(name) for name in FL.FLATTENERS if name in present})
+        staged = FL.stage_analyses(analyses, store=store)
+        if not staged.calls:
+            raise ValueError("the analyses hold no call")
+        return cls(staged.tables())
 
     @classmethod
     def from_json(cls, spark: SparkSession, path: str) -> "TableSet":
-        """SC-04: read JSON-lines analyses (one response per line, with ``seq``)."""
-        return cls.from_analyses(spark.read.schema(ANALYSIS).json(path))
+        """SC-04: read JSON-lines analyses (one response per line, with ``seq``).
+
+        Lines have no order on a cluster, so each needs ``seq``, the caller's
+        input order. Malformed lines, values of a wrong type, and missing,
+        NULL or repeated ``seq`` fail; whole numbers are taken for doubles.
+        """
+        return cls.from_analyses(read_analyses(spark, path))
 
     @classmethod
     def from_results(cls, spark: SparkSession, results) -> "TableSet":
@@ -123,11 +176,8 @@ class TableSet:
         with :meth:`from_json`.
         """
         items = [results] if isinstance(results, dict) else list(results)
-        rows = [dict(item, seq=i) for i, item in enumerate(items)]
-        calls = {"categories", "concepts", "sentiment", "absa"}
-        present = sorted({k for item in items for k in item if k in calls})
-        df = spark.createDataFrame(rows, ANALYSIS).select("seq", "single_document", *present)
-        return cls.from_analyses(df)
+        rows = [_as_type(dict(item, seq=i), ANALYSIS) for i, item in enumerate(items)]
+        return cls.from_analyses(spark.createDataFrame(rows, ANALYSIS))
 
     @classmethod
     def from_sink(cls, sink) -> "TableSet":
@@ -158,7 +208,7 @@ class TableSet:
         from mentions.operators.concepts import Concepts
 
         if not any(self.has(t) for t in CALL_TABLES["concepts"]):
-            raise NoRelevantData("Concepts data not available!")
+            raise NoRelevantData("no concept tables")
         return Concepts(self["concepts"], self["concepts_surface_strings"])
 
     @property
@@ -166,7 +216,7 @@ class TableSet:
         from mentions.operators.categories import Categories
 
         if not self.has("categories"):
-            raise NoRelevantData("Categories data not available!")
+            raise NoRelevantData("no categories table")
         return Categories(self["categories"])
 
     @property
@@ -174,7 +224,7 @@ class TableSet:
         from mentions.operators.categories import Sentiments
 
         if not self.has("sentiments"):
-            raise NoRelevantData("Sentiment data not available!")
+            raise NoRelevantData("no sentiments table")
         return Sentiments(self["sentiments"])
 
     @property
@@ -182,7 +232,7 @@ class TableSet:
         from mentions.operators.absa import Absa
 
         if not any(self.has(t) for t in CALL_TABLES["absa"]):
-            raise NoRelevantData("ABSA data not available!")
+            raise NoRelevantData("no table of entities, relations or evaluations")
         return Absa(self["absa_entities"], self["absa_normalized_texts"], self["absa_relations"],
                     self["absa_relations_entities"], self["absa_evaluations"], self["absa_evaluations_entities"])
 
@@ -195,10 +245,12 @@ class TableSet:
         """
         if isinstance(document_ids, DataFrame):
             ids = document_ids.select(F.col("doc_id").cast("long"))  # semi join: duplicates are harmless
+            if not ids.take(1):
+                raise ValueError("no documents to keep")
             return self._derive(lambda _name, df: df.join(ids, "doc_id", "left_semi"))
         wanted = sorted(set(int(i) for i in document_ids))
         if not wanted:
-            raise ValueError("Can't use empty filter")
+            raise ValueError("no documents to keep")
         return self._derive(lambda _name, df: df.filter(F.col("doc_id").isin(wanted)))
 
     def remove_concepts(self, concepts) -> "TableSet":

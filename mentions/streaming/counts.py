@@ -33,16 +33,18 @@ def _duration(td: dt.timedelta) -> str:
 
 
 def windowed_concept_counts(mentions: DataFrame, delta: dt.timedelta, start: dt.datetime | dt.date,
-                            time_col: str = "ts", watermark: str | None = "0 seconds",
-                            concepts=None) -> DataFrame:
+                            time_col: str = "ts", concepts=None, *, watermark: str | None) -> DataFrame:
     """Sum of ``freq`` per concept and tumbling window.
 
     ``mentions`` (batch or streaming) has ``concept, freq`` and a
-    TIMESTAMP/TIMESTAMP_NTZ ``time_col``. Columns ``concept, start, stop,
-    count``.
+    TIMESTAMP/TIMESTAMP_NTZ ``time_col``. Rows without a concept are left out.
+    ``watermark`` says how late a row may come (``"1 hour"``); the caller
+    chooses, as later rows are lost in append mode. None keeps every row, and
+    all state. Columns ``concept, start, stop, count``.
     """
     if delta <= dt.timedelta(0):
         raise ValueError("delta must be positive")
+    mentions = mentions.filter(F.col("concept").isNotNull())
     if concepts is not None:
         mentions = mentions.filter(F.col("concept").isin(list(concepts)))
     ntz = isinstance(mentions.schema[time_col].dataType, T.TimestampNTZType)

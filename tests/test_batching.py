@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from mentions.operators.batching import MAX_REQUEST_BYTES, batch_texts, request_overhead
+from mentions.operators.batching import MAX_REQUEST_BYTES, batch_texts, request_overhead, text_bytes
 
 
 def brute_force(texts, max_size, overhead):
@@ -25,7 +25,7 @@ def test_matches_sequential_greedy(spark, max_size):
     texts = [("é" * (i % 7)) + "x" * ((i * 13) % 29) + '"\n' * (i % 2) for i in range(60)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     analyses = ["categories"]
-    out = batch_texts(df, analyses, max_size=max_size, partitions=1).orderBy("doc_id").collect()
+    out = batch_texts(df, analyses, max_size=max_size).orderBy("doc_id").collect()
     got = {}
     for r in out:
         got.setdefault(r["batch_start"], []).append(texts[r["doc_id"]])
@@ -35,7 +35,7 @@ def test_matches_sequential_greedy(spark, max_size):
 def test_invariants_with_partitions(spark):
     texts = [("w" * ((i * 31) % 200)) for i in range(300)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    out = batch_texts(df, max_size=1000, partitions=4)
+    out = batch_texts(df, max_size=1000, range_width=50)
     rows = out.collect()
     assert len(rows) == 300
     overhead = request_overhead(["concepts", "categories", "sentiment", "absa"])
@@ -50,3 +50,22 @@ def test_unknown_analysis(spark):
     with pytest.raises(ValueError):
         request_overhead(["concepts", "nope"])
     assert MAX_REQUEST_BYTES == 1_000_000
+
+
+def test_batches_do_not_depend_on_partitions(spark):
+    texts = [("w" * ((i * 31) % 200)) for i in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    for n in ("1", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got.append(sorted(tuple(r) for r in batch_texts(df, max_size=1000, range_width=100).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1] and len({r[2] for r in got[0]}) > 10
+
+
+def test_text_bytes_equal_the_json_literal(spark):
+    texts = ["", "plain", 'q"uote\\', "\b\f\n\r\t", "\x00\x01\x0b\x1f\x7f", "é安\uffff", "😀a𝒳", "~ !"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, text string")
+    got = {r.i: r.b for r in df.select("i", text_bytes(df["text"]).alias("b")).collect()}
+    assert got == {i: len(json.dumps(t)) + 1 for i, t in enumerate([*texts, None])}

@@ -149,10 +149,14 @@ def test_time_series_default_interval_and_missing_dates(time_data, spark):
     assert out[0]["start"] == dt.date(2016, 1, 1)
     assert sum(r["count"] for r in out) == 15
     partial = dates.filter(F.col("doc_id") != 4)
-    with pytest.raises(Exception, match="no date for document 4"):
-        S.concept_time_series(concepts, ["Lenovo"], partial, 7).collect()
+    with pytest.raises(S.MissingDates, match="no date for document 4"):
+        S.concept_time_series(concepts, ["Lenovo"], partial, 7)
     dropped = S.concept_time_series(concepts, ["Lenovo"], partial, 7, missing_dates="drop").collect()
     assert sum(r["count"] for r in dropped) == 5
+    one = S.concept_time_series(concepts, ["Lenovo"], partial, 7, missing_dates="drop")
+    assert one.count() == len(dropped) and one.filter("ord IS NULL").count() == 0
+    twice = dates.unionByName(dates)  # a document has one date
+    assert sum(r["count"] for r in S.concept_time_series(concepts, ["Lenovo"], twice, 7).collect()) == 15
 
 
 def test_time_series_bad_delta(time_data):

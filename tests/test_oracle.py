@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from mentions.plans import load_all
 from mentions.sources.views import RAW_TABLES
 from tests.conftest import SF_SMALL
 
@@ -29,13 +30,13 @@ def duck():
     return con
 
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {name: q.fn for name, q in load_all().items()}
+ORACLES = {name: q.oracle for name, q in load_all().items() if q.oracle is not None}
 
 
 def test_every_query_is_registered_once():
     assert len(QUERIES) >= 50
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

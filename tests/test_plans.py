@@ -1,12 +1,14 @@
 """Plan-shape checks: no cartesian products, no Python on the hot paths,
 bounded top-k, pushed filters and pruned scans."""
 
+import json
+
 import pytest
 
-import __spark_entry__ as E
+from mentions.plans import load_all
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = {name: q.fn for name, q in load_all().items()}
 EXECUTES_WHILE_BUILDING = {"stream_ingest", "stream_concept_counts", "csv_round_trip", "parquet_round_trip"}
 PYTHON_ALLOWED = {"batch_texts", "python_filtered_frequencies"}
 TOP_K = ["most_common_concepts", "least_common_concepts", "co_occurring_concepts", "frequency_relevance",
@@ -49,8 +51,45 @@ def test_name_filter_reaches_scan(spark):
 def test_python_predicate_runs_on_distinct_names(spark, concepts):
     from mentions.operators import concepts as K
 
-    # len() cannot take a Column, so this predicate stays a Python function.
     out = K.concept_frequencies(concepts, concept_filter=lambda s: len(s) < 8 and s.startswith("L"))
-    text = plan(out)
-    assert "ArrowEvalPython" in text  # vectorised, not row-at-a-time BatchEvalPython
+    optimised = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    python = [i for i, line in enumerate(optimised) if "ArrowEvalPython" in line]
+    # one Python node, and the distinct names are computed below it
+    assert len(python) == 1
+    below = optimised[python[0] + 1]
+    assert below.strip(" :+-").startswith("Aggregate [concept")
     assert [r[0] for r in out.collect()] == ["Lenovo"]
+
+
+@pytest.mark.parametrize("predicate,passing", [
+    (lambda s: s[1:3] == "en", {"Lenovo"}), (lambda s: s[0] == "L", {"Lenovo"}), (lambda s: s + "!" == "Lenovo!", {"Lenovo"}),
+    (lambda s: True, {"Lenovo", "Samsung", "VisualAppearance"})])
+def test_callable_is_a_python_predicate(concepts, predicate, passing):
+    from mentions.operators import concepts as K
+
+    assert {r[0] for r in K.concept_frequencies(concepts, concept_filter=predicate).collect()} == passing
+
+
+def test_share_reuses_the_counts_exchange(spark, concepts):
+    from mentions.operators import absa as A
+    from mentions.operators import concepts as K
+
+    path = "concepts"
+    concepts.createOrReplaceTempView(path)
+    for out in (K.most_common_concepts(spark.table(path), normalize=True),):
+        out.collect()
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in text
+    assert A is not None
+
+
+def test_json_is_scanned_once_for_all_tables(spark, analysis, tmp_path):
+    from mentions.sources.tables import TableSet
+
+    (tmp_path / "a.json").write_text(json.dumps(dict(analysis, seq=0)) + "\n")
+    tables = TableSet.from_json(spark, str(tmp_path)).tables()
+    assert len(tables) == 10
+    for df in tables.values():
+        text = plan(df)
+        # the JSON was read into parquet; tables read the nested rows once and the thin ids once
+        assert "FileScan json" not in text and text.count("FileScan parquet") == 2

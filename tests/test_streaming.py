@@ -37,16 +37,17 @@ def test_stream_ingest_from_files(spark, analysis, tmp_path):
 
 
 def test_windowed_counts_batch_and_stream(spark, tmp_path):
-    rows = [("A", 1, dt.datetime(2016, 1, 1)), ("A", 2, dt.datetime(2016, 1, 9)), ("B", 5, dt.datetime(2016, 1, 2))]
+    rows = [("A", 1, dt.datetime(2016, 1, 1)), ("A", 2, dt.datetime(2016, 1, 9)), ("B", 5, dt.datetime(2016, 1, 2)),
+            (None, 7, dt.datetime(2016, 1, 2))]
     df = spark.createDataFrame(rows, "concept string, freq long, ts timestamp_ntz")
-    got = sorted(tuple(r) for r in windowed_concept_counts(df, dt.timedelta(days=7), dt.date(2016, 1, 1)).collect())
+    got = sorted(tuple(r) for r in windowed_concept_counts(df, dt.timedelta(days=7), dt.date(2016, 1, 1), watermark=None).collect())
     assert got == [("A", dt.datetime(2016, 1, 1), dt.datetime(2016, 1, 8), 1),
                    ("A", dt.datetime(2016, 1, 8), dt.datetime(2016, 1, 15), 2),
                    ("B", dt.datetime(2016, 1, 1), dt.datetime(2016, 1, 8), 5)]
     src = str(tmp_path / "src")
     df.write.parquet(src)
     stream = spark.readStream.schema(df.schema).parquet(src)
-    counts = windowed_concept_counts(stream, dt.timedelta(days=7), dt.date(2016, 1, 1))
+    counts = windowed_concept_counts(stream, dt.timedelta(days=7), dt.date(2016, 1, 1), watermark=None)
     q = (counts.writeStream.outputMode("complete").format("memory").queryName("wc")
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -73,3 +74,33 @@ def test_append_mode_emits_closed_windows(spark, tmp_path):
     # rows within the watermark; older rows may or may not be counted.
     assert set(got) == {dt.datetime(2016, 1, 1), dt.datetime(2016, 1, 15)}
     assert got[dt.datetime(2016, 1, 15)] == 1 and got[dt.datetime(2016, 1, 1)] in (1, 6)
+
+
+def test_readers_see_committed_batches_only(spark, analysis, tmp_path):
+    target = str(tmp_path / "out")
+    ingest_batch(spark.createDataFrame([dict(analysis, seq=0)], ANALYSIS), 0, target)
+    ingest_batch(spark.createDataFrame([dict(analysis, seq=1)], ANALYSIS), 1, target)
+    import shutil
+
+    shutil.rmtree(f"{target}/_ids/batch=1")  # as if the second batch had failed before its record
+    assert sorted(r[0] for r in TableSet.from_path(spark, target)["sentiments"].collect()) == [0, 1]
+    ingest_batch(spark.createDataFrame([dict(analysis, seq=1)], ANALYSIS), 1, target)
+    assert sorted(r[0] for r in TableSet.from_path(spark, target)["sentiments"].collect()) == [0, 1, 2, 3]
+
+
+def test_ingest_writes_only_calls_that_occur(spark, analysis, tmp_path):
+    target = str(tmp_path / "out")
+    ingest_batch(spark.createDataFrame([{"seq": 0, "concepts": analysis["concepts"]}], ANALYSIS), 0, target)
+    tables = TableSet.from_path(spark, target)
+    assert tables.names() == ["concepts", "concepts_surface_strings"]
+
+
+def test_malformed_line_fails_the_stream(spark, tmp_path):
+    import pytest
+
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json").write_text('{"seq": 0, "concepts": [[{"concept": "A"\n')
+    query = start_ingest(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    with pytest.raises(Exception):
+        query.awaitTermination()

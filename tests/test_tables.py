@@ -111,3 +111,106 @@ def test_csv_keeps_number_like_and_na_names(spark, tmp_path):
     sink.write({"concepts": table(spark, "concepts", rows)})
     back = sorted(tuple(r) for r in TableSet.from_sink(sink)["concepts"].collect())
     assert back == sorted(rows)
+
+
+def test_json_input_is_lossless(spark, analysis, tmp_path):
+    import json
+
+    def read(name, *lines):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.json").write_text("".join(x + "\n" for x in lines))
+        return TableSet.from_json(spark, str(folder))
+
+    good = json.dumps(dict(analysis, seq=0))
+    with pytest.raises(ValueError, match="without seq"):
+        read("noseq", json.dumps(analysis))
+    with pytest.raises(ValueError, match="seq 0 occurs 2"):
+        read("twice", good, good)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read("cut", good, good[:40])
+    wrong = dict(analysis, seq=1, concepts=[[{"concept": "A", "freq": "two"}]])
+    with pytest.raises(Exception, match="(?i)malformed|cannot parse"):
+        read("kind", json.dumps(wrong))
+    tables = read("whole", json.dumps({"seq": 0, "sentiment": [{"sentiment_value": 1}]}))
+    assert tables["sentiments"].collect()[0]["sentiment_value"] == 1.0
+    assert tables.names() == ["sentiments"] and not tables.has("concepts")
+    with pytest.raises(Exception):
+        _ = tables.concepts
+    with pytest.raises(ValueError, match="column seq"):
+        TableSet.from_analyses(spark.createDataFrame([(None,)], "concepts string"))
+
+
+def test_results_with_whole_numbers(spark):
+    tables = TableSet.from_results(spark, {"sentiment": [{"sentiment_value": 1}]})
+    assert [tuple(r) for r in tables["sentiments"].collect()] == [(0, 0, 1.0)]
+
+
+def test_filter_by_empty_frame(spark, concepts):
+    with pytest.raises(ValueError):
+        TableSet(concepts=concepts).filter(spark.createDataFrame([], "doc_id long"))
+
+
+def test_csv_goes_by_header(spark, tmp_path):
+    folder = tmp_path / "sentiments.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("text_order,doc_id,sentiment_value\n1,7,0.5\n")
+    row = TableSet.from_path(spark, str(tmp_path), "csv")["sentiments"].collect()[0]
+    assert (row.doc_id, row.text_order, row.sentiment_value) == (7, 1, 0.5)
+    (folder / "a.csv").write_text("text_order,sentiment_value\n1,0.5\n")
+    with pytest.raises(ValueError, match="doc_id"):
+        TableSet.from_path(spark, str(tmp_path), "csv")
+
+
+def test_rewrite_in_place_and_refused_backup(spark, concepts, tmp_path):
+    root = str(tmp_path / "t")
+    TableSink(spark, root).write({"concepts": concepts})
+    sink = TableSink(spark, root)
+    sink.write(TableSet.from_path(spark, root).remove_concepts(["Lenovo"]))
+    assert TableSet.from_path(spark, root)["concepts"].count() == 2
+    assert len(sink.backed_up) == 1
+    now = dt.datetime(2020, 1, 1)
+    assert backup(spark, root, ["concepts"], now=now) == ["concepts.parquet_20200101000000"]
+    TableSink(spark, root).write({"concepts": concepts})
+    with pytest.raises(FileExistsError):
+        backup(spark, root, ["concepts"], now=now)
+    assert TableSet.from_path(spark, root)["concepts"].count() == 4
+    with pytest.raises(FileExistsError):
+        TableSink(spark, root).write({"concepts": concepts}, backup_existing=False)
+    assert TableSet.from_path(spark, root)["concepts"].count() == 4
+
+
+def test_append_continues_ids(spark, analysis, tmp_path):
+    from mentions.schemas import ANALYSIS
+
+    sink = TableSink(spark, str(tmp_path / "a"))
+    for k in range(3):
+        assert sink.append(spark.createDataFrame([dict(analysis, seq=0)], ANALYSIS)) == k
+    assert sorted(r[0] for r in sink.open()["sentiments"].collect()) == list(range(6))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from mentions.session import ensure_checkpoint_dir
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key.replace(".", "_"), default)
+
+    class Session:
+        conf = Conf(spark_master="spark://host:7077")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_requests_as_frame_need_an_order(spark, concepts):
+    with pytest.raises(ValueError, match="ord"):
+        K.concept_frequency(concepts, spark.createDataFrame([("Lenovo",)], "concept string"))
+
+
+def test_rank_without_n_numbers_all_rows(spark, concepts):
+    got = [(r["concept"], r["rank"]) for r in K.most_common_concepts(concepts, n=None).collect()]
+    assert got == [("Lenovo", 1), ("VisualAppearance", 2), ("Samsung", 3)]

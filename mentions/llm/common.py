@@ -18,6 +18,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,20 +46,63 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text`` and the whole input row in the struct ``row``."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+def whole_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``doc_id`` and the whole input row in the struct ``row`` (its text is read from there, and sent once)."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def row_texts(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of the rows in the struct ``row`` of a batch."""
+    row = batch["row"]
+    return row.field(row.type.get_field_index(text_col)).cast(pa.string())
+
+
+def packed_texts(df: DataFrame, columns: list[str], slice_bytes: int = 4 << 20) -> DataFrame:
+    """``columns`` of ``df``, and its ``text`` compressed as ``packed`` (null stays null): for shuffles of whole texts."""
+    from pyspark.sql import types as T
+
+    kept = df.select(*columns, "text")
+    schema = T.StructType([*kept.drop("text").schema.fields, T.StructField("packed", T.BinaryType())])
+
+    def run(source):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches(source, slice_bytes):
+            packed = [None if x is None else press.compress(x) for x in batch["text"].cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())],
+                                             names=[*batch.schema.names[:-1], "packed"])
+
+    return kept.mapInArrow(run, schema)
+
+
+def unpacked_texts(source: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Slices of batches with a column ``packed``, and their texts; a slice has about ``slice_bytes`` of text."""
+    import zstandard
+
+    press = zstandard.ZstdDecompressor()
+    for batch in source:
+        start, size, texts = 0, 0, []
+        for i, x in enumerate(batch["packed"].to_pylist()):
+            texts.append(None if x is None else press.decompress(x))
+            size += len(texts[-1] or b"")
+            if size >= slice_bytes:
+                yield batch.slice(start, i + 1 - start), texts
+                start, size, texts = i + 1, 0, []
+        if texts:
+            yield batch.slice(start), texts
 
 
 def worker_cache(name: str, make: Callable):
-    """An object that lives as long as the Python worker process.
+    """An object that lives in the Python worker process until another one is asked for.
 
     Functions are shipped by value, so a module global would be made anew in
-    each task; the interpreter's own module dictionary is not.
+    each task; the interpreter's own module dictionary is not. One object at
+    a time, so that what operators hold doesn't add up.
     """
     held = sys.__dict__.setdefault("_mentions_worker_cache", {})
     if name not in held:
+        held.clear()
         held[name] = make()
     return held[name]
 
@@ -77,3 +121,30 @@ def batches(source: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.Rec
         step = max(1, int(rows * max_bytes / max(batch.nbytes, 1)))
         for start in range(0, rows, step):
             yield batch.slice(start, min(step, rows - start))
+
+
+def group_cuts(table: pa.Table, keys: list[str]) -> list[int]:
+    """Where each group of a table sorted by integer ``keys`` begins, and the table's end."""
+    ids = np.stack([table[c].to_numpy() for c in keys], axis=1)
+    return [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist(), len(ids)]
+
+
+def whole_groups(source: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of complete groups from batches sorted by integer ``keys``; the last group of a batch may go on in the next."""
+    held: list[pa.RecordBatch] = []
+    for batch in source:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch[c].to_numpy(zero_copy_only=False) for c in keys], axis=1)
+        last = names[-1]
+        cut = int((names == last).all(axis=1).argmax())
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        else:
+            if held and any(held[0][c][0].as_py() != v for c, v in zip(keys, last.tolist(), strict=True)):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)

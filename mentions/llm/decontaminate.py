@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentions.llm.common import batches, stored, text_bytes, whole_rows
+from mentions.llm.common import batches, id_text, row_texts, stored, text_bytes, whole_rows
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -208,8 +208,8 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_
     strings). Map-only: one pass over the documents per benchmark block.
     """
     spark = docs.sparkSession
-    state = whole_rows(docs, id_col, text_col).select(
-        "doc_id", "row", "text", F.lit(0).cast("long").alias("n_words"),
+    state = whole_rows(docs, id_col).select(
+        "doc_id", "row", F.lit(0).cast("long").alias("n_words"),
         F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
     schema = state.schema
     for k, rows in enumerate(blocks_of(benchmark, item_col, item_text, block_bytes)):
@@ -220,7 +220,7 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_
         def run(source, shared=shared):
             block = ItemBlock(shared.value, window)
             for batch in batches(source, shard_bytes):
-                counts, spans, items = _hits_in(block, text_bytes(batch["text"]))
+                counts, spans, items = _hits_in(block, text_bytes(row_texts(batch, text_col)))
                 old_spans, old_items = batch["spans"].to_pylist(), batch["items"].to_pylist()
                 put = {"n_words": pa.array(counts, pa.int64()),
                        "spans": pa.array(list(map(_merged, old_spans, spans)), batch.schema.field("spans").type),
@@ -229,7 +229,7 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_
                 yield pa.RecordBatch.from_arrays([put.get(n, batch[n]) for n in batch.schema.names], schema=batch.schema)
 
         state = state.mapInArrow(run, schema)
-    return state.drop("text")
+    return state
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -243,7 +243,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     per suffix, so the shuffle is bounded by shards times benchmark words.
     """
     spark = docs.sparkSession
-    base = whole_rows(docs, id_col, text_col).select("doc_id", "text")
+    base = id_text(docs, id_col, text_col)
     schema = "item_id string, item_start long, doc_id long, doc_start long, n_words long"
     out = None
     for rows in blocks_of(benchmark, item_col, item_text, block_bytes):

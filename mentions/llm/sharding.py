@@ -34,10 +34,11 @@ SLACK = 3
 
 def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row, bytes, hash``."""
-    digest = F.md5(F.concat_ws("\n", F.col("doc_id").cast("string"), F.col("text")).cast("binary"))
+    text = F.col("row").getField(text_col).cast("string")
+    digest = F.md5(F.concat_ws("\n", F.col("doc_id").cast("string"), text).cast("binary"))
     bits = F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
-    return whole_rows(docs, id_col, text_col).select(
-        "doc_id", "row", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"), bits.alias("hash"))
+    return whole_rows(docs, id_col).select(
+        "doc_id", "row", F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("bytes"), bits.alias("hash"))
 
 
 def prefix(depth) -> F.Column:

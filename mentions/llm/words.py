@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from mentions.llm.common import worker_cache
-
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
@@ -23,13 +21,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    held = worker_cache("powers", dict)
-    if base not in held or len(held[base]) < n:
-        size = max(n, 1 << 16)
-        x = np.full(size, base, np.uint64)
-        x[0] = 1
-        held[base] = np.multiply.accumulate(x)
-    return held[base][:n]
+    x = np.full(n, base, np.uint64)
+    x[:1] = 1
+    return np.multiply.accumulate(x)
 
 
 class Slice:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentions.llm.common import stored
+from mentions.llm.common import group_cuts, stored, whole_groups
 from mentions.llm.graph import components
 
 THRESHOLD = 0.9
@@ -97,10 +97,12 @@ def encode(classes: DataFrame, width: int, bits: int, tables: int, model) -> Dat
             keys = codes.astype(np.int64) @ powers
             offsets = np.arange(0, (len(x) + 1) * tables, tables, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch["rep"], batch["n"], batch["vector"], pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))],
+                [batch["rep"], batch["n"], batch["vector"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1), pa.int32() if bits < 32 else pa.int64()))],
                 names=["rep", "n", "vector", "keys"])
 
-    return classes.mapInArrow(run, "rep long, n long, vector array<double>, keys array<long>")
+    kind = classes.schema["vector"].dataType.simpleString()
+    return classes.mapInArrow(run, f"rep long, n long, vector {kind}, keys array<{'int' if bits < 32 else 'long'}>")
 
 
 def bucket_rows(coded: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -110,7 +112,9 @@ def bucket_rows(coded: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     rows = coded.select("rep", "n", "vector", "keys", F.posexplode("keys").alias("tab", "key"))
     sizes = coded.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").count()
-    large = sizes.where(F.col("count") > block).select("tab", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    # stored, so that its size is known before the rows move: few or no buckets are large
+    large = stored(sizes.where(F.col("count") > block).select("tab", "key", F.ceil(F.col("count") / block).cast("int").alias("blocks")),
+                   "large-buckets")
     rows = rows.join(large, ["tab", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -161,21 +165,16 @@ def bucket_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
     dealt = rows.repartition(*group_of).sortWithinPartitions(*group_of)
 
     def run(source):
-        held: list = []
-
-        def flush(parts):
-            """All complete groups in ``parts`` (one record batch list)."""
-            table = pa.Table.from_batches(parts)
-            ids = np.stack([table[c].to_numpy() for c in group_of], axis=1).astype(np.int64)
-            cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
-            starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(ids)]))
+        for table in whole_groups(source, group_of):
+            ids = np.stack([table[c].to_numpy() for c in group_of], axis=1)
+            cuts = group_cuts(table, group_of)
             unit = _unit(_matrix(table["vector"].combine_chunks(), width))
             tables = len(table["keys"][0])
             keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, tables)
             rep, n, own = (table[c].to_numpy() for c in ("rep", "n", "own"))
             counts: dict[int, int] = {}
             edges: list[tuple[int, int]] = []
-            for s, e in zip(starts, ends, strict=True):
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
                 if e - s < 2:
                     continue
                 i, j = _links_in({"unit": unit[s:e], "keys": keys[s:e], "own": own[s:e], "tab": ids[s, 0], "x": ids[s, 2],
@@ -188,28 +187,8 @@ def bucket_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
                         counts[int(rep[s + k])] = counts.get(int(rep[s + k]), 0) + int(total[k])
                     edges += _forest(rep[s:e][i], rep[s:e][j])
             out = [(0, a, b) for a, b in counts.items()] + [(1, a, b) for a, b in edges]
-            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int32() if c == 0 else pa.int64())
-                                               for c in range(3)], names=["kind", "a", "b"])
-
-        for batch in source:
-            if not batch.num_rows:
-                continue
-            # the last group of a batch may go on in the next; a group has at most two blocks
-            last = tuple(batch[c][batch.num_rows - 1].as_py() for c in group_of)
-            same = np.ones(batch.num_rows, bool)
-            for c, v in zip(group_of, last, strict=True):
-                same &= batch[c].to_numpy(zero_copy_only=False) == v
-            cut = int(same.argmax())
-            if cut:
-                yield flush([*held, batch.slice(0, cut)])
-                held = [batch.slice(cut)]
-            else:
-                if held and tuple(held[0][c][0].as_py() for c in group_of) != last:
-                    yield flush(held)
-                    held = []
-                held.append(batch)
-        if held:
-            yield flush(held)
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], pa.int32() if c == 0 else pa.int64())
+                                              for c in range(3)], names=["kind", "a", "b"])
 
     return dealt.mapInArrow(run, "kind int, a long, b long")
 
@@ -220,15 +199,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
 
     Returns one row per input row: ``vec_id``, ``n_links``, ``component_id``, ``kept``.
     """
-    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"),
-                          F.col(vector_col).cast("array<double>").alias("vector"))
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("vector"))
     usable = base.where(valid(F.col("vector")) & F.col("vec_id").isNotNull())
     classes = stored(usable.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors")
     found = None
     for width, n in [tuple(r) for r in classes.groupBy(F.size("vector").alias("w")).count().collect()]:
         own = classes.where(F.size("vector") == width)
         bits, tables = table_plan(n, threshold, recall)
-        rows = max(2, fit_bytes // (8 * width))
+        rows = max(2, fit_bytes // (8 * width))  # of the sample
         sample = own.orderBy(F.xxhash64("rep")).limit(rows).select("vector")  # bounded: fit_bytes
         x = np.array([r.vector for r in sample.toLocalIterator()], np.float64).reshape(-1, width)
         coded = stored(encode(own.select("rep", "n", "vector"), width, bits, tables, fit_rotations(_unit(x), bits * tables)),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentions.llm.common import NO_ID, batches, stored, text_bytes, whole_rows
+from mentions.llm.common import NO_ID, batches, id_text, row_texts, stored, text_bytes, whole_rows
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -115,8 +115,9 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, n_batches:
     Returns one row per input row: ``doc_id``, ``row`` (the input row),
     ``n_lines`` (before), ``n_dropped`` and ``kept`` (the text that stays).
     """
-    base = whole_rows(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    keys = stored(document_keys(base.select("doc_id", "text"), min_chars), "line-keys")
+    number = F.coalesce("doc_id", F.lit(NO_ID))
+    base = whole_rows(docs, id_col).withColumn("doc_id", number)
+    keys = stored(document_keys(id_text(docs, id_col, text_col).withColumn("doc_id", number), min_chars), "line-keys")
     cuts = keys.agg(F.percentile_approx("doc_id", [k / n_batches for k in range(1, n_batches)], 10_000).alias("c")).first().c
     edges = [None, *sorted(set(cuts or [])), None]
     runs = SortedRuns(docs.sparkSession, fanout)
@@ -136,7 +137,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, n_batches:
     def run(source):
         for batch in batches(source, BATCH_BYTES):
             n_lines, n_dropped, kept = [], [], []
-            for text, gone in zip(text_bytes(batch["text"]), batch["lost"].to_pylist(), strict=True):
+            for text, gone in zip(text_bytes(row_texts(batch, text_col)), batch["lost"].to_pylist(), strict=True):
                 if gone:
                     gone = set(gone)
                     lines = text.split(b"\n")

@@ -161,12 +161,12 @@ class Absa:
 
     def _ents(self) -> DataFrame:
         if self._entities is None:
-            raise NoRelevantData("Relevant entities data is not available!")
+            raise NoRelevantData("no table absa_entities")
         return self._entities
 
     def _rels(self) -> tuple[DataFrame, DataFrame]:
         if self._relations is None or self._relations_entities is None:
-            raise NoRelevantData("Relevant relation data is not available!")
+            raise NoRelevantData("no table absa_relations or absa_relations_entities")
         return self._relations, self._relations_entities
 
     def entity_frequency(self, entity, entity_type="", normalize=False):
@@ -195,7 +195,7 @@ class Absa:
 
     def entity_texts(self, entity):
         if self._entities is None or self._texts is None:
-            raise NoRelevantData("Relevant entity data is not available!")
+            raise NoRelevantData("no table absa_entities or absa_normalized_texts")
         return entity_texts(self._entities, self._texts, entity)
 
     def rated_mentions(self):

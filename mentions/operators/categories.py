@@ -65,7 +65,7 @@ class Categories:
 
     def _need(self) -> DataFrame:
         if self._categories is None:
-            raise NoRelevantData("Relevant category data is not available!")
+            raise NoRelevantData("no table categories")
         return self._categories
 
     def categories(self):
@@ -85,7 +85,7 @@ class Sentiments:
 
     def _need(self) -> DataFrame:
         if self._sentiments is None:
-            raise NoRelevantData("Relevant sentiment data is not available!")
+            raise NoRelevantData("no table sentiments")
         return self._sentiments
 
     def average_sentiment(self) -> float | None:

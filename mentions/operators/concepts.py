@@ -203,7 +203,7 @@ class Concepts:
 
     def _need(self) -> DataFrame:
         if self._concepts is None:
-            raise NoRelevantData("Relevant concept data is not available!")
+            raise NoRelevantData("no table concepts")
         return self._concepts
 
     def concept_frequency(self, concept, concept_type="", normalize=False):
@@ -226,7 +226,7 @@ class Concepts:
 
     def surface_forms(self, concept, n=15):
         if self._surface is None:
-            raise NoRelevantData("Relevant surface data is not available!")
+            raise NoRelevantData("no table concepts_surface_strings")
         return surface_forms(self._surface, concept, n)
 
     # corpus and time series live in their own modules; exposed here too.

@@ -20,7 +20,7 @@ def _v(spark, sf_dir):
     return load_views(spark, sf_dir)
 
 
-@register("most_common_concepts", ids=("AG-02", "PF-01", "SO-01"), oracle=with_views(f"""
+@register("most_common_concepts", ids=("AG-02", "PF-01", "SO-01", "SF-05"), oracle=with_views(f"""
 SELECT concept, count, CAST(ROW_NUMBER() OVER (ORDER BY count DESC, concept) AS INTEGER) AS rank
 FROM (SELECT concept, CAST(COALESCE(SUM(freq), 0) AS BIGINT) AS count FROM concepts GROUP BY concept) t
 ORDER BY count DESC, concept LIMIT {N}""", "concepts"))
@@ -66,7 +66,7 @@ def concept_frequency_share(spark, sf_dir):
     return rounded(K.concept_frequency(_v(spark, sf_dir)["concepts"], LOOKUP, concept_type=CONCEPT_TYPE, normalize=True))
 
 
-@register("co_occurring_concepts", ids=("AG-04", "J-01", "PF-05", "PF-06", "D9", "D10"), oracle=with_views(f"""
+@register("co_occurring_concepts", ids=("AG-04", "J-01", "PF-05", "PF-06", "D9", "D10", "SF-01"), oracle=with_views(f"""
 , anchors AS (SELECT DISTINCT doc_id, text_order FROM concepts WHERE lower(concept) = lower('{ANCHOR}')),
 counts AS (
   SELECT c.concept, CAST(COALESCE(SUM(c.freq), 0) AS BIGINT) AS count

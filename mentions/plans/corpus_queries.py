@@ -94,7 +94,7 @@ FROM grid g CROSS JOIN n LEFT JOIN counts c ON g.concept = c.concept AND g.tick
 ORDER BY ord, start""", "concepts", "date_info")
 
 
-@register("concept_time_series", ids=("AG-23", "J-07", "J-08", "J-10", "SF-11", "SF-12", "D18", "D19"),
+@register("concept_time_series", ids=("AG-23", "J-07", "J-08", "J-10", "SF-11", "SF-12", "D18", "D19", "SE-01"),
           oracle=_series_sql(SERIES_NAMES, SERIES_DAYS))
 def concept_time_series(spark, sf_dir):
     v = load_views(spark, sf_dir)

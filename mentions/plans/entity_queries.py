@@ -82,7 +82,7 @@ def entity_frequency_share(spark, sf_dir):
     return rounded(A.entity_frequency(load_views(spark, sf_dir)["absa_entities"], ENTITY_LOOKUP, PREFIX, normalize=True))
 
 
-@register("most_common_entities", ids=("AG-12", "PF-02"), oracle=with_views(f"""
+@register("most_common_entities", ids=("AG-12", "PF-02", "SF-02"), oracle=with_views(f"""
 , {_NAMED}
 SELECT entity_name, count, CAST(ROW_NUMBER() OVER (ORDER BY count DESC, entity_name) AS INTEGER) AS rank
 FROM (SELECT entity_name, COUNT(*) AS count FROM named GROUP BY entity_name) t
@@ -124,7 +124,7 @@ def _rated_views():
     return ("absa_relations", "absa_relations_entities")
 
 
-@register("best_rated_entities", ids=("AG-15", "J-03", "PF-07"), oracle=with_views(f"""
+@register("best_rated_entities", ids=("AG-15", "J-03", "PF-07", "SF-03"), oracle=with_views(f"""
 , {_RATED},
 means AS (SELECT entity_name, AVG(sentiment_value) AS sentiment FROM rated
           WHERE entity_name IS NOT NULL AND entity_type IS NOT NULL GROUP BY entity_name)

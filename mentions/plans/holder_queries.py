@@ -127,7 +127,7 @@ def rewrite_in_place(spark, sf_dir):
     return rounded(back["concepts"])
 
 
-@register("csv_permuted_columns", ids=("SC-01",), oracle=with_views(f"""
+@register("csv_permuted_columns", ids=("SC-01", "SF-06"), oracle=with_views(f"""
 SELECT doc_id, text_order, concept, freq, {r("relevance_score")} AS relevance_score, concept_type FROM concepts""", "concepts"))
 def csv_permuted_columns(spark, sf_dir):
     """A CSV whose columns come in another order, and with one more: columns go by their header."""

@@ -19,12 +19,12 @@ IMPL = {
     "SC-01": ("sources.tables.TableSet.from_path", ""),
     "SC-02": ("sources.tables.TableSet.from_path(backup_suffix=)", ""),
     "SC-03": ("sources.tables.TableSet(...)", ""),
-    "SC-04": ("sources.tables.TableSet.from_analyses / from_json", ""),
+    "SC-04": ("sources.tables.TableSet.from_analyses / from_json / from_results", "malformed, untyped and unordered input fails"),
     "SC-05": ("sources.tables.TableSet.from_sink", ""),
     "SC-06": ("sources.tables.TableSet.__getitem__", "KeyError / None tested in tests/test_tables.py"),
-    "SC-07": ("sources.tables.TableSet.concepts/.categories/.sentiments/.absa", "driver-side guard, tests only"),
-    "SC-08": ("operators.*.<Facade>._need", "driver-side guard, tests only"),
-    "FL-01": ("operators.flatten.flatten_analyses", ""),
+    "SC-07": ("sources.tables.TableSet.concepts/.categories/.sentiments/.absa", "presence by call"),
+    "SC-08": ("operators.*.<Facade>._need", "NoRelevantData in tests/test_tables.py, tests/test_concepts.py"),
+    "FL-01": ("operators.flatten.stage_analyses / flatten_analyses", "input read once"),
     "FL-02": ("operators.flatten.assign_doc_ids", "three bounded windows"),
     "FL-03": ("operators.flatten._finish", ""),
     "FL-04": ("operators.flatten.flatten_categories", ""),
@@ -38,7 +38,7 @@ IMPL = {
     "FL-12": ("operators.flatten.flatten_absa_evaluations", ""),
     "FL-13": ("operators.flatten.flatten_absa_evaluations_entities", ""),
     "FL-14": ("operators.flatten.FLATTENERS (absa_*)", ""),
-    "FL-15": ("operators.flatten.flatten_analyses over a DataFrame of analyses", ""),
+    "FL-15": ("operators.flatten.flatten_analyses; sources.sinks.TableSink.append", "ids go on"),
     "FL-16": ("operators.flatten.flatten_call", ""),
     "SK-01": ("sources.sinks.TableSink", "parquet and CSV"),
     "SK-02": ("sources.sinks.ViewSink", ""),
@@ -56,7 +56,7 @@ IMPL = {
     "PF-10": ("sources.tables.TableSet.filter", ""),
     "PF-11": ("operators.concepts.apply_concept_filter", "DataFrame, Column or Python predicate"),
     "PF-12": ("functions.display.remove_stopwords", ""),
-    "PF-13": ("select/alias throughout", "no separate operator"),
+    "PF-13": ("DataFrame.select on lazy tables", ""),
     "J-01": ("operators.concepts.co_occurring_concepts", "left-semi join"),
     "J-02": ("operators.absa.co_occurring_entities", "left-semi join"),
     "J-03": ("operators.absa.rated_mentions", ""),
@@ -117,7 +117,7 @@ IMPL = {
     "ST-01": ("streaming.ingest.start_ingest / ingest_batch", "exactly-once doc ids"),
     "ST-02": ("streaming.counts.windowed_concept_counts", ""),
     "UD-01": ("operators.concepts.apply_concept_filter", ""),
-    "BP-01": ("operators.batching.batch_texts", "no SQL oracle; brute-force test"),
+    "BP-01": ("operators.batching.batch_texts / text_bytes", "recursive SQL oracle"),
 }
 
 

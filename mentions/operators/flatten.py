@@ -69,11 +69,12 @@ def assign_doc_ids(analyses: DataFrame, seq: str = "seq") -> DataFrame:
     No step needs the whole input in one task, nothing is collected to the
     driver, and the result is deterministic.
     """
-    return _running_ids(analyses.select(F.col(seq).cast("long").alias("seq"), analysis_length().alias("_len")))
+    thin = analyses.select(F.col(seq).cast("long").alias("seq"), analysis_length().alias("_len"))
+    return _running_ids(thin).select("seq", "doc_base")
 
 
 def _running_ids(thin: DataFrame) -> DataFrame:
-    """:func:`assign_doc_ids` of rows ``seq, _len``."""
+    """:func:`assign_doc_ids` of rows ``seq, _len``; ``_again`` marks a repeated ``seq``."""
     thin = thin.select("seq", "_len", F.shiftright("seq", LOW_BITS).alias("_b1"), F.shiftright("seq", HIGH_BITS).alias("_b2"))
     level1 = thin.groupBy("_b2", "_b1").agg(F.sum("_len").alias("_s1"))
     level2 = level1.groupBy("_b2").agg(F.sum("_s1").alias("_s2"))
@@ -81,7 +82,8 @@ def _running_ids(thin: DataFrame) -> DataFrame:
     off1 = (level1.join(off2, "_b2", "inner")
             .select("_b1", (F.col("_o2") + _exclusive_sum("_s1", "_b1", "_b2")).alias("_o1")))
     return (thin.join(off1, "_b1", "inner")
-            .select("seq", (F.col("_o1") + _exclusive_sum("_len", "seq", "_b1")).cast("long").alias("doc_base")))
+            .select("seq", (F.col("_o1") + _exclusive_sum("_len", "seq", "_b1")).cast("long").alias("doc_base"),
+                    F.coalesce(F.lag("seq").over(Window.partitionBy("_b1").orderBy("seq")) == F.col("seq"), F.lit(False)).alias("_again")))
 
 
 def with_doc_base(analyses: DataFrame) -> DataFrame:
@@ -292,11 +294,12 @@ def stage_analyses(analyses: DataFrame, first_id: int = 0, store: bool = True) -
                     *[F.max(c).alias(c) for c in CALLS_IN_ORDER]).first()
     if seen.n != seen.seqs:
         raise ValueError(f"{seen.n - seen.seqs} analyses without seq")
-    twice = thin.groupBy("seq").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
-    if twice:
-        raise ValueError(f"seq {twice[0].seq} occurs {twice[0].n} times")
     _running_ids(thin).withColumn("doc_base", F.col("doc_base") + F.lit(first_id)).write.parquet(f"{root}/ids")
-    bases = spark.read.schema("seq long, doc_base long").parquet(f"{root}/ids")
+    ids = spark.read.schema("seq long, doc_base long, _again boolean").parquet(f"{root}/ids")
+    twice = ids.filter("_again").take(1)
+    if twice:
+        raise ValueError(f"seq {twice[0].seq} occurs more than once")
+    bases = ids.select("seq", "doc_base")
     return Staged(rows, bases, tuple(c for c in CALLS_IN_ORDER if seen[c]), seen.used or 0)
 
 

@@ -10,15 +10,18 @@ window whose word sequence also starts in a document with a smaller id.
    filter, and loses nothing.
 2. *Reference passages.* Documents with anchors in play give their passages:
    the stretch of windows with one anchor, at most ``2 * WINDOW - ANCHOR``
-   words. Equal passages become one, with the smallest document that has it.
+   words. Equal passages of a slice of documents give their words once, with
+   the smallest document.
 3. *Suffix automata.* Passages are dealt by anchor into reference shards of
    about ``SHARD_WORDS`` words. A shard's suffix automaton is built with the
-   smallest document of each state. Instead of sending every automaton to all
+   smallest document of each state; a passage that shares its anchor with no
+   other passage is its own reference. Instead of sending every automaton to all
    documents, which would grow with the square of the corpus, the passages that
    could match (those with the same anchors) are streamed through it: matching
    statistics give, at each word, the state of the last ``WINDOW`` words and so
-   the smallest document in which the window starts. A frequent anchor, of more
-   than ``LARGE`` passages, is cut into its single windows.
+   the smallest document in which the window starts. The passages of an anchor
+   with more than ``LARGE`` of them are cut into single windows, which are
+   reduced map-side, so no group of passages is unbounded.
 4. Windows met in a smaller document become spans; each document's spans are
    merged into maximal ones and removed.
 
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentions.llm.common import NO_ID, batches, stored, text_bytes, whole_rows
+from mentions.llm.common import NO_ID, batches, id_text, packed_texts, stored, text_bytes, unpacked_texts, whole_rows
 from mentions.llm.words import Slice
 
 WINDOW = 13
@@ -171,35 +174,43 @@ def anchors_in_play(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def passages(docs: DataFrame, lists: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``key, anchor, words, doc_id, version, start``: the passages of documents around their anchors in play."""
+    """``anchor, key, doc_id, version, start, words``: the passages of documents around their anchors in play.
+
+    ``key`` is the hash of the passage's words; with the anchor it names the
+    passage. A slice gives the words of equal passages once, with the smallest
+    document that has it; its other rows have null words.
+    """
     def run(source):
         import xxhash
 
-        for batch in batches(source, SLICE_BYTES):
-            words = Slice(text_bytes(batch["text"]), BLANK_BYTES)
+        for batch, texts in unpacked_texts(source, SLICE_BYTES):
+            words = Slice([t or b"" for t in texts], BLANK_BYTES)
             begin, found = window_anchors(words, window, anchor)
             at = _runs(words, begin, found)
             if not len(at):
                 continue
             ends = np.concatenate((at[1:], [len(begin)]))
-            row = words.doc[begin[at]]
-            sizes = [len(x) for x in batch["anchors"]]
             play = np.sort(batch["anchors"].flatten().to_numpy(zero_copy_only=False).view(np.uint64))
             # an anchor in play for one row of the slice is so for all: equal hash, another document
             near = np.searchsorted(play, found[at])
-            hit = np.flatnonzero((near < len(play)) & (play[np.minimum(near, len(play) - 1)] == found[at])) if sum(sizes) else []
-            low, high = begin[at], begin[ends - 1] + window
-            texts = [b" ".join(words.words(a, b)) for a, b in zip(low[hit].tolist(), high[hit].tolist(), strict=True)]
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)[row[hit]]
-            versions = batch["version"].to_numpy(zero_copy_only=False)[row[hit]]
+            hit = np.flatnonzero((near < len(play)) & (play[np.minimum(near, max(0, len(play) - 1))] == found[at]))
+            row = words.doc[begin[at[hit]]]
+            low, high = begin[at[hit]], begin[ends[hit] - 1] + window
+            texts = [b" ".join(words.words(x, y)) for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts)).view(np.int64)
+            anchors = found[at[hit]].view(np.int64)
+            ids = batch["doc_id"].to_numpy(zero_copy_only=False)[row]
+            versions = batch["version"].to_numpy(zero_copy_only=False)[row]
+            order = np.lexsort((ids, keys, anchors))
+            again = np.zeros(len(order), bool)
+            again[order[1:]] = (anchors[order[1:]] == anchors[order[:-1]]) & (keys[order[1:]] == keys[order[:-1]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary()), pa.array(found[at][hit].view(np.int64)),
-                 pa.array(texts, pa.binary()), pa.array(ids), pa.array(versions),
-                 pa.array(low[hit] - words.first[row[hit]], pa.int64())],
-                names=["key", "anchor", "words", "doc_id", "version", "start"])
+                [pa.array(anchors), pa.array(keys), pa.array(ids), pa.array(versions),
+                 pa.array((low - words.first[row]).astype(np.int32)), pa.array(texts, pa.binary(), mask=again)],
+                names=["anchor", "key", "doc_id", "version", "start", "words"])
 
-    return docs.join(lists, "doc_id").select("doc_id", "version", "text", "anchors").mapInArrow(
-        run, "key binary, anchor long, words binary, doc_id long, version long, start long")
+    return packed_texts(docs, ["doc_id", "version"]).join(lists, "doc_id").select("doc_id", "version", "packed", "anchors").mapInArrow(
+        run, "anchor long, key long, doc_id long, version int, start int, words binary")
 
 
 class SuffixAutomaton:
@@ -283,96 +294,99 @@ class SuffixAutomaton:
         return out
 
 
-def _shard(group: list[tuple[bytes, bytes, int]], window: int) -> list[tuple[bytes, list[int]]]:
-    """Windows' smallest documents of the passages (key, words, doc) of one reference shard."""
+def _shard(group: list[tuple], window: int) -> list[tuple]:
+    """Windows' smallest documents of the passages (anchor, key, words, doc) of one reference shard."""
     automaton = SuffixAutomaton()
-    split = [(key, text.split(b" "), doc) for key, text, doc in group]
-    for _, words, doc in split:
+    split = [(anchor, key, text.split(b" "), doc) for anchor, key, text, doc in group]
+    for _, _, words, doc in split:
         automaton.add(words, doc)
     automaton.close()
-    return [(key, automaton.first_documents(words, window)) for key, words, _ in split]
+    return [(anchor, key, automaton.first_documents(words, window)) for anchor, key, words, _ in split]
 
 
-def shard_matches(distinct: DataFrame, window: int, shard_words: int) -> DataFrame:
-    """``key, firsts``: for each passage the smallest document of each of its windows."""
-    dealt = distinct.select("anchor", "key", "words", "first").repartition("anchor").sortWithinPartitions("anchor")
+def shard_matches(references: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """``anchor, key, firsts``: for each passage the smallest document of each of its windows.
+
+    ``references`` has ``anchor, key, words, first``, a passage once for each slice that holds it.
+    """
+    dealt = references.repartition("anchor").sortWithinPartitions("anchor", "key", "first")
+    names = ["anchor", "key", "words", "first"]
 
     def run(source):
-        group: list = []
-        shard: list = []
-        done: list = []
-        size, last = 0, None
+        group: list[tuple] = []  # one anchor's passages, each once
+        shard: list[tuple] = []
+        done: list[tuple] = []
+        size = 0
 
-        def take(group):
-            """One anchor's passages: a lone passage is its own reference."""
+        def take():
+            """Move the group to the shard; a lone passage is its own reference."""
             if len(group) == 1:
-                key, text, doc = group[0]
-                done.append((key, [doc] * (text.count(b" ") + 2 - window)))
+                anchor, key, text, doc = group[0]
+                done.append((anchor, key, [doc] * (text.count(b" ") + 2 - window)))
                 return 0
             shard.extend(group)
-            return sum(text.count(b" ") + 1 for _, text, _ in group)
+            return sum(text.count(b" ") + 1 for _, _, text, _ in group)
 
         def rows():
-            out = pa.RecordBatch.from_arrays([pa.array([k for k, _ in done], pa.binary()),
-                                              pa.array([f for _, f in done], pa.list_(pa.int64()))], names=["key", "firsts"])
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in done], pa.list_(pa.int64()) if c == 2 else pa.int64()) for c in range(3)],
+                names=["anchor", "key", "firsts"])
             done.clear()
             return out
 
         for batch in source:
-            for anchor, *passage in zip(*[batch[c].to_pylist() for c in ("anchor", "key", "words", "first")], strict=True):
-                if anchor != last and group:
-                    size += take(group)
+            for passage in zip(*[batch[c].to_pylist() for c in names], strict=True):
+                if group and passage[0] != group[-1][0]:
+                    size += take()
                     group = []
-                    if size >= shard_words:
+                    if size >= shard_words or len(done) >= shard_words:
                         done.extend(_shard(shard, window))
                         shard, size = [], 0
                         yield rows()
-                last = anchor
-                group.append(tuple(passage))
+                if not group or passage[1] != group[-1][1]:
+                    group.append(passage)  # sorted: the smallest document comes first
         if group:
-            take(group)
+            take()
         if shard:
             done.extend(_shard(shard, window))
         if done:
             yield rows()
 
-    return dealt.mapInArrow(run, "key binary, firsts array<long>")
+    return dealt.select(*names).mapInArrow(run, "anchor long, key long, firsts array<long>")
 
 
-def window_matches(distinct: DataFrame, window: int) -> DataFrame:
+def window_matches(references: DataFrame, window: int) -> DataFrame:
     """As :func:`shard_matches`, for passages of very frequent anchors: each window goes by its own hash."""
     def run(source):
         import xxhash
 
         for batch in source:
             rows = []
-            for key, text, first in zip(*[batch[c].to_pylist() for c in ("key", "words", "first")], strict=True):
+            for anchor, key, text, first in zip(*[batch[c].to_pylist() for c in ("anchor", "key", "words", "first")], strict=True):
                 words = text.split(b" ")
-                rows += [(key, i, xxhash.xxh3_128_digest(b" ".join(words[i:i + window])), first)
+                rows += [(anchor, key, i, xxhash.xxh3_128_digest(b" ".join(words[i:i + window])), first)
                          for i in range(len(words) - window + 1)]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(
-                [pa.binary(), pa.int32(), pa.binary(), pa.int64()])], names=["key", "at", "window", "first"])
+                [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64()])], names=["anchor", "key", "at", "window", "first"])
 
-    windows = stored(distinct.select("key", "words", "first").mapInArrow(run, "key binary, at int, window binary, first long"),
-                     "substring-windows")
+    once = references.groupBy("anchor", "key").agg(F.first("words").alias("words"), F.min("first").alias("first"))
+    windows = stored(once.mapInArrow(run, "anchor long, key long, at int, window binary, first long"), "substring-windows")
     firsts = windows.groupBy("window").agg(F.min("first").alias("least"))
-    return windows.join(firsts, "window").groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("at", "least"))).alias("f")).select("key", F.col("f.least").alias("firsts"))
+    return windows.join(firsts, "window").groupBy("anchor", "key").agg(
+        F.sort_array(F.collect_list(F.struct("at", "least"))).alias("f")).select("anchor", "key", F.col("f.least").alias("firsts"))
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS,
                    large: int = LARGE) -> DataFrame:
-    """``doc_id, version, spans``: of the rows ``doc_id, version, text`` that lose words, the word spans that
-    windows of smaller documents cover (one for each passage, unmerged)."""
+    """``doc_id, version, starts``: of the rows ``doc_id, version, text`` that lose words, the word numbers at
+    which windows of smaller documents start."""
     lists = anchors_in_play(docs, window, anchor).groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     found = stored(passages(docs, lists, window, anchor), "substring-passages")
-    distinct = stored(found.groupBy("key").agg(F.first("anchor").alias("anchor"), F.first("words").alias("words"),
-                                               F.min("doc_id").alias("first")), "substring-distinct")
-    crowded = distinct.groupBy("anchor").count().where(F.col("count") > large).select("anchor")
-    crowded = stored(crowded, "substring-crowded")
-    firsts = shard_matches(distinct.join(crowded, "anchor", "left_anti"), window, shard_words).unionByName(
-        window_matches(distinct.join(crowded, "anchor", "left_semi"), window))
-    met = found.select("key", "doc_id", "version", "start").join(stored(firsts, "substring-firsts"), "key")
+    references = found.where(F.col("words").isNotNull()).select("anchor", "key", "words", F.col("doc_id").alias("first"))
+    crowded = stored(references.groupBy("anchor").count().where(F.col("count") > large).select("anchor"), "substring-crowded")
+    firsts = shard_matches(references.join(crowded, "anchor", "left_anti"), window, shard_words).unionByName(
+        window_matches(references.join(crowded, "anchor", "left_semi"), window))
+    met = found.select("anchor", "key", "doc_id", "version", "start").join(firsts, ["anchor", "key"])
     # start of each window that a smaller document has
     starts = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
     return met.select("doc_id", "version", starts.alias("starts")).where(F.size("starts") > 0).groupBy("doc_id", "version").agg(
@@ -386,17 +400,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     ``n_words``, ``n_removed``, ``spans`` (maximal removed word spans) and
     ``kept`` (the other words, joined by one space).
     """
-    base = whole_rows(docs, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn(
-        "version", F.xxhash64("text"))
-    lost = repeated_spans(base.select("doc_id", "version", "text"), window, **options)
-    schema = base.select("doc_id", "row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
-                         F.array().cast("array<struct<start:long,end:long>>").alias("spans"), F.lit("").alias("kept")).schema
+    number = F.coalesce("doc_id", F.lit(NO_ID))
+    texts = id_text(docs, id_col, text_col).select(number.alias("doc_id"), F.hash("text").alias("version"), "text")
+    lost = repeated_spans(texts, window, **options)
+    # the version tells rows of one id apart; the text travels compressed, beside the rest of the row
+    whole, text = whole_rows(docs, id_col), F.col("row").getField(text_col)
+    bare = F.struct(*[(F.lit(None).cast(kind) if c == text_col else F.col("row").getField(c)).alias(c) for c, kind in docs.dtypes])
+    base = packed_texts(whole.select(number.alias("doc_id"), F.hash(text.cast("string")).alias("version"), bare.alias("row"),
+                                     text.cast("string").alias("text")), ["doc_id", "version", "row"])
+    schema = whole.select("doc_id", "row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
+                          F.array().cast("array<struct<start:long,end:long>>").alias("spans"), F.lit("").alias("kept")).schema
+    place = docs.columns.index(text_col)
 
     def run(source):
-        for batch in batches(source, SLICE_BYTES):
+        for batch, texts in unpacked_texts(source, SLICE_BYTES):
             n_words, n_removed, spans, kept = [], [], [], []
-            for text, starts in zip(text_bytes(batch["text"]), batch["starts"], strict=True):
-                words = text.translate(BLANK_BYTES).split(b" ")
+            for text, starts in zip(texts, batch["starts"], strict=True):
+                words = (text or b"").translate(BLANK_BYTES).split(b" ")
                 words = [w for w in words if w]
                 gone = np.zeros(len(words) + 1, np.int64)
                 if starts.is_valid:
@@ -410,12 +430,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)])
                 kept.append(b" ".join(words if not len(edges) else [w for w, c in zip(words, cover.tolist(), strict=True) if not c])
                             .decode())
+            row = batch["row"]
+            fields = [row.type.field(i) for i in range(row.type.num_fields)]
+            parts = row.flatten()
+            parts[place] = pa.array([None if t is None else t.decode() for t in texts], pa.string()).cast(fields[place].type)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["row"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                [batch["doc_id"], pa.StructArray.from_arrays(parts, fields=fields), pa.array(n_words, pa.int64()),
+                 pa.array(n_removed, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
                 names=["doc_id", "row", "n_words", "n_removed", "spans", "kept"])
 
-    # the row holds the text; it is sent once
-    whole = base.drop("text").join(lost, ["doc_id", "version"], "left")
-    out = whole.select("doc_id", "row", F.col("row").getField(text_col).cast("string").alias("text"), "starts").mapInArrow(run, schema)
+    out = base.join(lost, ["doc_id", "version"], "left").select("doc_id", "row", "packed", "starts").mapInArrow(run, schema)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))

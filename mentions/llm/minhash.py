@@ -9,14 +9,15 @@
    arrival. A shingle stops when its next arrival is later than the latest
    register. Two registers agree with the probability Jaccard similarity
    ``J_P``, which is the plain Jaccard similarity where weights are equal.
-3. ``BANDS`` bands of ``ROWS`` registers make candidates. At 0.8 a pair shares
-   no band with probability (1 - 0.8**ROWS)**BANDS, 5e-5.
-4. Exact ``J_P`` of the texts decides. First each class of a bucket is
-   compared with the bucket's smallest class. Then, as links already found put
-   most of a bucket into one component, only pairs of a bucket that are still
-   in different components are compared. A pair left out is thus in one
-   component already: no link between different components is lost, and a large
-   group of copies costs comparisons in proportion to its size.
+3. ``BANDS`` bands of ``ROWS`` registers make buckets. At 0.8 a pair shares
+   no band with probability (1 - 0.8**ROWS)**BANDS, 5e-5. Buckets that hold
+   the same classes are looked at once.
+4. In a bucket the exact ``J_P`` of all pairs decides. Shared shingles of all
+   pairs are counted by a matrix product; where all weights are one that gives
+   ``J_P`` itself, else a bound on it, and the pairs that pass are computed. A
+   task returns each class with the smallest class that links reach inside the
+   bucket, so no pair is ever a row. A bucket over ``BLOCK`` classes is cut into
+   blocks, and each pair of blocks is a group of its own.
 
 Edge cases: documents without words link with nothing. Rows with the same id
 are one document, which links if any of them does. A null id counts as the
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentions.llm.common import NO_ID, batches, id_text, stored, text_bytes
+from mentions.llm.common import NO_ID, batches, group_cuts, id_text, packed_texts, stored, text_bytes, whole_groups, whole_rows
 from mentions.llm.decontaminate import WORD_BYTES
 from mentions.llm.graph import components
 from mentions.llm.words import Slice, mix
@@ -39,6 +40,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 127  # a prime: each step size visits all registers
 BANDS, ROWS = 25, 5
+BLOCK = 512
+#: Shingles in one step of the matrix product.
+COLUMNS = 4096
 SLICE_BYTES = 2 << 20
 
 
@@ -124,26 +128,116 @@ def class_table(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, key binary, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (``a``, ``b``) whose texts' exact ``J_P`` reaches ``similarity``."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+def linked(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, similarity: float) -> np.ndarray:
+    """For each of n documents the first document (by number) that links reach.
+
+    ``doc, key, weight`` are sorted by document, then key.
+    """
+    cut = np.searchsorted(doc, np.arange(n + 1))
+    labels = np.arange(n)
+    if n == 2:
+        x, y = slice(cut[0], cut[1]), slice(cut[1], cut[2])
+        if probability_jaccard(key[x], weight[x], key[y], weight[y]) >= similarity:
+            labels[1] = 0
+        return labels
+    sizes = np.diff(cut)
+    total = np.bincount(doc, weight, n)
+    unit = total == sizes
+    _, column, holders = np.unique(key, return_inverse=True, return_counts=True)
+    shared = holders[column] > 1
+    at, column, share = doc[shared], column[shared], (weight / np.maximum(total, 1)[doc])[shared]
+    column = np.unique(column, return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    at, column, share = at[order], column[order], share[order]
+    common, mass = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for low in range(0, width, COLUMNS):
+        part = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        has = np.zeros((n, min(COLUMNS, width - low)), np.float32)
+        has[at[part], column[part] - low] = 1
+        common += has @ has.T
+        if not unit.all():
+            part_mass = np.zeros_like(has)
+            part_mass[at[part], column[part] - low] = share[part]
+            mass += part_mass @ has.T
+    # equal weights: J_P is the Jaccard similarity of the sets, exact in integers
+    count = np.rint(common).astype(np.int64)
+    joint = sizes[:, None] + sizes[None, :] - count
+    both = unit[:, None] & unit[None, :]
+    links = both & (count >= similarity * joint)
+    labels = _reach(links, labels)
+    # else J_P is at most the lesser of the two documents' shares of weight in common
+    maybe = ~both & (np.minimum(mass, mass.T) >= similarity - 1e-4)
+    for i, j in zip(*np.nonzero(np.triu(maybe, 1)), strict=True):
+        if labels[i] != labels[j]:
+            x, y = slice(cut[i], cut[i + 1]), slice(cut[j], cut[j + 1])
+            if probability_jaccard(key[x], weight[x], key[y], weight[y]) >= similarity:
+                labels[labels == max(labels[i], labels[j])] = min(labels[i], labels[j])
+    return labels
+
+
+def _reach(links: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Smallest label of each connected part."""
+    n = len(labels)
+    while True:
+        near = np.where(links, labels[None, :], n).min(axis=1, initial=n)
+        new = np.minimum(labels, near)
+        new = np.minimum(new, new[new])
+        if (new == labels).all():
+            return labels
+        labels = new
+
+
+def bucket_members(classes: DataFrame, block: int) -> DataFrame:
+    """``band, x, y, rep``: the classes of each bucket of two or more, by pair of blocks ``x <= y``."""
+    buckets = classes.select("rep", F.explode("bands").alias("band"))
+    # two independent sums of hashes name a bucket's set of classes
+    sums = [F.sum(F.xxhash64(F.lit(k), "rep").cast("decimal(20,0)")).alias(f"h{k}") for k in (1, 2)]
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *sums).where("n > 1")
+    once = stored(sizes.groupBy("n", "h1", "h2").agg(F.min("band").alias("band")).select(
+        "band", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "minhash-buckets")
+    rows = buckets.join(once, "band").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select("band", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "rep")
+
+
+def bucket_links(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: each class of a bucket group with the smallest one that links inside the group reach."""
+    group_of = ["band", "x", "y"]
+    rows = members.join(texts.withColumnRenamed("doc_id", "rep"), "rep").repartition(*group_of).sortWithinPartitions(*group_of, "rep")
 
     def run(source):
-        for batch in batches(source, SLICE_BYTES):
-            n = batch.num_rows
-            words = Slice([*text_bytes(batch["text_a"]), *text_bytes(batch["text_b"])], WORD_BYTES)
-            doc, key, weight = shingle_counts(words)
-            cut = np.searchsorted(doc, np.arange(2 * n + 1))
-            own = [slice(cut[i], cut[i + 1]) for i in range(2 * n)]
-            keep = [probability_jaccard(key[own[i]], weight[own[i]], key[own[n + i]], weight[own[n + i]]) >= similarity
-                    for i in range(n)]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        import zstandard
+
+        press = zstandard.ZstdDecompressor()
+        for table in whole_groups(source, group_of):
+            names = table["rep"].to_numpy()
+            cuts = group_cuts(table, group_of)
+            packed = table["packed"].to_pylist()
+            reach = np.cumsum([0, *map(zstandard.frame_content_size, packed)])
+            out_a, out_b = [], []
+            start = 0
+            while start < len(cuts) - 1:
+                stop = start + 1
+                while stop < len(cuts) - 1 and reach[cuts[stop + 1]] - reach[cuts[start]] <= SLICE_BYTES:
+                    stop += 1
+                first = cuts[start]
+                texts = [press.decompress(x) for x in packed[first:cuts[stop]]]
+                doc, key, weight = shingle_counts(Slice(texts, WORD_BYTES))
+                for low, high in zip(cuts[start:stop], cuts[start + 1:stop + 1], strict=True):
+                    own = slice(*np.searchsorted(doc, [low - first, high - first]))
+                    labels = linked(doc[own] - (low - first), key[own], weight[own], high - low, similarity)
+                    moved = np.flatnonzero(labels != np.arange(high - low))
+                    out_a.append(names[low:high][labels[moved]])
+                    out_b.append(names[low:high][moved])
+                start = stop
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return rows.select(*group_of, "rep", "packed").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
     """Classes of equal words and components of near-duplicates.
 
     Returns one row per input row: ``doc_id``, ``class_id`` (the smallest id
@@ -154,24 +248,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col: str
     rows = stored(class_table(base), "minhash-rows")
     classes = stored(rows.where(F.col("key").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "minhash-classes")
-    buckets = classes.select("rep", F.explode("bands").alias("band"))
-    hubs = stored(buckets.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select(
-        "band", "hub"), "minhash-hubs")
-    members = stored(buckets.join(hubs, "band"), "minhash-members")
-    texts = stored(base.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "minhash-texts")
-    first = stored(members.where("hub <> rep").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-pairs")
-    links = stored(verified(first, texts, similarity), "minhash-links")
-    labels = components(links)
-    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("component"))
-    named = stored(named, "minhash-named")
-    mixed = named.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("band")
-    open_ = stored(named.join(mixed, "band", "left_semi"), "minhash-open")
-    other = open_.select("band", F.col("rep").alias("b"), F.col("component").alias("component_b"))
-    rest = open_.withColumnRenamed("rep", "a").join(other, "band").where("component < component_b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stored(verified(rest.join(first, ["a", "b"], "left_anti"), texts, similarity), "minhash-links")
-    labels = components(links.unionByName(more))
+    members = stored(bucket_members(classes, block), "minhash-members")
+    # the ids grow with the corpus: they are sorted and merged with the texts, which travel compressed
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    texts = packed_texts(base.where(F.col("text").isNotNull()), ["doc_id"]).join(wanted, "doc_id", "left_semi")
+    labels = components(bucket_links(members, texts, similarity))
     reps = classes.select("key", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
     out = rows.select("doc_id", "key").join(reps, "key", "left")
@@ -187,9 +268,10 @@ def dedup(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id
 
     Rows with the same id stay or go together, but of rows equal in id and words one stays.
     """
-    kept = near_duplicates(docs, similarity, id_col, text_col).where("kept").select("doc_id").groupBy("doc_id").count()
-    once = kept.select(F.col("doc_id").alias("__id"), (F.col("count") > 1).alias("__repeated"))
-    found = docs.join(once, docs[id_col].cast("long").eqNullSafe(once["__id"]))
-    single = found.where(~F.col("__repeated")).select(*[docs[c] for c in docs.columns])
-    again = found.where("__repeated").select(*[docs[c] for c in docs.columns]).dropDuplicates([id_col, text_col])
-    return single.unionByName(again)
+    kept = near_duplicates(docs, similarity, id_col=id_col, text_col=text_col).where("kept").groupBy("doc_id").agg(
+        (F.count(F.lit(1)) > 1).alias("repeated"))
+    rows = whole_rows(docs, id_col).select("row", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"))
+    found = rows.join(kept.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))), "doc_id")
+    once = found.where(~F.col("repeated")).select("row.*")
+    again = found.where("repeated").select("doc_id", "row", F.col("row").getField(text_col).alias("text"))
+    return once.unionByName(again.dropDuplicates(["doc_id", "text"]).select("row.*"))

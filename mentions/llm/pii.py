@@ -141,7 +141,7 @@ def disclosures(found: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTE
     """``kind, value, term, disclosure`` of the terms that occur with an entity in enough surroundings."""
     total = F.lit(found.count())
     pair = ["kind", "value", "term"]
-    seen = near.groupBy(*pair).agg(F.approx_count_distinct("context").alias("contexts"))  # a filter on small counts
+    seen = near.groupBy(*pair).agg(F.countDistinct("context").alias("contexts"))
     seen = seen.where(F.col("contexts") >= min_contexts)
     joint = near.join(seen.select(*pair), pair, "left_semi").select(*pair, "doc_id", "version").distinct().groupBy(*pair).agg(
         F.count("*").alias("both"))

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentions.llm.common import batches, id_text, stored, whole_rows, worker_cache
+from mentions.llm.common import batches, id_text, row_texts, stored, whole_rows, worker_cache
 
 THRESHOLD = 0.3
 MAX_TRAIN = 20_000
@@ -53,9 +53,12 @@ NEGATION_REACH = 3
 MAX_STEMS = 512
 MIN_DOCS = 4
 MIN_WEIGHT = 1.5
+MIN_SURPRISE = 8.0
 STEM_LENGTHS = range(3, 9)
 BATCH_BYTES = 4 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+#: Stems that a task counts before it sends them on.
+HELD_STEMS = 100_000
 
 # Cue words of the four languages.
 THREATS = "kill hurt destroy burn hang shoot beat crush die umbringen töten zerstören verbrennen tuer brûler frapper détruire mourir matar quemar golpear destruir morir"
@@ -158,8 +161,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
 def stem_counts(train: DataFrame) -> DataFrame:
     """``stem, bad, good, bad_docs, good_docs``: tokens and documents of each prefix and whole word by label."""
     def run(source):
+        tokens, docs = (Counter(), Counter()), (Counter(), Counter())
+
+        def rows():
+            keys = list(tokens[0].keys() | tokens[1].keys())
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string())] + [pa.array([c.get(k, 0) for k in keys], pa.int64())
+                                                 for c in (tokens[1], tokens[0], docs[1], docs[0])],
+                names=["stem", "bad", "good", "bad_docs", "good_docs"])
+            for c in (*tokens, *docs):
+                c.clear()
+            return out
+
         for batch in batches(source, BATCH_BYTES):
-            tokens, docs = (Counter(), Counter()), (Counter(), Counter())
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
                 own = Counter(w for w in WORDS.findall((text or "").lower()) if w[0].isalpha())
                 stems: Counter = Counter()
@@ -171,11 +185,9 @@ def stem_counts(train: DataFrame) -> DataFrame:
                 side = int(toxic > 0)
                 tokens[side].update(stems)
                 docs[side].update(stems.keys())
-            keys = list(tokens[0].keys() | tokens[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string())] + [pa.array([c.get(k, 0) for k in keys], pa.int64())
-                                                 for c in (tokens[1], tokens[0], docs[1], docs[0])],
-                names=["stem", "bad", "good", "bad_docs", "good_docs"])
+                if len(tokens[0]) + len(tokens[1]) > HELD_STEMS:
+                    yield rows()
+        yield rows()
 
     sums = [F.sum(c).alias(c) for c in ("bad", "good", "bad_docs", "good_docs")]
     return train.mapInArrow(run, "stem string, bad long, good long, bad_docs long, good_docs long").groupBy("stem").agg(*sums)
@@ -185,13 +197,18 @@ def learn_stems(train: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, float
     """The stems that tell most, at most ``max_stems``, with their log-odds weights."""
     counts = stored(stem_counts(train), "stems")
     whole = counts.where(F.col("stem").endswith("$")).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
+    share = train.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("s")).first().s
     if not whole.bad or not whole.good:
         return {}
     odds = F.log((F.col("bad") + 0.5) / F.lit(whole.bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(whole.good + 1.0))
-    rated = counts.where(F.col("bad_docs") >= MIN_DOCS).withColumn("weight", odds).where(F.col("weight") > MIN_WEIGHT)
-    # documents rather than tokens rank a stem, so that one long document doesn't make it
-    rank = F.col("bad_docs") * F.col("weight")
-    return {r.stem: float(r.weight) for r in rated.orderBy(rank.desc(), "stem").limit(max_stems).collect()}
+    # how surprising so many toxic documents are, if the stem had nothing to do with the label (a Poisson tail bound);
+    # documents rather than tokens, so that one long document doesn't make a stem
+    expected = (F.col("bad_docs") + F.col("good_docs")) * F.lit(share)
+    surprise = F.col("bad_docs") * F.log(F.col("bad_docs") / expected) - F.col("bad_docs") + expected
+    rated = counts.where(F.col("bad_docs") >= MIN_DOCS).select("stem", odds.alias("weight"), surprise.alias("surprise"),
+                                                               (F.col("bad_docs") > expected).alias("more"))
+    rated = rated.where(F.col("more") & (F.col("weight") > MIN_WEIGHT) & (F.col("surprise") > MIN_SURPRISE))
+    return {r.stem: float(r.weight) for r in rated.orderBy(F.desc("surprise"), "stem").limit(max_stems).collect()}
 
 
 def _grammar(stems: dict[str, float]) -> Grammar:
@@ -244,12 +261,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_stem
     # rows are collected in any order; sort them so that sums are the same each time
     order = np.lexsort(np.column_stack([x, y]).T)
     mean, scale, beta = fit_logistic(x[order], y[order])
-    return {"stems": stems, "mean": mean, "scale": scale, "beta": beta, "share": float(y.mean())}
+    # features beyond those of the training rows count as the nearest of them
+    return {"stems": stems, "mean": mean, "scale": scale, "beta": beta, "share": float(y.mean()), "low": x.min(axis=0), "high": x.max(axis=0)}
 
 
 def score_rows(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, row, score`` for every input row (map-only)."""
-    base = whole_rows(docs, id_col, text_col)
+    base = whole_rows(docs, id_col)
     schema = base.select("doc_id", "row", F.lit(0.0).alias("score")).schema
 
     def run(source):
@@ -258,7 +276,8 @@ def score_rows(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: s
             if model["beta"] is None:
                 scores = list(repeat(model["share"], batch.num_rows))
             else:
-                x = np.array([grammar.features(t or "") for t in batch["text"].to_pylist()])
+                x = np.array([grammar.features(t or "") for t in row_texts(batch, text_col).to_pylist()])
+                x = np.clip(x, model["low"], model["high"])
                 z = np.hstack([(x - model["mean"]) / model["scale"], np.ones((len(x), 1))]) @ model["beta"]
                 scores = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(scores, pa.float64())],

@@ -5,12 +5,15 @@ from __future__ import annotations
 from mentions.operators import absa as A
 from mentions.operators import categories as G
 from mentions.plans.registry import r, register, rounded
+from mentions.session import scratch_dir
+from mentions.sources.bucketed import BucketedSink
 from mentions.sources.views import load_views, with_views
 
 # Fixed query arguments for the registered checks.
 ENTITY_LOOKUP = ["Brand#5", "NotHere", "NATION_3", "Brand#5"]
 ANCHOR = "brand#1"
 PREFIX = "s"
+BUCKETS = 8
 N = 15
 PIE = 3
 
@@ -136,6 +139,23 @@ def best_rated_entities(spark, sf_dir):
     return rounded(A.best_rated_entities(v["absa_relations"], v["absa_relations_entities"], N))
 
 
+@register("best_rated_bucketed", ids=("AG-15", "J-03", "SK-01"), oracle=with_views(f"""
+, {_RATED},
+means AS (SELECT entity_name, AVG(sentiment_value) AS sentiment FROM rated
+          WHERE entity_name IS NOT NULL AND entity_type IS NOT NULL GROUP BY entity_name)
+SELECT entity_name, {r("sentiment")} AS sentiment,
+  CAST(ROW_NUMBER() OVER (ORDER BY sentiment DESC, entity_name) AS INTEGER) AS rank
+FROM means ORDER BY sentiment DESC, entity_name LIMIT {N}""", *_rated_views()))
+def best_rated_bucketed(spark, sf_dir):
+    """As ``best_rated_entities``, over tables bucketed by the join's keys."""
+    v = load_views(spark, sf_dir)
+    path = scratch_dir(spark, "bucketed")
+    sink = BucketedSink(spark, path, f"bucketed_{path.rsplit('/', 1)[-1]}_", BUCKETS)
+    sink.write({"absa_relations": v["absa_relations"], "absa_relations_entities": v["absa_relations_entities"]})
+    tables = sink.open()
+    return rounded(A.best_rated_entities(tables["absa_relations"], tables["absa_relations_entities"], N))
+
+
 @register("worst_rated_entities", ids=("AG-16", "J-04", "D11"), oracle=with_views(f"""
 , {_RATED},
 means AS (SELECT entity_name, AVG(sentiment_value) AS sentiment FROM rated

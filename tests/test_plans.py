@@ -70,17 +70,14 @@ def test_callable_is_a_python_predicate(concepts, predicate, passing):
     assert {r[0] for r in K.concept_frequencies(concepts, concept_filter=predicate).collect()} == passing
 
 
-def test_share_reuses_the_counts_exchange(spark, concepts):
+def test_share_reuses_the_counts_exchange(concepts, absa_tables):
     from mentions.operators import absa as A
     from mentions.operators import concepts as K
 
-    path = "concepts"
-    concepts.createOrReplaceTempView(path)
-    for out in (K.most_common_concepts(spark.table(path), normalize=True),):
+    for out in (K.most_common_concepts(concepts, normalize=True),
+                A.most_common_entities(absa_tables["absa_entities"], normalize=True)):
         out.collect()
-        text = out._jdf.queryExecution().executedPlan().toString()
-        assert "ReusedExchange" in text
-    assert A is not None
+        assert "ReusedExchange" in plan(out)
 
 
 def test_json_is_scanned_once_for_all_tables(spark, analysis, tmp_path):
@@ -93,3 +90,21 @@ def test_json_is_scanned_once_for_all_tables(spark, analysis, tmp_path):
         text = plan(df)
         # the JSON was read into parquet; tables read the nested rows once and the thin ids once
         assert "FileScan json" not in text and text.count("FileScan parquet") == 2
+
+
+def test_bucketed_rating_join_has_no_exchange(spark, absa_tables, tmp_path):
+    from mentions.operators import absa as A
+    from mentions.sources.bucketed import BucketedSink
+
+    sink = BucketedSink(spark, str(tmp_path), "bucket_test_", 4)
+    sink.write({n: absa_tables[n] for n in ("absa_relations", "absa_relations_entities")})
+    tables = sink.open()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = A.rated_mentions(tables["absa_relations"], tables["absa_relations_entities"])
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert joined.count() == A.rated_mentions(absa_tables["absa_relations"], absa_tables["absa_relations_entities"]).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

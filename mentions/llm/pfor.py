@@ -185,4 +185,5 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     arrays.append(pa.array(own, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return segments.join(shard_starts(segments), "shard").mapInArrow(run, schema)
+    # one row per range partition of the writer, so small beside any segment
+    return segments.join(F.broadcast(shard_starts(segments)), "shard").mapInArrow(run, schema)

@@ -5,7 +5,7 @@ window whose word sequence also starts in a document with a smaller id.
 
 1. *Anchors.* The anchor of a window is its least run of ``ANCHOR`` words by
    hash, so equal windows have equal anchors wherever they are. A document
-   sends each change of anchor once, about two for nine words, in compressed
+   sends each change of anchor once, about one for five words, in compressed
    blocks. Anchors that only one document has are out of play; this is a
    filter, and loses nothing.
 2. *Reference passages.* Documents with anchors in play give their passages:
@@ -45,7 +45,7 @@ from mentions.llm.common import NO_ID, batches, id_text, packed_texts, stored, t
 from mentions.llm.words import Slice
 
 WINDOW = 13
-ANCHOR = 6
+ANCHOR = 5
 #: Bytes of an anchor's hash that are sent; a chance match costs a comparison, no more.
 ANCHOR_BYTES = 6
 SLICE_BYTES = 2 << 20

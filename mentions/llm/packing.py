@@ -14,8 +14,8 @@
    a part is not full.
 
 A document longer than the token budget is a batch of its own, whole. Null and
-empty texts have the end token alone. Repeated rows are packed each. An empty
-table gives no batches. Ties in length share a bucket; order inside a part is
+empty texts have the end token alone. Repeated rows are packed each (rows equal
+in id and text share a part). An empty table gives no batches. Ties in length share a bucket; order inside a part is
 by (length, doc_id, hash of the text).
 """
 

@@ -26,10 +26,8 @@ CACHED_LENGTH = 64
 
 #: Letters that lower-case one by one to letters and are in normal form already (the dotted capital I is not).
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]?)")
-#: Neither letter, digit, white space, full stop nor comma.
-OTHER_MARK = re.compile(r"[^\w\s.,]|_")
-#: Such a mark beside a full stop or comma.
-BESIDE_MARK = re.compile(r"[.,](?=[^\w\s]|_)|(?:[^\w\s]|_)(?=[.,])")
+#: Latin-1 characters as a full stop or comma (``.``), letter, digit or white space (``a``), or another mark (``!``).
+KINDS = bytes(ord("." if c in ".," else "a" if c.isalnum() or c in " \t\n\r\x0b\x0c" else "!") for c in map(chr, range(256)))
 
 
 def default_tokenizer() -> str:
@@ -54,13 +52,12 @@ def plain_words(text: str) -> list[str]:
     it may stand alone.
     """
     try:
-        text.encode("latin-1")
+        kinds = text.encode("latin-1").translate(KINDS)
     except UnicodeEncodeError:
         pass
     else:
         text = text.lower()
-        pairs = ".." in text or ",," in text or ".," in text or ",." in text
-        if not pairs and (OTHER_MARK.search(text) is None or BESIDE_MARK.search(text) is None):
+        if b".." not in kinds and b".!" not in kinds and b"!." not in kinds:
             text = text.replace(".", " . ").replace(",", " , ")
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
@@ -93,6 +90,8 @@ class WordEncoder(dict):
         return array("I", ids).tobytes()
 
     def word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return array("I", [t.id for t in self.model.tokenize(word.lower())]).tobytes()
         simple = SIMPLE.fullmatch(word)
         if simple is None:
             return self.whole(word)

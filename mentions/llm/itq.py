@@ -6,9 +6,12 @@
    directions, then alternate codes and the orthogonal Procrustes solution).
    Several starts give several rotations, so codes may be longer than vectors.
 3. Every class is indexed. The code is cut into substrings, one per hash table.
-   A substring has about log2 of the number of classes bits, so that a random
-   bucket stays small at any size; the number of tables follows from it and
-   from the share of pairs at the threshold to be found (``RECALL``).
+   How well codes agree is measured, not derived: partners at exactly the
+   threshold are made around sampled vectors (with noise of all directions and
+   with noise of the sample's own differences) and coded. The number of tables
+   is such that ``RECALL`` of them meet in every one of ``REGIONS`` regions
+   (by distance from the centre) for both kinds; substrings are as long as is
+   cheapest by measured bucket sizes, down to none (all pairs are compared).
 4. In a bucket, cosines of the original vectors in double precision decide. A
    pair counts only in the first table where it meets, so links are counted
    without a list of pairs: a task returns link counts and a spanning forest.
@@ -38,8 +41,11 @@ RECALL = 0.97
 FIT_BYTES = 16 << 20
 ITERATIONS = 30
 BLOCK = 2048
-SLACK_BITS = 2
-LEAST_BITS = 8
+#: Sampled vectors that get partners at the threshold, and the regions they are told apart by.
+PROBES = 4096
+REGIONS = 4
+#: Moving a row to a bucket costs as much as so many comparisons.
+ROW_COST = 64
 
 
 def valid(vector: F.Column) -> F.Column:
@@ -48,29 +54,93 @@ def valid(vector: F.Column) -> F.Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def fit_rotations(sample: np.ndarray, bits: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """``(mean, projection)``: the sign of ``(x - mean) @ projection`` is the code of at least ``bits`` bits."""
+class Rotations:
+    """``mean`` and ``projection``: the sign of ``(x - mean) @ projection`` is the code; ``extend`` makes it longer."""
+
+    def __init__(self, sample: np.ndarray, seed: int = 7):
+        self.rng = np.random.default_rng(seed)
+        self.mean = sample.mean(axis=0)
+        centred = sample - self.mean
+        _, self.axes = np.linalg.eigh(centred.T @ centred)
+        self.main = centred @ self.axes
+        self.projection = np.empty((sample.shape[1], 0))
+
+    def extend(self, bits: int) -> None:
+        """Learn rotations until codes have at least ``bits`` bits."""
+        width = len(self.mean)
+        parts = [self.projection]
+        for _ in range(-(-(bits - self.projection.shape[1]) // width)):
+            rotation = np.linalg.qr(self.rng.normal(size=(width, width)))[0]
+            for _ in range(ITERATIONS):
+                u, _, vt = np.linalg.svd(np.where(self.main @ rotation >= 0, 1.0, -1.0).T @ self.main)
+                rotation = (u @ vt).T
+            parts.append(self.axes @ rotation)
+        self.projection = np.concatenate(parts, axis=1)
+
+    def codes(self, x: np.ndarray, bits: int | None = None) -> np.ndarray:
+        return (x - self.mean) @ self.projection[:, :bits] >= 0
+
+
+def substrings(codes: np.ndarray, tables: int, bits: int) -> np.ndarray:
+    """The substring of each table as an integer."""
+    return codes[:, :tables * bits].reshape(len(codes), tables, bits).astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+
+
+def probe_pairs(sample: np.ndarray, threshold: float, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Groups of pairs at the threshold: for each kind of noise and region, sampled vectors and partners made for them."""
     rng = np.random.default_rng(seed)
-    mean = sample.mean(axis=0)
-    centred = sample - mean
-    _, axes = np.linalg.eigh(centred.T @ centred)
-    main = centred @ axes
-    width = sample.shape[1]
-    parts = []
-    for _ in range(-(-bits // width)):
-        rotation = np.linalg.qr(rng.normal(size=(width, width)))[0]
-        for _ in range(ITERATIONS):
-            u, _, vt = np.linalg.svd(np.where(main @ rotation >= 0, 1.0, -1.0).T @ main)
-            rotation = (u @ vt).T
-        parts.append(axes @ rotation)
-    return mean, np.concatenate(parts, axis=1)
-
-
-def table_plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
-    """``(bits, tables)`` for n classes: see the module's third point."""
-    bits = max(LEAST_BITS, round(math.log2(max(2, n))) - SLACK_BITS)
-    meet = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, max(1, math.ceil(math.log(1 - recall) / math.log1p(-meet)))
+    # a small sample gives each vector several partners
+    x = sample[np.resize(rng.permutation(len(sample)), PROBES)]
+    x = x[np.argsort(np.linalg.norm(x - sample.mean(axis=0), axis=1), kind="stable")]
+    out = []
+    for noise in (rng.normal(size=x.shape), sample[rng.integers(len(sample), size=len(x))] - x):
+        noise = noise - (noise * x).sum(axis=1, keepdims=True) * x
+        size = np.linalg.norm(noise, axis=1, keepdims=True)
+        usable = size[:, 0] > 1e-6  # one component, or the vector itself: no such partner
+        y = threshold * x + math.sqrt(max(0.0, 1 - threshold * threshold)) * noise / np.where(size > 1e-6, size, 1)
+        out += [(x[r], y[r]) for r in np.array_split(np.flatnonzero(usable), REGIONS) if len(r)]
+    return out
+
+
+def table_plan(n: int, sample: np.ndarray, threshold: float, recall: float) -> tuple[int, int, Rotations]:
+    """``(bits, tables, rotations)`` for n classes: see the module's third point."""
+    model, width = Rotations(sample), sample.shape[1]
+    pairs = probe_pairs(sample, threshold)
+    model.extend(max(256, 2 * width))
+    agree = [(model.codes(x) == model.codes(y)).mean(axis=1) for x, y in pairs]
+    own = model.codes(sample)
+
+    def least_tables(bits: int, most: float) -> float:
+        """The fewest tables by which ``recall`` is expected in every region, if they are ``most`` at most."""
+        need = 1
+        for a in agree:
+            missed = 1 - a ** bits
+            while (missed ** need).mean() > 1 - recall:
+                need = math.ceil(need * 1.05)
+                if need > most:
+                    return math.inf
+        return need
+
+    def bucket(bits: int) -> float:
+        """Rows that a row meets in a table, from the sample's collisions."""
+        sizes = [np.unique(k, return_counts=True)[1] for k in substrings(own, own.shape[1] // max(1, bits), bits).T[:8]]
+        return 1 + (n - 1) * float(np.mean([(c * (c - 1)).sum() for c in sizes])) / max(1, len(own) * (len(own) - 1))
+
+    best = (float(n), 0, 1)  # no bits: one bucket, all pairs
+    for bits in range(1, max(2, n).bit_length() + 1):
+        met = bucket(bits)
+        tables = least_tables(bits, best[0] / (ROW_COST + met))
+        best = min(best, (tables * (ROW_COST * (1 + tables / width) + met), bits, tables))
+    _, bits, tables = best
+    while bits:
+        model.extend(bits * tables)
+        met = [(substrings(model.codes(x), tables, bits) == substrings(model.codes(y), tables, bits)).any(axis=1).mean() for x, y in pairs]
+        if min(met, default=1.0) >= recall:
+            break
+        tables = math.ceil(tables * 1.05)
+        if tables * ROW_COST > n:
+            bits, tables = 0, 1
+    return bits, tables, model
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -84,17 +154,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def encode(classes: DataFrame, width: int, bits: int, tables: int, model) -> DataFrame:
     """``rep, n, vector, keys``: the substring of each table as an integer."""
-    shared = classes.sparkSession.sparkContext.broadcast(model)  # width * tables * bits doubles
+    # width * tables * bits doubles
+    shared = classes.sparkSession.sparkContext.broadcast((model.mean, model.projection[:, :bits * tables]))
 
     def run(source):
         mean, projection = shared.value
-        powers = (1 << np.arange(bits, dtype=np.int64))
         for batch in source:
             if not batch.num_rows:
                 continue
             x = _unit(_matrix(batch["vector"], width))
-            codes = ((x - mean) @ projection[:, :bits * tables] >= 0).reshape(len(x), tables, bits)
-            keys = codes.astype(np.int64) @ powers
+            keys = substrings((x - mean) @ projection >= 0, tables, bits)
             offsets = np.arange(0, (len(x) + 1) * tables, tables, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch["rep"], batch["n"], batch["vector"],
@@ -206,12 +275,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     found = None
     for width, n in [tuple(r) for r in classes.groupBy(F.size("vector").alias("w")).count().collect()]:
         own = classes.where(F.size("vector") == width)
-        bits, tables = table_plan(n, threshold, recall)
         rows = max(2, fit_bytes // (8 * width))  # of the sample
         sample = own.orderBy(F.xxhash64("rep")).limit(rows).select("vector")  # bounded: fit_bytes
         x = np.array([r.vector for r in sample.toLocalIterator()], np.float64).reshape(-1, width)
-        coded = stored(encode(own.select("rep", "n", "vector"), width, bits, tables, fit_rotations(_unit(x), bits * tables)),
-                       "codes")
+        bits, tables, model = table_plan(n, _unit(x), threshold, recall)
+        coded = stored(encode(own.select("rep", "n", "vector"), width, bits, tables, model), "codes")
         links = stored(bucket_links(bucket_rows(coded, block), width, threshold), "links")
         found = links if found is None else found.unionByName(links)
     if found is None:

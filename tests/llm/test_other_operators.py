@@ -149,6 +149,27 @@ def test_recall_of_links_near_the_threshold(spark):
     assert sum(got.values()) >= 0.9 * sum(want.values()) and sum(want.values()) > 1000
 
 
+@pytest.mark.parametrize("n", [1500, 6000])
+def test_recall_with_a_common_component(spark, n):
+    rng = np.random.default_rng(4)
+    width, background = 64, 0.7
+    shared = np.ones(width) / math.sqrt(width)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def apart(x, y):
+        return unit(x - (x * y).sum(axis=-1, keepdims=True) * y)
+
+    base = math.sqrt(background) * shared + math.sqrt(1 - background) * apart(rng.normal(size=(n, width)), shared)
+    near = 0.905 * base[:400] + math.sqrt(1 - 0.905**2) * apart(rng.normal(size=(400, width)), base[:400])
+    every = np.concatenate([base, near]).astype(np.float32)
+    x = unit(every.astype(np.float64))
+    want = (x @ x.T >= 0.9).sum() - len(x)
+    got = sum(r.n_links for r in itq.near_duplicates(embeddings(spark, list(enumerate(every)))).collect())
+    assert want >= 800 and 0.95 * want <= got <= want
+
+
 def test_no_vectors(spark):
     assert itq.near_duplicates(embeddings(spark, [])).count() == 0
     only = [(1, None), (2, [0.0, 0.0])]

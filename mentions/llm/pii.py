@@ -1,26 +1,28 @@
 """Operator 2, information-theoretic sanitisation (DataFrame functions only).
 
 *Base* spans are personal data found by pattern: e-mail, IP, card and phone.
-These are the protected entities. *Method* spans are terms near them that
-reveal them. With documents as events,
+These are the protected entities. *Method* spans are terms that reveal them.
+With documents as events,
 
     IC(e) = -log2 p(e)                      what knowing the entity is worth
     PMI(e; t) = log2 p(e, t) / (p(e) p(t))  what the term tells of it
     disclosure(e; t) = PMI(e; t) / IC(e)    1: the term gives the entity away
 
-A term within ``REACH`` characters of the entity counts as occurring with it.
-It is removed where its disclosure is ``REMOVE`` or more, and generalised (its
-kind's name stays) from ``GENERALISE`` on. Terms need ``MIN_CONTEXTS``
-different surroundings with the entity, so copies of one text prove nothing.
+All words of a document, outside its base spans, count as occurring with its
+entities. A term is removed where its disclosure of any entity is ``REMOVE`` or
+more, and generalised (its kind's name stays) from ``GENERALISE`` on: wherever
+it stands, in documents that don't print the entity as well. It needs
+``MIN_CONTEXTS`` different texts with the entity, so copies of one text prove
+nothing.
 
 Positions come without Python: the pieces between matches (``split``) and the
 matches (``regexp_extract_all``) alternate, so a running sum of their lengths
 gives code-point offsets. Patterns are possessive and begin where a run
 begins, so that long runs are read once.
 
-Texts are read, never shuffled: what moves is entities, the terms near them
-and document frequencies, all combined map-side. A hot entity's rows are
-counted before they meet, and joins are on (entity, term).
+What moves is entities, counts of (entity, term) and document frequencies, all
+combined map-side. Lists of at most ``SMALL`` rows are broadcast; the texts of
+documents with revealing terms move only if there are more of them.
 
 Edge cases: a null text is empty and has no spans. Rows equal in id and text
 get equal results. An empty table gives no rows.
@@ -43,15 +45,19 @@ KINDS = ("email", "ip", "card", "phone")
 PATTERNS = (EMAIL, IP, CARD, PHONE)
 TERM = r"(?<![\p{L}\p{M}])[\p{L}\p{M}]{3,40}+(?![\p{L}\p{M}])"
 
-REACH = 48
 MIN_CONTEXTS = 3
+#: Rows of a list that is broadcast; longer ones are joined by a shuffle.
+SMALL = 100_000
 GENERALISE = 0.8
 REMOVE = 0.95
 SPAN = "struct<start:int,end:int,value:string>"
 
 
-def matches(text: F.Column, pattern: str, quick: F.Column) -> F.Column:
-    """Array of (start, end, value) of the pattern's matches; ``quick`` is false only where there is none."""
+def matches(text: F.Column, pattern: str, quick: F.Column, keep=None) -> F.Column:
+    """Array of (start, end, value) of the pattern's matches; ``quick`` is false only where there is none.
+
+    ``keep`` tells from a match's value whether it is wanted.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
@@ -59,8 +65,8 @@ def matches(text: F.Column, pattern: str, quick: F.Column) -> F.Column:
     def step(held, pair):
         start = held["at"] + F.length(pair["p"])
         end = start + F.length(pair["v"])
-        return F.struct(end.alias("at"), F.concat(held["out"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), pair["v"].alias("value")))).alias("out"))
+        more = F.concat(held["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["v"].alias("value"))))
+        return F.struct(end.alias("at"), (more if keep is None else F.when(keep(pair["v"]), more).otherwise(held["out"])).alias("out"))
 
     # the piece after the last match has no match of its own
     pairs = F.filter(F.arrays_zip(between.alias("p"), found.alias("v")), lambda x: x["v"].isNotNull())
@@ -120,39 +126,60 @@ def kind_count(spans: F.Column, kind: int) -> F.Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def nearby_terms(found: DataFrame) -> DataFrame:
-    """Terms near base spans: ``doc_id, version, kind, value, term, start, end, context``."""
-    spans = found.where(F.size("base") > 0).select("doc_id", "version", "text", F.explode("base").alias("s"))
-    low = F.greatest(F.lit(0), F.col("s.start") - REACH)
-    sides = F.array(
-        F.struct(low.alias("at"), F.expr("substring(text, greatest(0, s.start - {0}) + 1, s.start - greatest(0, s.start - {0}))".format(
-            REACH)).alias("side")),
-        F.struct(F.col("s.end").alias("at"), F.expr(f"substring(text, s.end + 1, {REACH})").alias("side")))
-    near = spans.select("doc_id", "version", F.col("s.kind").alias("kind"), F.col("s.value").alias("value"), sides.alias("sides"))
-    context = F.xxhash64(F.col("sides")[0]["side"], F.col("sides")[1]["side"])
-    near = near.withColumn("context", context).select("doc_id", "version", "kind", "value", "context", F.explode("sides").alias("x"))
-    terms = near.select("doc_id", "version", "kind", "value", "context", "x.at",
-                        F.explode(matches(F.col("x.side"), TERM, F.lit(True))).alias("m"))
-    return terms.select("doc_id", "version", "kind", "value", "context", F.lower("m.value").alias("term"),
-                        (F.col("at") + F.col("m.start")).alias("start"), (F.col("at") + F.col("m.end")).alias("end"))
-
-
-def disclosures(found: DataFrame, near: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
-    """``kind, value, term, disclosure`` of the terms that occur with an entity in enough surroundings."""
-    total = F.lit(found.count())
+def outside(text: F.Column, base: F.Column) -> F.Column:
+    """The text with spaces in place of its base spans, so that positions stay."""
+    def step(held, s):
+        begin, end = F.greatest(held["at"], s["start"]), F.greatest(held["at"], s["end"])
+        return F.struct(end.alias("at"), F.concat(held["out"], F.substring(text, held["at"] + 1, begin - held["at"]),
+                                                  F.repeat(F.lit(" "), end - begin)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.when(F.size(base) == 0, text).otherwise(F.aggregate(base, start, step, lambda held: F.concat(
+        held["out"], F.substring(text, held["at"] + 1, F.length(text)))))
+
+
+def words(rest: F.Column) -> F.Column:
+    """The different terms of a text without its base spans."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(rest, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    """A stored list for joins: broadcast if it is small."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def _own_entities(base: F.Column) -> F.Column:
+    return F.array_distinct(F.transform(base, lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))
+
+
+def disclosures(found: DataFrame, spans: DataFrame, least: float, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+    """``kind, value, term, disclosure`` of at least ``least``, of terms in enough different texts with an entity.
+
+    ``found`` has each row's ``version``, ``rest`` (text without base spans) and ``base``; ``spans`` is stored and has
+    ``version`` and ``base``.
+    """
+    total = F.lit(spans.count())
+    own = spans.select("version", F.explode(_own_entities(F.col("base"))).alias("e")).groupBy("e.kind", "e.value", "version").count()
+    often = stored(own.groupBy("kind", "value").agg(F.sum("count").alias("entity_docs"), F.count("*").alias("texts")).where(
+        F.col("texts") >= min_contexts).drop("texts"), "pii-entities")
     pair = ["kind", "value", "term"]
-    seen = near.groupBy(*pair).agg(F.countDistinct("context").alias("contexts"))
-    seen = seen.where(F.col("contexts") >= min_contexts)
-    joint = near.join(seen.select(*pair), pair, "left_semi").select(*pair, "doc_id", "version").distinct().groupBy(*pair).agg(
-        F.count("*").alias("both"))
-    entities = found.select("doc_id", "version", F.explode("base").alias("s")).select(
-        "doc_id", "version", "s.kind", "s.value").distinct().groupBy("kind", "value").agg(F.count("*").alias("entity_docs"))
-    words = found.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    terms = words.groupBy("term").agg(F.count("*").alias("term_docs"))
-    rated = joint.join(entities, ["kind", "value"]).join(terms, "term")
+    told = found.where(F.size("base") > 0)
+    told = told.select("version", words(F.col("rest")).alias("words"), F.explode(_own_entities(F.col("base"))).alias("e"))
+    told = told.select("version", "words", "e.kind", "e.value")
+    few = often.limit(SMALL + 1).count() <= SMALL
+    if few:  # else too many to send around: the counts below tell
+        told = told.join(F.broadcast(often.select("kind", "value")), ["kind", "value"], "left_semi")
+    told = told.select("version", "kind", "value", F.explode("words").alias("term"))
+    joint = told.groupBy(*pair).agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts)
+    terms = found.select(F.explode(words(F.col("rest"))).alias("term")).groupBy("term").agg(F.count("*").alias("term_docs"))
+    rated = joint.join(_listed(often), ["kind", "value"]).join(terms.where(F.col("term_docs") >= min_contexts), "term")
     content = F.log2(total / F.col("entity_docs"))
     pmi = F.log2(F.col("both") * total / (F.col("entity_docs") * F.col("term_docs")))
-    return rated.select(*pair, F.when(content > 0, pmi / content).otherwise(0.0).alias("disclosure"))
+    rated = rated.select(*pair, F.when(content > 0, pmi / content).otherwise(0.0).alias("disclosure"))
+    rated = stored(rated.where(F.col("disclosure") >= least), "pii-rated")
+    # different texts are counted for these few pairs only
+    seen = told.join(_listed(rated.select(*pair)), pair, "left_semi").groupBy(*pair, "version").count().groupBy(*pair).count()
+    return rated.join(seen.where(F.col("count") >= min_contexts).select(*pair), pair, "left_semi")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_contexts: int = MIN_CONTEXTS,
@@ -167,11 +194,17 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.withColumn("version", F.xxhash64("text"))
     found = rows.withColumn("base", base_spans(F.col("text")))
     spans = stored(found.select("doc_id", "version", "base"), "pii-spans")
-    near = stored(nearby_terms(found), "pii-terms")
-    told = disclosures(found.select("doc_id", "version", "text", "base"), near, min_contexts)
-    told = stored(told.where(F.col("disclosure") >= generalise), "pii-told")
-    hits = near.join(told, ["kind", "value", "term"]).groupBy("doc_id", "version", "start", "end").agg(
-        (F.max("disclosure") >= REMOVE).alias("removed"))
+    found = found.select("doc_id", "version", "base", outside(F.col("text"), F.col("base")).alias("rest"))
+    told = disclosures(found, spans, generalise, min_contexts)
+    told = stored(told.groupBy("term").agg((F.max("disclosure") >= REMOVE).alias("removed")), "pii-told")
+    hits = found.select("version", F.explode(words(F.col("rest"))).alias("term")).join(_listed(told), "term")
+    hits = stored(hits.groupBy("version").agg(F.collect_set(F.struct("term", "removed")).alias("own")), "pii-hits")
+    # the rest again, for positions, of texts that hold such a term
+    hits = found.join(_listed(hits), "version")
+    place = matches(F.col("rest"), TERM, F.lit(True), lambda v: F.exists("own", lambda o: o["term"] == F.lower(v)))
+    hits = hits.select("doc_id", "version", "own", F.explode(place).alias("m"))
+    hits = hits.select("doc_id", "version", "m.start", "m.end", F.exists("own", lambda o: o["removed"] & (
+        o["term"] == F.lower("m.value"))).alias("removed")).distinct()
     term = F.struct("start", F.lit(len(KINDS)).alias("kind"), "end", "removed")
     more = hits.groupBy("doc_id", "version").agg(F.collect_list(term).alias("terms"))
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),

@@ -15,13 +15,17 @@ Grammar. Five small transducers read the classes of a clause's words:
 
 Their composition is one transition table over (threat, target, negation
 left, reported) with, for each class, the next state. A clause ends at
-punctuation or a line break. Its weight goes to the channel that its state
-names: plain, aimed, threatening, negated or reported. So a clause is scored,
-not a lone word, and what a negation or a report is worth is learnt.
-
-Score. A document's channels (how many matched clauses, how much weight, per
-word) go through a logistic model fitted on the labelled rows. Nothing but the
-text enters a score.
+punctuation, a line break or the text's end and is settled there: its insults
+go to the channel that its last state names, plain, aimed, threatening, negated
+or reported, so cues before and after an insult count alike (but a negation
+reaches forward only). A clause with threat and target is a match of its own,
+with or without an insult: a menace, negated if all of its threats are, or
+quoted. So a clause is scored, not a lone word, and what a negation, a report
+or a threat is worth is learnt.
+
+Score. A document's channels (how many matches, how much weight, per word; how
+many menaces of each kind) go through a logistic model fitted on the labelled
+rows. Nothing but the text enters a score.
 
 Labels. Rows are used if ``crc32`` of the id's text modulo 4 is not 2, and of
 these at most ``MAX_TRAIN`` (those of smallest hash), a documented bound. Every
@@ -37,7 +41,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -68,8 +72,11 @@ REPORTS = "said says quoted reported wrote claimed sagte sagt schrieb zitierte d
 
 THREAT, TARGET, NEGATION, REPORT, INSULT = 1, 2, 3, 4, 5
 CHANNELS = ("plain", "aimed", "threatening", "negated", "reported")
+MENACES = ("menace", "negated menace", "quoted menace")
 WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n]")
-FEATURES = 2 * len(CHANNELS) + 4
+FEATURES = 2 * len(CHANNELS) + 4 + len(MENACES)
+#: (threat, target, negation words left, reported)
+STATES = [(h, t, n, r) for h in (0, 1) for t in (0, 1) for n in range(NEGATION_REACH + 1) for r in (0, 1)]
 
 
 def cue_classes() -> dict[str, int]:
@@ -81,14 +88,10 @@ def cue_classes() -> dict[str, int]:
 
 
 def compose() -> tuple[list[list[int]], list[int]]:
-    """The composed transducer: ``(next state by state and class, channel of an insult by state)``.
-
-    A state is (threat, target, negation words left, reported).
-    """
-    states = [(h, t, n, r) for h in (0, 1) for t in (0, 1) for n in range(NEGATION_REACH + 1) for r in (0, 1)]
-    number = {s: i for i, s in enumerate(states)}
+    """The composed transducer: ``(next state by state and class, channel of an insult by state)``."""
+    number = {s: i for i, s in enumerate(STATES)}
     table, channel = [], []
-    for h, t, n, r in states:
+    for h, t, n, r in STATES:
         less = max(0, n - 1)
         table.append([0, number[1, t, less, r], number[h, 1, n, r], number[h, t, NEGATION_REACH, r], number[h, t, n, 1],
                       number[h, t, less, r]])
@@ -103,6 +106,9 @@ class Grammar:
         self.stems = stems
         self.cues = cue_classes()
         self.next, self.channel = compose()
+        # by the state at an insult and at the clause's end: the insult's channel
+        number = {s: i for i, s in enumerate(STATES)}
+        self.settled = [[self.channel[number[h, t, n, r]] for h, t, _, r in STATES] for _, _, n, _ in STATES]
         self.cache: dict[str, tuple[int, float] | None] = {"\n": (0, 0.0), **{c: (0, 0.0) for c in ".!?;:"}}
         self.fixed = dict(self.cache)
 
@@ -116,7 +122,7 @@ class Grammar:
         return None if kind is None else (kind, 0.0)
 
     def features(self, text: str) -> list[float]:
-        """Clauses and weight by channel, the heaviest clause, weight per word, and the length."""
+        """Matches and weight by channel, the heaviest clause, weight per word, the length, and menaces by kind."""
         words = WORDS.findall(text.lower())
         cache = self.cache
         new = [w for w in set(words) if w not in cache]
@@ -126,24 +132,31 @@ class Grammar:
                 cache.update(self.fixed)
                 new = set(words) - cache.keys()
             cache.update((w, self.class_of(w)) for w in new)
-        hits, weight = [0.0] * len(CHANNELS), [0.0] * len(CHANNELS)
-        state, clause, top = 0, 0.0, 0.0
-        for found in filter(None, map(cache.get, words)):
-            kind, w = found
+        hits, weight, menaces = [0.0] * len(CHANNELS), [0.0] * len(CHANNELS), [0.0] * len(MENACES)
+        state, insults, meant, top = 0, [], False, 0.0
+        for kind, w in chain(filter(None, map(cache.get, words)), ((0, 0.0),)):
             if kind == 0:
-                state, clause = 0, 0.0
+                threat, target, _, reported = STATES[state]
+                if threat and target:
+                    menaces[2 if reported else 0 if meant else 1] += 1
+                if insults:
+                    for at, x in insults:
+                        c = self.settled[at][state]
+                        hits[c] += 1
+                        weight[c] += x
+                    top = max(top, sum(x for _, x in insults))
+                    insults = []
+                state, meant = 0, False
                 continue
-            if kind == INSULT or kind == THREAT and clause:
-                c = self.channel[state]
-                hits[c] += 1
-                weight[c] += w
-                clause += w
-                top = max(top, clause)
+            if kind == INSULT:
+                insults.append((state, w))
+            elif kind == THREAT and not STATES[state][2]:
+                meant = True
             state = self.next[state][kind]
         n = len(words)
         total = sum(weight)
         return [np.log1p(x) for x in hits] + [np.log1p(x) for x in weight] + [
-            top / 10, 100 * total / (n + 20), 10 * sum(hits) / (n + 20) ** 0.5, np.log1p(n) / 10]
+            top / 10, 100 * total / (n + 20), 10 * sum(hits) / (n + 20) ** 0.5, np.log1p(n) / 10] + [np.log1p(x) for x in menaces]
 
 
 def held_out(id_col: F.Column) -> F.Column:

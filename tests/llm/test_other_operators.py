@@ -87,6 +87,36 @@ def test_grammar_scores_clauses():
     assert all(0 <= s < len(table) for row in table for s in row)
 
 
+def test_clauses_are_settled_at_their_end():
+    grammar = toxicity.Grammar({"^idiot$": 3.0})
+
+    def matched(text):
+        f = grammar.features(text)
+        assert len(f) == toxicity.FEATURES
+        kinds = [*toxicity.CHANNELS, *toxicity.MENACES]
+        return [k for k, x in zip(kinds, [*f[:len(toxicity.CHANNELS)], *f[-len(toxicity.MENACES):]], strict=True) if x > 0]
+
+    assert matched("I will kill you") == matched("you will die.") == ["menace"]
+    assert matched("I will kill it. you see") == [] == matched("nothing here")
+    assert matched("I will not hurt you") == ["negated menace"]
+    assert matched("he wrote I will hurt you") == matched("I will hurt you, he wrote") == ["quoted menace"]
+    assert matched("what an idiot you are") == ["aimed"] and matched("idiot, she said") == ["reported"]
+    assert matched("idiot, I will hurt you") == ["threatening", "menace"]
+    assert matched("not an idiot but you hurt") == ["negated", "negated menace"]  # three class words are in reach
+
+
+def test_documents_toxic_by_threats_alone(spark, frame):
+    rng = random.Random(12)
+    docs, labels = [], []
+    for i in range(400):
+        threat, toxic = rng.choice(["kill", "hurt", "burn", "beat", "destroy"]), i % 4 == 0
+        said = f". I will {threat} you. all of it is here. " if toxic else f". I will {threat} it. all of you is here. "
+        docs.append((i, prose(rng, rng.randrange(10, 60)) + said + prose(rng, rng.randrange(10, 60))))
+        labels.append((i, 0, int(toxic)))
+    got = toxicity.toxicity(frame(docs), labels_frame(spark, labels)).where("held_out").collect()
+    assert len(got) > 60 and sum(r.predicted == (r.doc_id % 4 == 0) for r in got) / len(got) > 0.95
+
+
 # ---------------------------------------------------------------- embeddings
 def vectors_near(rng, n, width, groups, cosine_low):
     base = rng.normal(size=(n, width))

@@ -54,7 +54,6 @@ THRESHOLD = 0.3
 MAX_TRAIN = 20_000
 HELD_OUT_FOLD, FOLDS = 2, 4
 NEGATION_REACH = 3
-MAX_STEMS = 512
 MIN_DOCS = 4
 MIN_WEIGHT = 1.5
 MIN_SURPRISE = 8.0
@@ -206,8 +205,8 @@ def stem_counts(train: DataFrame) -> DataFrame:
     return train.mapInArrow(run, "stem string, bad long, good long, bad_docs long, good_docs long").groupBy("stem").agg(*sums)
 
 
-def learn_stems(train: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, float]:
-    """The stems that tell most, at most ``max_stems``, with their log-odds weights."""
+def learn_stems(train: DataFrame, max_stems: int | None = None) -> dict[str, float]:
+    """All stems that tell enough, with their log-odds weights (with ``max_stems``, those that tell most)."""
     counts = stored(stem_counts(train), "stems")
     whole = counts.where(F.col("stem").endswith("$")).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     share = train.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("s")).first().s
@@ -221,7 +220,8 @@ def learn_stems(train: DataFrame, max_stems: int = MAX_STEMS) -> dict[str, float
     rated = counts.where(F.col("bad_docs") >= MIN_DOCS).select("stem", odds.alias("weight"), surprise.alias("surprise"),
                                                                (F.col("bad_docs") > expected).alias("more"))
     rated = rated.where(F.col("more") & (F.col("weight") > MIN_WEIGHT) & (F.col("surprise") > MIN_SURPRISE))
-    return {r.stem: float(r.weight) for r in rated.orderBy(F.desc("surprise"), "stem").limit(max_stems).collect()}
+    rated = rated if max_stems is None else rated.orderBy(F.desc("surprise"), "stem").limit(max_stems)
+    return {r.stem: float(r.weight) for r in rated.collect()}  # bounded by the training rows
 
 
 def _grammar(stems: dict[str, float]) -> Grammar:
@@ -255,7 +255,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
     return mean, scale, beta
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_stems: int = MAX_STEMS) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_stems: int | None = None) -> dict:
     """The model: stems and logistic coefficients. ``docs`` has ``doc_id`` and ``text``."""
     train = stored(training_rows(docs, labels, max_train), "toxic-train")
     stems = learn_stems(train, max_stems)

@@ -105,6 +105,15 @@ def test_clauses_are_settled_at_their_end():
     assert matched("not an idiot but you hurt") == ["negated", "negated menace"]  # three class words are in reach
 
 
+def test_all_stems_that_tell_are_kept(spark):
+    rng = random.Random(13)
+    insults = ["".join(rng.choices("bcdfghjklmnpqrstvwxyz", k=9)) for _ in range(150)]
+    rows = [(f"some {insults[i % 150]} words {insults[(i * 7 + 1) % 150]} here", 1) for i in range(1500)]
+    rows += [(prose(rng, 6), 0) for _ in range(4500)]
+    stems = toxicity.learn_stems(spark.createDataFrame(rows, "text string, toxic int"))
+    assert len(stems) > 512 and all(f"^{w}$" in stems for w in insults)
+
+
 def test_documents_toxic_by_threats_alone(spark, frame):
     rng = random.Random(12)
     docs, labels = [], []

@@ -1,6 +1,6 @@
 """DuckDB SQL for the operators that SQL can express, over the same tables.
 
-The others (2, 3, 4, 6, 9 and the pipeline) are compared with plain Python
+The others (2, 3, 4, 6, 9, 12, 13 and the pipeline) are compared with plain Python
 in ``tests/llm``.
 """
 
@@ -86,10 +86,50 @@ SELECT e.doc_id, e.bytes, e.hash, CASE WHEN e.d = 0 THEN '*' ELSE lpad(bin(e.has
   f.shard_bytes > {LIMIT_BYTES} AS oversized
 FROM leaf e JOIN fits f ON e.d = f.d AND e.hash >> CAST(60 - e.d AS BIGINT) = f.prefix"""
 
+_P = "1 + CAST((CAST(1000000000 AS HUGEINT) * ({0} + 5)) // ({1} + 5 * {2}) AS BIGINT)"
+
+OP11 = rf"""
+WITH docs AS (
+  SELECT COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+    regexp_extract_all({_LOWER.format("COALESCE(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+vocabulary AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(ws)) AS term FROM docs) w GROUP BY lang, term HAVING COUNT(*) >= 30),
+counts AS (
+  SELECT o.lang, o.source, o.term, COUNT(*) AS n FROM (SELECT lang, source, unnest(ws) AS term FROM docs) o
+  JOIN vocabulary v ON o.lang = v.lang AND o.term = v.term GROUP BY o.lang, o.source, o.term),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, COUNT(*) AS v FROM vocabulary GROUP BY lang),
+totals AS (SELECT lang, source, SUM(n) AS total FROM counts GROUP BY lang, source),
+lang_counts AS (SELECT lang, term, SUM(n) AS n FROM counts GROUP BY lang, term),
+lang_totals AS (SELECT lang, SUM(n) AS total FROM counts GROUP BY lang),
+shares AS (
+  SELECT g.lang, g.source, v.term, COALESCE(c.n, 0) AS n, {_P.format("COALESCE(c.n, 0)", "COALESCE(t.total, 0)", "s.v")} AS p
+  FROM groups g JOIN vocabulary v ON g.lang = v.lang JOIN sizes s ON g.lang = s.lang
+  LEFT JOIN totals t ON g.lang = t.lang AND g.source = t.source
+  LEFT JOIN counts c ON g.lang = c.lang AND g.source = c.source AND v.term = c.term),
+lang_shares AS (
+  SELECT c.lang, c.term, {_P.format("c.n", "t.total", "s.v")} AS q
+  FROM lang_counts c JOIN lang_totals t ON c.lang = t.lang JOIN sizes s ON c.lang = s.lang),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, SUM(ABS(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(COALESCE(d.value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN distances d ON g.lang = d.lang AND g.source = d.source AND h.source = d.item),
+terms AS (
+  SELECT s.lang, s.source, 'term' AS part, s.term AS item, CAST(s.p - q.q AS BIGINT) AS value
+  FROM shares s JOIN lang_shares q ON s.lang = q.lang AND s.term = q.term WHERE s.n > 0 AND s.p > q.q),
+ranked AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) x)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op5_embedding_dedup": OP5,
     "op7_substring_dedup": OP7,
     "op8_line_dedup": OP8,
     "op10_sharding": OP10,
+    "op11_source_divergence": OP11,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentions.llm import decontaminate, itq, linededup, minhash, packing, pfor, pii, sharding, substring, toxicity
+from mentions.llm import (alignment, decontaminate, divergence, itq, linededup, minhash, packing, pfor, pii, quality, sharding, substring,
+                          toxicity)
 from mentions.llm.common import table
 from mentions.llm.oracles import ORACLES  # noqa: F401
 from mentions.session import scratch_dir
@@ -60,6 +61,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # without tokens there is nothing to hash
+    digest = alignment.align(table(spark, sf_dir, "documents"), render=lambda g: F.when(g == "", "").otherwise(F.sha2(g, 256)))
+    return digest.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_pii, op3_token_ids, op4_toxicity, op5_embedding_dedup, op6_minhash_dedup, op7_substring_dedup,
-    op8_line_dedup, op9_packing, op10_sharding)}
+    op8_line_dedup, op9_packing, op10_sharding, op11_source_divergence, op12_quality, op13_alignment)}

@@ -32,7 +32,9 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Callable
 from itertools import chain
 
@@ -59,8 +61,37 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+#: Characters after which a text isn't cut: all that some tokenizer might take for white space, with a blank or line feed after them.
+NO_CUT = "\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u2581\u3000\ufeff"
+UNUSUAL = re.compile(f"[{NO_CUT}][ \n]")
+CUT = re.compile(f"(?<=[^{NO_CUT}])(?=[ \n])")
+#: Characters of names and groups that a worker remembers; results don't depend on it.
+CACHE_CHARS = 24 << 20
+
+
+class Numbers(dict):
+    """Numbers of names, in the order in which they are first asked for; ``new`` has those not dealt with yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str | tuple[str]] = []
+
+    def __missing__(self, name):
+        number = self[name] = len(self)
+        self.new.append(name)
+        return number
+
+
 class Encoders:
-    """Both tokenizers and the bytes of their tokens, for one worker."""
+    """Both tokenizers, the bytes of their tokens, and the segments met before, for one worker.
+
+    No token of either crosses the place before a blank or a line feed that
+    follows another character (A's pattern has blanks in front only, and B's
+    pieces are looked through), and what stands on one side doesn't change
+    the other's tokens. So both have an end there, and a text's alignment is
+    those of its segments in turn. A tokenizer for which this doesn't hold
+    gets whole texts.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,6 +107,20 @@ class Encoders:
                         for i in range(max(entries) + 1)]
         self.bytes_b = [self.piece(i) for i in range(self.b.get_piece_size())]
         self.size_a, self.size_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        self.shown_a = np.array([f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"], object)
+        self.shown_b = np.array([f"{i}{mark}" for i in range(len(self.bytes_b)) for mark in ",;"], object)
+        form = json.loads(self.a.to_str())
+        apart = form["normalizer"] is None and form["pre_tokenizer"]["type"] == "ByteLevel" and form["pre_tokenizer"]["use_regex"]
+        apart = apart and not any(re.search(b"[^ \n][ \n]", p) for i, p in enumerate(self.bytes_b) if not self.b.is_byte(i))
+        self.cut = apart and len(self.b.encode("a")) == 1
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with no segments. Of each, by its number: whether the bytes of both are the text's, how many tokens
+        each has, how many links, the linked ids (``a << 32 | b``, one segment after the other) and its groups."""
+        self.numbers, self.chars, self.groups = Numbers(), 0, []
+        self.same, self.links = np.empty(0, bool), np.empty(0, np.int64)
+        self.n_a, self.n_b, self.width = (np.empty(0, np.int64) for _ in range(3))
 
     def piece(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -84,49 +129,97 @@ class Encoders:
             return b""
         return self.b.id_to_piece(i).replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both for each text; none where the bytes of either aren't the text's."""
-        out = []
-        for text, a, b in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
-                              self.b.encode(texts, num_threads=1), strict=True):
-            raw, a = (" " + text).encode(), a.ids
-            same = (text and b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
-                    and self.size_a[a].all() and self.size_b[b].all())
-            out.append((a, b) if same else ([], []))
+    def names(self, text: str) -> list[str | tuple[str]]:
+        """The names of the text's segments: what follows its blank; one that begins with a line feed itself; others in a tuple."""
+        if not text:
+            return []
+        whole = " " + text
+        if not self.cut:
+            return [(whole,)]
+        if not UNUSUAL.search(whole):
+            return text.replace("\n", " \n").split(" ")
+        return [s if s[0] == "\n" else s[1:] if s[1:2] != "\n" else (s,) for s in CUT.split(whole)]
+
+    def segments(self, names: list[list[str | tuple[str]]]) -> list[np.ndarray]:
+        """The numbers of each text's segments; what is new is encoded."""
+        if self.chars > CACHE_CHARS:
+            self.forget()
+        out = [np.fromiter(map(self.numbers.__getitem__, n), np.int64, len(n)) for n in names]
+        new, self.numbers.new = self.numbers.new, []
+        if new:
+            same, n_a, n_b, width, links, groups = self.aligned([n[0] if isinstance(n, tuple) else n if n[:1] == "\n" else " " + n for n in new])
+            self.groups += groups
+            self.chars += sum(map(len, groups)) + sum(map(len, new))
+            self.same, self.n_a, self.n_b, self.width, self.links = (np.concatenate(x) for x in (
+                (self.same, same), (self.n_a, n_a), (self.n_b, n_b), (self.width, width), (self.links, links)))
         return out
 
-
-class Links:
-    """Groups and links of encoded texts that follow one another."""
-
-    def __init__(self, encoded: list[tuple[list[int], list[int]]], size_a: np.ndarray, size_b: np.ndarray):
-        self.n_a, self.n_b = (np.fromiter((len(e[k]) for e in encoded), np.int64, len(encoded)) for k in (0, 1))
-        self.a, self.b = (np.fromiter(chain.from_iterable(e[k] for e in encoded), np.int64, int(n.sum()))
-                          for k, n in ((0, self.n_a), (1, self.n_b)))
-        # both have the same bytes, document by document, so their ends can be compared across documents
-        ends_a, ends_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])
+    def aligned(self, texts: list[str]) -> tuple:
+        """The segments' alignment, all at once: see :meth:`forget`."""
+        # B adds a blank: instead of the segment's own, or before a letter that is taken off again
+        own = [t[0] == " " and len(t) > 1 for t in texts]
+        b = self.b.encode([t[1:] if blank else "a" + t for t, blank in zip(texts, own, strict=True)], num_threads=1)
+        b = [x if blank else x[1:] for x, blank in zip(b, own, strict=True)]
+        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        raw = [t.encode() for t in texts]
+        same = given_back(raw, a, self.bytes_a) & given_back(raw, b, self.bytes_b)
+        if not same.all():
+            a, b = ([x if s else [] for x, s in zip(ids, same.tolist(), strict=True)] for ids in (a, b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
+        own_a, own_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
+        # both have the same bytes, text by text, so their ends can be compared across texts
+        ends_a, ends_b = np.cumsum(self.size_a[own_a]), np.cumsum(self.size_b[own_b])
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        self.last_a, self.last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-        self.doc = np.searchsorted(np.cumsum(self.n_a), self.last_a, "right")
-        self.n_groups = np.bincount(self.doc, minlength=len(encoded))
-
-    def pairs(self) -> np.ndarray:
-        """The linked ids of each link, as ``a << 32 | b``."""
-        return self.a[self.last_a] << 32 | self.b[self.last_b]
-
-    def groups(self) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` of each document."""
-        shown_a, shown_b = ([f"{i}" for i in x.tolist()] for x in (self.a, self.b))
-        out, start_a, start_b = [], 0, 0
-        ends = zip((self.last_a + 1).tolist(), (self.last_b + 1).tolist(), strict=True)
-        for count in self.n_groups.tolist():
-            parts = []
-            for _ in range(count):
-                end_a, end_b = next(ends)
-                parts.append(",".join(shown_a[start_a:end_a]) + "|" + ",".join(shown_b[start_b:end_b]))
-                start_a, start_b = end_a, end_b
-            out.append(";".join(parts))
-        return out
+        last_a, last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        links = own_a[last_a] << 32 | own_b[last_b]
+        width = np.bincount(np.searchsorted(np.cumsum(n_a), last_a, "right"), minlength=len(texts))
+        # shown: each id with the mark that follows it, a group's A ids before its B ids
+        final_a, final_b = np.zeros(len(own_a), np.int64), np.zeros(len(own_b), np.int64)
+        final_a[last_a], final_b[last_b] = 1, 1
+        group_a, group_b = np.cumsum(final_a) - final_a, np.cumsum(final_b) - final_b
+        shown = np.empty(len(own_a) + len(own_b), object)
+        shown[np.arange(len(own_a)) + np.concatenate(([0], last_b + 1))[group_a]] = self.shown_a[2 * own_a + final_a]
+        shown[np.arange(len(own_b)) + (last_a + 1)[group_b]] = self.shown_b[2 * own_b + final_b]
+        shown, cuts = shown.tolist(), [0, *np.cumsum(n_a + n_b).tolist()]
+        groups = ["".join(shown[s:e])[:-1] for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        return same, n_a, n_b, width, links, groups
+
+
+def given_back(raw: list[bytes], ids: list[list[int]], table: list[bytes]) -> np.ndarray:
+    """Whether the tokens' bytes are the text's, and none is without bytes."""
+    parts = [[table[i] for i in own] for own in ids]
+    if b"".join(chain.from_iterable(parts)) == b"".join(raw) and all(map(all, parts)) and all(
+            sum(map(len, p)) == len(r) for p, r in zip(parts, raw, strict=True)):
+        return np.ones(len(raw), bool)
+    return np.fromiter((b"".join(p) == r and all(p) for p, r in zip(parts, raw, strict=True)), bool, len(raw))
+
+
+class Slice:
+    """Groups and links of texts that follow one another."""
+
+    def __init__(self, texts: list[str], encoders: Encoders):
+        rows = len(texts)
+        segments = encoders.segments([encoders.names(t) for t in texts])
+        own, doc = np.concatenate(segments), np.repeat(np.arange(rows), [len(s) for s in segments])
+        bad = np.zeros(rows, bool)
+        bad[doc[~encoders.same[own]]] = True
+        shown = encoders.groups
+        self.groups = ["" if b else ";".join([shown[k] for k in s.tolist()]) for s, b in zip(segments, bad.tolist(), strict=True)]
+        # each segment of a document once, with how often it occurs
+        many = max(1, len(shown))
+        both, times = np.unique((doc * many + own)[~bad[doc]], return_counts=True)
+        doc, own = both // many, both % many
+
+        def total(values):
+            out = np.zeros(rows, np.int64)
+            np.add.at(out, doc, values[own] * times)
+            return out
+
+        self.n_a, self.n_b, self.n_groups = total(encoders.n_a), total(encoders.n_b), total(encoders.width)
+        width, first = encoders.width[own], (np.cumsum(encoders.width) - encoders.width)[own]
+        at = np.repeat(first - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+        #: linked ids, the document, and how often: one entry for each link of each different segment of a document
+        self.links = encoders.links[at], np.repeat(doc, width), np.repeat(times, width)
 
 
 def bitmaps(owner: np.ndarray, slots: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -152,11 +245,13 @@ def slots_of(bits: bytes, count: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
 
 
-def merge(entries: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """OR of the slices' (pair, slot) entries: each once, sorted, with its multiplicity."""
-    pairs, slots = (np.concatenate(x) for x in zip(*entries, strict=True))
+def merge(entries: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """OR of the slices' (pair, document) entries: each once, sorted, with its multiplicity."""
+    pairs, slots, times = (np.concatenate(x) for x in zip(*entries, strict=True))
     names, number = np.unique(pairs, return_inverse=True)
-    both, count = np.unique(number.astype(np.int64) << 16 | slots, return_counts=True)
+    both, place = np.unique(number.astype(np.int64) << 16 | slots, return_inverse=True)
+    count = np.zeros(len(both), np.int64)
+    np.add.at(count, place, times)
     return names[both >> 16], both & 0xFFFF, count
 
 
@@ -196,11 +291,12 @@ def indexed(docs: DataFrame, paths: tuple[str, str] | None, chunk_bytes: int) ->
                 if rows and (size + part.nbytes > chunk_bytes or rows + part.num_rows > CHUNK_ROWS):
                     yield from postings()
                     chunk, rows, size, entries = chunk + 1, 0, 0, []
-                links = Links(enc.encode([t or "" for t in part["text"].to_pylist()]), enc.size_a, enc.size_b)
-                entries.append((links.pairs(), links.doc + rows))
+                found = Slice([t or "" for t in part["text"].to_pylist()], enc)
+                pairs, slots, times = found.links
+                entries.append((pairs, slots + rows, times))
                 yield _rows(DOCUMENT, chunk, {
-                    "slot": np.arange(rows, rows + part.num_rows, dtype=np.int32), "doc_id": part["doc_id"], "n_a": links.n_a,
-                    "n_b": links.n_b, "n_groups": links.n_groups, "groups": links.groups()})
+                    "slot": np.arange(rows, rows + part.num_rows, dtype=np.int32), "doc_id": part["doc_id"], "n_a": found.n_a,
+                    "n_b": found.n_b, "n_groups": found.n_groups, "groups": found.groups})
                 rows, size = rows + part.num_rows, size + part.nbytes
         if rows:
             yield from postings()

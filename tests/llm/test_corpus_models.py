@@ -158,6 +158,22 @@ def test_alignment_query_and_empty_table(spark, frame):
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
+def test_segments_align_as_whole_texts_do():
+    """Cutting texts into segments, and remembering them, changes nothing."""
+    enc = alignment.Encoders(*alignment.tokenizer_paths())
+    whole = alignment.Encoders(*alignment.tokenizer_paths())
+    assert enc.cut
+    whole.cut = False
+    rng = random.Random(1)
+    bits = [*" \n\t\r", " ", "a", "the", "É", "安", "😀", "\u3000", "\xa0", "\x1c", "\x0b", "\u200b", "'s", "12", "!!", "<s>", "\u0301", "▁", "."]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(2000)]
+    for start in range(0, len(texts), 100):
+        got, want = alignment.Slice(texts[start:start + 100], enc), alignment.Slice(texts[start:start + 100], whole)
+        assert got.groups == want.groups
+        assert (got.n_a == want.n_a).all() and (got.n_b == want.n_b).all() and (got.n_groups == want.n_groups).all()
+        assert all((x == y).all() for x, y in zip(alignment.merge([got.links]), alignment.merge([want.links]), strict=True))
+
+
 def test_bitmaps_round_trip():
     rng = np.random.default_rng(2)
     for rows in (1, 7, 100, 5000):

@@ -3,8 +3,8 @@
 An analysis row (schema :data:`mentions.schemas.ANALYSIS`) holds, per
 analysis call, a list with one element per text. Flattening is a set of
 ``posexplode``/``explode`` projections of the same input - narrow
-transformations, no shuffle - plus one ordered step, the document-id
-assignment (:func:`assign_doc_ids`).
+transformations, no shuffle - of analyses that one ordered step has stored
+with their document ids (:func:`stage_analyses`).
 
 Addressing (FL-03): in multi-document mode text ``i`` of an analysis is
 document ``base + i``, text_order 0; in single-document mode it is document
@@ -13,10 +13,14 @@ document ``base + i``, text_order 0; in single-document mode it is document
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mentions.schemas import ANALYSIS, conform
 
@@ -74,7 +78,7 @@ def assign_doc_ids(analyses: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def _running_ids(thin: DataFrame) -> DataFrame:
-    """:func:`assign_doc_ids` of rows ``seq, _len``; ``_again`` marks a repeated ``seq``."""
+    """:func:`assign_doc_ids` of rows ``seq, _len``."""
     thin = thin.select("seq", "_len", F.shiftright("seq", LOW_BITS).alias("_b1"), F.shiftright("seq", HIGH_BITS).alias("_b2"))
     level1 = thin.groupBy("_b2", "_b1").agg(F.sum("_len").alias("_s1"))
     level2 = level1.groupBy("_b2").agg(F.sum("_s1").alias("_s2"))
@@ -82,8 +86,7 @@ def _running_ids(thin: DataFrame) -> DataFrame:
     off1 = (level1.join(off2, "_b2", "inner")
             .select("_b1", (F.col("_o2") + _exclusive_sum("_s1", "_b1", "_b2")).alias("_o1")))
     return (thin.join(off1, "_b1", "inner")
-            .select("seq", (F.col("_o1") + _exclusive_sum("_len", "seq", "_b1")).cast("long").alias("doc_base"),
-                    F.coalesce(F.lag("seq").over(Window.partitionBy("_b1").orderBy("seq")) == F.col("seq"), F.lit(False)).alias("_again")))
+            .select("seq", (F.col("_o1") + _exclusive_sum("_len", "seq", "_b1")).cast("long").alias("doc_base")))
 
 
 def with_doc_base(analyses: DataFrame) -> DataFrame:
@@ -250,57 +253,103 @@ def complete_analyses(analyses: DataFrame) -> DataFrame:
     return analyses
 
 
+#: Ranges of ``seq`` that staged analyses are cut into, at most; their offsets are one number each.
+MAX_PARTS = 16_384
+_HAS = {c: f"_has_{c}" for c in CALLS_IN_ORDER}
+_STAGED = T.StructType([*ANALYSIS.fields, T.StructField("_part", T.IntegerType()), T.StructField("_before", T.LongType())])
+
+
 @dataclass(frozen=True)
 class Staged:
-    """Checked analyses, their first document ids, and what is known of them."""
+    """Checked analyses, stored by ranges of ``seq``, and what is known of them.
 
-    analyses: DataFrame
-    bases: DataFrame
+    ``rows`` has, beside the analyses, the range ``_part`` of each and
+    ``_before``, the documents of earlier analyses of its range. With the
+    documents of earlier ranges, one number per range, that gives its first
+    document id, so no table needs a join or a shuffle.
+    """
+
+    rows: DataFrame
+    offsets: tuple[int, ...]  # by range: documents of the ranges before it
     calls: tuple[str, ...]
     used: int  # document ids that the analyses take up
 
-    def tables(self) -> dict[str, DataFrame]:
+    def analyses(self, first_id: int = 0) -> DataFrame:
+        """The analyses with ``doc_base``, counted from ``first_id``."""
+        starts = F.lit(np.array(self.offsets or (0,), np.int64))
+        return self.rows.withColumn("doc_base", F.element_at(starts, F.col("_part") + 1) + F.col("_before") + F.lit(first_id).cast("long"))
+
+    def tables(self, first_id: int = 0) -> dict[str, DataFrame]:
         """The tables of the calls that occur."""
-        return {name: fn(self.analyses, self.bases) for name, fn in FLATTENERS.items()
-                if _CALL_OF.get(name, "absa") in self.calls}
+        rows = self.analyses(first_id)
+        return {name: fn(rows) for name, fn in FLATTENERS.items() if _CALL_OF.get(name, "absa") in self.calls}
 
 
-def stage_analyses(analyses: DataFrame, first_id: int = 0, store: bool = True) -> Staged:
-    """FL-01/FL-02: check the analyses and hand out their document ids (an eager step).
+def _range_of(seq: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are not above ``seq``, by a search in two steps."""
+    if not cuts:
+        return F.lit(0)
+    width = math.isqrt(len(cuts)) + 1
+    groups = [np.array(cuts[i:i + width], np.int64) for i in range(0, len(cuts), width)]
+
+    def reached(values: Column) -> Column:
+        return F.size(F.filter(values, lambda x: x <= seq))
+
+    group = reached(F.lit(np.array([g[0] for g in groups], np.int64)))
+    inner = F.element_at(F.array(*[F.lit(g) for g in groups]), F.greatest(group, F.lit(1)))
+    return F.when(group > 0, (group - 1) * width + reached(inner)).otherwise(F.lit(0)).cast("int")
 
-    With ``store`` one pass over the input writes the typed nested rows as
-    parquet below the checkpoint folder; ids, checks and all ten tables then
-    read only the columns they need from there. Without it the input is
-    scanned again for each table, which suits columnar input.
 
-    A thin table ``(seq, length, calls)`` is stored in either case; ids and
-    checks come from it. Raises ValueError if ``seq`` is missing, NULL or
-    repeated, as the order of analyses, and so their ids, would be undefined.
+def stage_analyses(analyses: DataFrame, path: str | None = None) -> Staged:
+    """FL-01/FL-02: check the analyses and hand out their document ids (an eager step).
+
+    One pass over ``seq`` finds cuts that deal the analyses evenly into
+    ranges. One shuffle brings the rows of a range together, sorts them by
+    ``seq`` and stores them as parquet, with the running sum of their
+    documents inside the range; which cuts are found changes no id. Checks
+    and offsets come from one aggregate per range. All ten tables then read
+    only the columns they need, without a shuffle. A range that doesn't fit
+    in memory is spilled.
+
+    Raises ValueError if ``seq`` is missing, NULL or repeated, as the order of
+    analyses, and so their ids, would be undefined. The rows are stored at
+    ``path`` (see :func:`open_staged`), or below the checkpoint folder.
     """
     from mentions.session import scratch_dir
 
     if "seq" not in analyses.columns:
         raise ValueError("analyses need a column seq, the input order")
     spark = analyses.sparkSession
-    root = scratch_dir(spark, "analyses")
-    rows = complete_analyses(analyses).select([f.name for f in ANALYSIS.fields])
-    if store:
-        rows.write.parquet(f"{root}/rows")
-        rows = spark.read.schema(ANALYSIS).parquet(f"{root}/rows")
-    rows.select(F.col("seq").cast("long").alias("seq"), analysis_length().alias("_len"),
-                *[F.col(c).isNotNull().alias(c) for c in CALLS_IN_ORDER]).write.parquet(f"{root}/thin")
-    thin = spark.read.parquet(f"{root}/thin")
-    seen = thin.agg(F.count(F.lit(1)).alias("n"), F.count("seq").alias("seqs"), F.sum("_len").alias("used"),
-                    *[F.max(c).alias(c) for c in CALLS_IN_ORDER]).first()
+    root = path or scratch_dir(spark, "analyses")
+    rows = complete_analyses(analyses).select([F.col("seq").cast("long").alias("seq") if f.name == "seq" else F.col(f.name) for f in ANALYSIS.fields])
+    parts = min(MAX_PARTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    probe = [F.percentile_approx("seq", [k / parts for k in range(1, parts)], 16 * parts).alias("cuts")]
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count("seq").alias("seqs"), *probe).first()
     if seen.n != seen.seqs:
         raise ValueError(f"{seen.n - seen.seqs} analyses without seq")
-    _running_ids(thin).withColumn("doc_base", F.col("doc_base") + F.lit(first_id)).write.parquet(f"{root}/ids")
-    ids = spark.read.schema("seq long, doc_base long, _again boolean").parquet(f"{root}/ids")
-    twice = ids.filter("_again").take(1)
+    order = Window.partitionBy("_part").orderBy("seq")
+    staged = rows.withColumns({"_part": _range_of(F.col("seq"), sorted(set(seen.cuts or []))), "_len": analysis_length(),
+                               **{has: F.col(c).isNotNull() for c, has in _HAS.items()}})
+    staged.withColumns({
+        "_before": F.coalesce(F.sum("_len").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_again": F.coalesce(F.lag("seq").over(order) == F.col("seq"), F.lit(False))}).write.parquet(f"{root}/rows")
+    # one row for each range
+    spark.read.parquet(f"{root}/rows").groupBy("_part").agg(
+        F.sum("_len").alias("documents"), F.min(F.when(F.col("_again"), F.col("seq"))).alias("twice"),
+        *[F.max(has).alias(has) for has in _HAS.values()]).coalesce(1).write.parquet(f"{root}/parts")
+    return open_staged(spark, root)
+
+
+def open_staged(spark: SparkSession, path: str) -> Staged:
+    """Analyses that :func:`stage_analyses` has stored at ``path``."""
+    parts = {r["_part"]: r for r in spark.read.parquet(f"{path}/parts").collect()}  # at most MAX_PARTS rows
+    twice = [r.twice for r in parts.values() if r.twice is not None]
     if twice:
-        raise ValueError(f"seq {twice[0].seq} occurs more than once")
-    bases = ids.select("seq", "doc_base")
-    return Staged(rows, bases, tuple(c for c in CALLS_IN_ORDER if seen[c]), seen.used or 0)
+        raise ValueError(f"seq {min(twice)} occurs more than once")
+    lengths = [parts[k].documents if k in parts else 0 for k in range(max(parts, default=-1) + 1)]
+    offsets = tuple(accumulate(lengths, initial=0))
+    calls = tuple(c for c, has in _HAS.items() if any(r[has] for r in parts.values()))
+    return Staged(spark.read.schema(_STAGED).parquet(f"{path}/rows"), offsets[:-1], calls, offsets[-1])
 
 
 def flatten_analyses(analyses: DataFrame, bases: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -308,13 +357,12 @@ def flatten_analyses(analyses: DataFrame, bases: DataFrame | None = None) -> dic
 
     ``analyses`` needs ``seq`` (input order) and any subset of the call
     columns; missing call columns count as absent calls. Each table explodes
-    only the nested fields it needs and then joins the thin ``(seq,
-    doc_base)`` table. Without ``bases`` the analyses are staged and checked
-    first (:func:`stage_analyses`, an eager step); with them nothing is run.
+    only the nested fields it needs. Without ``bases`` the analyses are staged
+    and checked first (:func:`stage_analyses`, an eager step); with them, the
+    thin ``(seq, doc_base)`` table is joined and nothing is run.
     """
     if bases is None:
-        staged = stage_analyses(analyses)
-        analyses, bases = staged.analyses, staged.bases
+        analyses = stage_analyses(analyses).analyses()
     analyses = complete_analyses(analyses)
     return {name: fn(analyses, bases) for name, fn in FLATTENERS.items()}
 

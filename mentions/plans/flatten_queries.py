@@ -62,6 +62,7 @@ def nested_orders(spark, sf_dir: str, single_document: bool = True) -> DataFrame
 
 def materialize_nested(spark, sf_dir: str, folder: str) -> None:
     build_nested_orders(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/analyses.parquet")
+    FL.stage_analyses(spark.read.parquet(f"{folder}/analyses.parquet"), f"{folder}/staged")
 
 
 def build_nested_orders(spark, sf_dir: str, single_document: bool = True) -> DataFrame:
@@ -152,9 +153,9 @@ SELECT d.new_doc AS doc_id, x.new_text AS text_order, {cols} FROM {view} v {join
 
 def _flat(name: str):
     def run(spark, sf_dir):
-        analyses = nested_orders(spark, sf_dir)
-        # analyses that are stored as parquet already are not copied
-        return rounded(TableSet.from_analyses(analyses, store=stored_folder(sf_dir) is None)[name])
+        folder = stored_folder(sf_dir)  # analyses that are staged already are only flattened
+        analyses = FL.open_staged(spark, f"{folder}/staged") if folder else nested_orders(spark, sf_dir)
+        return rounded(TableSet.from_analyses(analyses)[name])
     return run
 
 
@@ -268,6 +269,49 @@ def append_analyses(spark, sf_dir):
     return rounded(sink.open()["concepts"])
 
 
+_CONCEPT_COLS = f"v.concept, v.freq, {r('v.relevance_score')} AS relevance_score, v.concept_type"
+
+
+def _halves(spark, sf_dir):
+    """The orders below and above the middle of their keys."""
+    analyses = nested_orders(spark, sf_dir)
+    middle = analyses.agg(F.expr("(min(seq) + max(seq)) div 2")).first()[0]
+    return analyses.filter(F.col("seq") <= middle), analyses.filter(F.col("seq") > middle)
+
+
+@register("append_after_write", ids=("FL-15", "SK-01", "SC-05"), oracle=_flat_sql("concepts", _CONCEPT_COLS))
+def append_after_write(spark, sf_dir):
+    """The lower half written as a set, the upper half appended to it: both are there, ids go on."""
+    lower, upper = _halves(spark, sf_dir)
+    sink = TableSink(spark, scratch_dir(spark, "append-after-write"))
+    sink.write(TableSet.from_analyses(lower))
+    sink.append(upper)
+    return rounded(TableSet.from_sink(sink)["concepts"])
+
+
+@register("rewrite_after_append", ids=("FL-15", "SK-01", "SK-03", "SC-05", "PF-09"), oracle=_flat_sql("concepts", _CONCEPT_COLS)
+          + " WHERE v.concept NOT IN ('Brand#1', 'Brand#2')")
+def rewrite_after_append(spark, sf_dir):
+    """Two appended halves, loaded, changed and written back to the same folder."""
+    sink = TableSink(spark, scratch_dir(spark, "rewrite-after-append"))
+    for half in _halves(spark, sf_dir):
+        sink.append(half)
+    sink.write(sink.open().remove_concepts(["Brand#1", "Brand#2"]))
+    return rounded(sink.open()["concepts"])
+
+
+@register("backup_of_appended", ids=("SC-02", "SK-03", "FL-15"), oracle=_flat_sql("absa_relations", _RELATIONS, "relation_id"))
+def backup_of_appended(spark, sf_dir):
+    """Two appended halves, replaced by a set of another table, and read back through the backup's suffix."""
+    sink = TableSink(spark, scratch_dir(spark, "backup-of-appended"))
+    for half in _halves(spark, sf_dir):
+        sink.append(half)
+    sink.write({"sentiments": sink.open()["sentiments"]})
+    if sink.open().names() != ["sentiments"]:
+        raise AssertionError("a table of the earlier set is still there")
+    return rounded(TableSet.from_path(spark, sink.path, backup_suffix=sink.backed_up[0].rsplit("_", 1)[-1])["absa_relations"])
+
+
 @register("presence_by_call", ids=("SC-07", "SC-08", "SK-04"), oracle="""
 SELECT 'absa' AS facade, FALSE AS present UNION ALL SELECT 'categories', FALSE
 UNION ALL SELECT 'concepts', COUNT(*) > 0 FROM lineitem UNION ALL SELECT 'sentiments', COUNT(*) > 0 FROM lineitem""")

@@ -1,9 +1,9 @@
 """Table-set sinks (SK-01 … SK-04).
 
 ``TableSink`` writes every present table of a set under one directory
-(parquet by default, CSV on request): to a staging folder first, then any
-earlier output of the same names is moved aside with a UTC time-stamp suffix
-and the new one takes its place; tables without rows are left out. Writes go
+(parquet by default, CSV on request): to a staging folder first, then all
+earlier outputs are moved aside with a UTC time-stamp suffix and the new ones
+take their places; tables without rows are left out. Writes go
 through Spark's commit protocol, so a lost executor only re-runs its tasks.
 """
 
@@ -13,8 +13,10 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mentions.schemas import TABLES
+from mentions.sources.registry import CLAIMS, IDS, Registry
 from mentions.sources.tables import FORMATS, TableSet, path_exists, read_csv, table_path
 
 STAMP = "%Y%m%d%H%M%S"  # fixed value: backup suffix format (UTC)
@@ -36,20 +38,27 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"could not rename {src} to {dst}")
 
 
-def backup(spark: SparkSession, root: str, names, fmt: str = "parquet", now: dt.datetime | None = None) -> list[str]:
+def backup(spark: SparkSession, root: str, names, fmt: str = "parquet", now: dt.datetime | None = None,
+           moved: list[tuple[str, str]] | None = None) -> list[str]:
     """SK-03: rename existing ``<root>/<table>`` outputs to ``..._<UTC stamp>``.
 
-    Returns the new names (file names only), in the order of ``names``. A
+    Returns the new names (file names only), in the order of ``names``. The
+    registry of parquet tables that were written in batches goes with them. A
     backup of the same second is never overwritten or nested into: it raises
-    FileExistsError before anything is moved.
+    FileExistsError before anything is moved. Renames are added to ``moved``
+    as they are done.
     """
     stamp = (now or dt.datetime.now(dt.timezone.utc)).strftime(STAMP)
     there = [src for src in (table_path(root, name, fmt) for name in names) if path_exists(spark, src)]
-    for src in there:
+    records = [f"{root.rstrip('/')}/{name}" for name in (IDS, CLAIMS)] if fmt == "parquet" else []
+    records = [src for src in records if path_exists(spark, src)]
+    for src in there + records:
         if path_exists(spark, f"{src}_{stamp}"):
             raise FileExistsError(f"{src}_{stamp}")
-    for src in there:
+    for src in there + records:
         move(spark, src, f"{src}_{stamp}")
+        if moved is not None:
+            moved.append((src, f"{src}_{stamp}"))
     return [f"{src}_{stamp}".rsplit("/", 1)[-1] for src in there]
 
 
@@ -74,24 +83,41 @@ class TableSink:
     def write(self, tables: TableSet | dict[str, DataFrame], backup_existing: bool = True) -> list[str]:
         """Write every present table; return the names written (empty ones left out).
 
-        All tables are first written whole to a staging folder below the
-        target, so the input may be the target's own tables. Then earlier
-        outputs are moved aside (without ``backup_existing`` they must not
-        exist), and the new ones take their names.
+        The set is fresh: earlier outputs of all ten tables are moved aside,
+        with their registry (without ``backup_existing`` there must be none).
+        The new tables are first written whole to a staging folder below the
+        target, so the input may be the target's own tables. If moving fails,
+        what was moved is moved back, and the error raised.
         """
         frames = tables.tables() if isinstance(tables, TableSet) else {n: d for n, d in tables.items() if d is not None}
         staging = f"{self.path}/_staging_{uuid.uuid4().hex}"
-        written = []
-        for name, df in frames.items():
-            staged = table_path(staging, name, self.fmt)
-            write_table(df, staged, self.fmt)
-            if not self._read(staged, name).isEmpty():  # SK-04: the written files are cheap to probe
-                written.append(name)
-        if backup_existing:
-            self.backed_up = backup(self.spark, self.path, list(frames), self.fmt)
-        for name in written:
-            move(self.spark, table_path(staging, name, self.fmt), table_path(self.path, name, self.fmt))
-        if frames:
+        written, moved = [], []
+        try:
+            for name, df in frames.items():
+                staged = table_path(staging, name, self.fmt)
+                write_table(df, staged, self.fmt)
+                if not self._read(staged, name).isEmpty():  # SK-04: the written files are cheap to probe
+                    written.append(name)
+            registry = Registry(self.spark, self.path)
+            had = self.fmt == "parquet" and registry.there()
+            next_id = max((c.next_id for c in registry.claimed()), default=0) if had else 0
+            next_id = max(next_id, registry.records().agg(F.max("next_id")).first()[0] or 0) if had else 0
+            done = registry.progress() if had else {}
+            if backup_existing:
+                self.backed_up = backup(self.spark, self.path, list(TABLES), self.fmt, moved=moved)
+            elif had:
+                raise FileExistsError(registry.ids)
+            for name in written:
+                source, target = table_path(staging, name, self.fmt), table_path(self.path, name, self.fmt)
+                move(self.spark, source, target)
+                moved.append((source, target))
+            if had:
+                registry.restart(next_id, done)
+        except BaseException:
+            for source, target in reversed(moved):
+                move(self.spark, target, source)
+            raise
+        finally:
             fs, hpath = _fs(self.spark, staging)
             fs.delete(hpath, True)
         return written
@@ -99,7 +125,8 @@ class TableSink:
     def append(self, analyses: DataFrame) -> int:
         """FL-15: flatten further analyses and add them; document ids go on. Returns the batch's number.
 
-        Readers see the batch once it is whole (see :mod:`mentions.streaming.ingest`).
+        Tables written here before stay, as the first batch. Readers see the
+        batch once it is whole (see :mod:`mentions.sources.registry`).
         """
         from mentions.streaming.ingest import append_analyses
 

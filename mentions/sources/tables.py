@@ -40,16 +40,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return rows.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-#: Records of committed batches beside incrementally written tables (:mod:`mentions.streaming.ingest`).
-IDS = "_ids"
-
-
-def committed_batches(spark: SparkSession, root: str) -> DataFrame | None:
-    """``batch, next_id`` of the batches that are written whole; None for tables that were written at once."""
-    path = f"{root.rstrip('/')}/{IDS}"
-    return spark.read.schema("next_id long, batch long").parquet(path) if path_exists(spark, path) else None
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop FileSystem of the session (any scheme)."""
     jvm = spark._jvm
@@ -58,6 +48,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it isn't there."""
+    if not path_exists(spark, path):
+        return []
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [status.getPath().getName() for status in fs.listStatus(hpath)]
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, batches: list[int]) -> DataFrame | None:
+    """The committed batches of a table: files written at once (batch 0, taken over), and folders ``batch=<n>``."""
+    names, parts = children(spark, path), []
+    if any(n.endswith(".parquet") for n in names):
+        parts.append(spark.read.schema(schema).parquet(f"{path}/*.parquet"))
+    folders = {int(n[6:]) for n in names if n.startswith("batch=")}
+    if folders & set(batches):
+        rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).option("basePath", path).parquet(
+            *[f"{path}/batch={n}" for n in batches if n in folders])
+        parts.append(rows.drop("batch"))
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def table_path(root: str, name: str, fmt: str, suffix: str = "") -> str:
     base = f"{root.rstrip('/')}/{name}.{'csv' if fmt == 'csv' else 'parquet'}"
     return f"{base}_{suffix}" if suffix else base
@@ -119,12 +131,16 @@ class TableSet:
         Table ``t`` lives at ``<path>/t.parquet`` (or ``t.csv``), optionally
         with ``_<backup_suffix>`` appended. Missing tables are ``None``; a
         directory without any raises ValueError. Of tables written batch by
-        batch only committed batches are read. The driver tests existence
-        and reads CSV headers; the scans are lazy.
+        batch only committed batches are read, as of now
+        (:mod:`mentions.sources.registry`). The driver tests existence and
+        reads CSV headers and the numbers of batches; the scans are lazy.
         """
         if fmt not in FORMATS:
             raise ValueError(f"fmt must be one of {FORMATS}")
-        batches = committed_batches(spark, path) if fmt == "parquet" and not backup_suffix else None
+        from mentions.sources.registry import Registry
+
+        registry = Registry(spark, path, backup_suffix)
+        batches = sorted(registry.committed()) if fmt == "parquet" and registry.there() else None
         found: dict[str, DataFrame | None] = {}
         for name, schema in TABLES.items():
             p = table_path(path, name, fmt, backup_suffix)
@@ -133,8 +149,7 @@ class TableSet:
             elif fmt == "csv":
                 found[name] = read_csv(spark, p, schema, multi_line)
             elif batches is not None:
-                rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(p)
-                found[name] = rows.join(batches.select("batch"), "batch", "left_semi").drop("batch")
+                found[name] = read_batches(spark, p, schema, batches)
             else:
                 found[name] = spark.read.schema(schema).parquet(p)
         if all(v is None for v in found.values()):
@@ -142,17 +157,17 @@ class TableSet:
         return cls(found)
 
     @classmethod
-    def from_analyses(cls, analyses: DataFrame, store: bool = True) -> "TableSet":
+    def from_analyses(cls, analyses) -> "TableSet":
         """SC-04: flatten a DataFrame of analyses (see :mod:`mentions.operators.flatten`).
 
-        The analyses are read once, checked and stored
-        (:func:`~mentions.operators.flatten.stage_analyses`; without
-        ``store`` columnar input is not copied). A table is present when its
+        The analyses are checked and stored by ranges of ``seq``
+        (:func:`~mentions.operators.flatten.stage_analyses`); analyses that
+        are staged already are taken as they are. A table is present when its
         call occurs in some analysis.
         """
         from mentions.operators import flatten as FL
 
-        staged = FL.stage_analyses(analyses, store=store)
+        staged = analyses if isinstance(analyses, FL.Staged) else FL.stage_analyses(analyses)
         if not staged.calls:
             raise ValueError("the analyses hold no call")
         return cls(staged.tables())

@@ -112,3 +112,35 @@ def test_from_results_single_and_list(spark, analysis):
     assert sorted(r[0] for r in two["sentiments"].collect()) == [0, 1, 2, 3]
     only_concepts = TableSet.from_results(spark, {"concepts": analysis["concepts"]})
     assert only_concepts["categories"] is None and only_concepts["concepts"].count() == 2
+
+
+def test_staged_ids_do_not_depend_on_ranges(spark, monkeypatch):
+    """Sparse, dense and negative seq in any order: ids are the running sum, whatever the number of ranges."""
+    import random
+
+    from mentions.schemas import ANALYSIS
+
+    rng = random.Random(8)
+    seqs = rng.sample(range(-50, 50), 40) + [10**12 + 7 * i for i in range(20)] + [-(2**62), 2**62]
+    rng.shuffle(seqs)
+    rows = [{"seq": s, "single_document": rng.random() < 0.3, "sentiment": [{"sentiment_value": float(s)}] * rng.randrange(4)} for s in seqs]
+    df = spark.createDataFrame(rows, ANALYSIS).repartition(5)
+    want, used = {}, 0
+    for row in sorted(rows, key=lambda r: r["seq"]):
+        want[row["seq"]] = used
+        used += 1 if row["single_document"] else len(row["sentiment"])
+    for most in (1, 3, 16):
+        monkeypatch.setattr(FL, "MAX_PARTS", most)
+        staged = FL.stage_analyses(df)
+        assert {r.seq: r.doc_base for r in staged.analyses().select("seq", "doc_base").collect()} == want
+        assert staged.used == used and staged.calls == ("sentiment",)
+        assert {r.seq: r.doc_base - 100 for r in staged.analyses(100).collect()} == want
+
+
+def test_range_of_counts_cuts(spark):
+    from pyspark.sql import functions as F
+
+    for cuts in ([], [5], list(range(0, 200, 3)), [-(2**63), 0, 2**63 - 1]):
+        df = spark.createDataFrame([(x,) for x in (-(2**63), -1, 0, 1, 5, 6, 150, 2**63 - 1)], "seq long")
+        got = {r.seq: r.p for r in df.select("seq", FL._range_of(F.col("seq"), cuts).alias("p")).collect()}
+        assert got == {x: sum(c <= x for c in cuts) for x in got}

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from mentions.operators import batching
 from mentions.operators.batching import MAX_REQUEST_BYTES, batch_texts, request_overhead, text_bytes
 
 
@@ -69,3 +70,44 @@ def test_text_bytes_equal_the_json_literal(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, text string")
     got = {r.i: r.b for r in df.select("i", text_bytes(df["text"]).alias("b")).collect()}
     assert got == {i: len(json.dumps(t)) + 1 for i, t in enumerate([*texts, None])}
+
+
+@pytest.mark.parametrize("unit,group,fan,partitions", [(8, 4, 2, "5"), (3, 1, 3, "2"), (1, 1, 2, "3"), (1 << 16, 1 << 12, 32, "4")])
+def test_whole_table_packing_equals_the_sequential_one(spark, monkeypatch, unit, group, fan, partitions):
+    """Sparse keys, texts too large for a request, one batch over many units and many batches in a unit."""
+    import random
+
+    monkeypatch.setattr(batching, "UNIT_ROWS", unit)
+    monkeypatch.setattr(batching, "GROUP_ROWS", group)
+    monkeypatch.setattr(batching, "FAN", fan)
+    rng = random.Random(unit)
+    texts = ["w" * (rng.choice([0, 1, 5, 30]) if rng.random() < 0.9 else rng.randrange(150)) for _ in range(90)]
+    texts += ["z" * 200, "z" * 200] + [""] * 30
+    keys = sorted(rng.sample(range(-10**12, 10**12), len(texts)))
+    df = spark.createDataFrame(list(zip(keys, texts, strict=True)), "doc_id long, text string").repartition(3)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = batch_texts(df, ["absa"], max_size=150).orderBy("doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    got = {}
+    for r in rows:
+        got.setdefault(r.batch_start, []).append(r.text)
+        assert r.oversized == (len(r.text) + 3 + request_overhead(["absa"]) > 150)
+    assert list(got.values()) == brute_force(texts, 150, request_overhead(["absa"]))
+    assert len(rows) == len(texts)
+
+
+def test_sparse_keys_do_not_cut_batches(spark):
+    df = spark.createDataFrame([(50_000 * i, "abc") for i in range(8)], "doc_id long, text string")
+    assert {r.batch_start for r in batch_texts(df).collect()} == {0}
+
+
+def test_packing_of_no_rows_and_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "same")] * 50 + [(None, None), (2, None)], "doc_id long, text string")
+    out = batch_texts(df, ["absa"], max_size=request_overhead(["absa"]) + 21)
+    assert out.count() == 52 and {r.text_bytes for r in out.collect()} == {7, 5}
+    assert batch_texts(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="room"):
+        batch_texts(df, max_size=10)

@@ -12,8 +12,8 @@
    is such that ``RECALL`` of them meet in every one of ``REGIONS`` regions
    (by distance from the centre) for both kinds; substrings are as long as is
    cheapest by measured bucket sizes, down to none (all pairs are compared).
-4. In a bucket, cosines of the original vectors in double precision decide. A
-   pair counts only in the first table where it meets, so links are counted
+4. In a bucket, cosines of the original vectors in double precision decide,
+   at the threshold by sums that are rounded once. A pair counts only in the first table where it meets, so links are counted
    without a list of pairs: a task returns link counts and a spanning forest.
    A bucket over ``BLOCK`` rows is cut into blocks, and each pair of blocks is
    a task's group.
@@ -44,6 +44,8 @@ BLOCK = 2048
 #: Sampled vectors that get partners at the threshold, and the regions they are told apart by.
 PROBES = 4096
 REGIONS = 4
+#: Cosines of unit vectors this near the threshold are computed anew from the original vectors.
+DOUBT = 1e-9
 #: Moving a row to a bucket costs as much as so many comparisons.
 ROW_COST = 64
 
@@ -147,6 +149,17 @@ def _matrix(column, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def exact_cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines of the rows of two matrices of original vectors, rounded once at the end of each sum.
+
+    Vectors are scaled by powers of two, which loses nothing, so that squares
+    neither overflow nor vanish.
+    """
+    x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]).astype(np.longdouble) for v in (x, y))
+    dot, left, right = ((a * b).sum(axis=1).astype(np.float64) for a, b in ((x, y), (x, x), (y, y)))
+    return dot / np.sqrt(left * right)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -218,8 +231,16 @@ def _links_in(group: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     found_i, found_j = [], []
     for start in range(0, len(left), 1024):
         rows = left[start:start + 1024]
-        i, j = np.nonzero(vectors[rows] @ vectors[right].T >= threshold)
+        cosine = vectors[rows] @ vectors[right].T
+        i, j = np.nonzero(cosine >= threshold - DOUBT)
+        # unit vectors are rounded: near the threshold the original ones decide
+        near = np.flatnonzero(cosine[i, j] < threshold + DOUBT)
         i, j = rows[i], right[j]
+        if len(near):
+            keep = np.ones(len(i), bool)
+            for part in np.array_split(near, -(-len(near) // 4096)):
+                keep[part] = exact_cosines(group["vector"][i[part]], group["vector"][j[part]]) >= threshold
+            i, j = i[keep], j[keep]
         if same_block:
             i, j = i[i < j], j[i < j]
         first = (keys[i] == keys[j]).argmax(axis=1) == group["tab"] if len(i) else np.empty(0, bool)
@@ -237,7 +258,8 @@ def bucket_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
         for table in whole_groups(source, group_of):
             ids = np.stack([table[c].to_numpy() for c in group_of], axis=1)
             cuts = group_cuts(table, group_of)
-            unit = _unit(_matrix(table["vector"].combine_chunks(), width))
+            vector = _matrix(table["vector"].combine_chunks(), width)
+            unit = _unit(vector)
             tables = len(table["keys"][0])
             keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, tables)
             rep, n, own = (table[c].to_numpy() for c in ("rep", "n", "own"))
@@ -246,7 +268,7 @@ def bucket_links(rows: DataFrame, width: int, threshold: float) -> DataFrame:
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
                 if e - s < 2:
                     continue
-                i, j = _links_in({"unit": unit[s:e], "keys": keys[s:e], "own": own[s:e], "tab": ids[s, 0], "x": ids[s, 2],
+                i, j = _links_in({"unit": unit[s:e], "vector": vector[s:e], "keys": keys[s:e], "own": own[s:e], "tab": ids[s, 0], "x": ids[s, 2],
                                   "y": ids[s, 3]}, threshold)
                 if len(i):
                     total = np.zeros(e - s, np.int64)

@@ -133,14 +133,16 @@ def anchors_in_play(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             cuts = np.concatenate(([0], np.flatnonzero(found[1:] != found[:-1]) + 1))
             last = np.concatenate((cuts[1:], [len(found)])) - 1
             known = np.repeat(last > cuts, last - cuts + 1)
+            where = (found % np.uint64(parts)).astype(np.int64)
             out = []
             if known.any():
                 # two documents of this slice: in play whatever others hold
-                out.append(packed(int(begin[0]) % parts, True, found[known], ids[known]))
+                for part in np.unique(where[known]):
+                    mine = known & (where == part)
+                    out.append(packed(int(part), True, found[mine], ids[mine]))
             # others must hear of each anchor, from two documents at most
             rest = np.zeros(len(found), bool)
             rest[cuts] = rest[last] = True
-            where = (found % np.uint64(parts)).astype(np.int64)
             for part in np.unique(where[rest]):
                 mine = rest & (where == part)
                 out.append(packed(int(part), False, found[mine], ids[mine]))
@@ -153,8 +155,23 @@ def anchors_in_play(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         def rows(found, ids):
             return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found.view(np.int64))], names=["doc_id", "anchor"])
 
-        for batch in source:
-            for known, *blobs in zip(*[batch[n].to_pylist() for n, _ in types[1:]], strict=True):
+        def shared():
+            """Those of the part's anchors that two documents have."""
+            found, ids = map(np.concatenate, kept)
+            kept[0], kept[1] = [], []
+            order = np.argsort(found, kind="stable")
+            found, ids = found[order], ids[order]
+            cuts = np.concatenate(([0], np.flatnonzero(found[1:] != found[:-1]) + 1))
+            sizes = np.diff(np.concatenate((cuts, [len(found)])))
+            both = np.repeat(np.minimum.reduceat(ids, cuts) != np.maximum.reduceat(ids, cuts), sizes)
+            return rows(found[both], ids[both])
+
+        last = None
+        for batch in source:  # sorted by part: a task holds one part at a time
+            for part, known, *blobs in zip(*[batch[n].to_pylist() for n, _ in types], strict=True):
+                if part != last and kept[0]:
+                    yield shared()
+                last = part
                 found, ids = unpacked(*blobs)
                 if known:
                     yield rows(found, ids)
@@ -162,15 +179,10 @@ def anchors_in_play(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                     kept[0].append(found)
                     kept[1].append(ids)
         if kept[0]:
-            found, ids = map(np.concatenate, kept)
-            order = np.argsort(found, kind="stable")
-            found, ids = found[order], ids[order]
-            cuts = np.concatenate(([0], np.flatnonzero(found[1:] != found[:-1]) + 1))
-            sizes = np.diff(np.concatenate((cuts, [len(found)])))
-            shared = np.repeat(np.minimum.reduceat(ids, cuts) != np.maximum.reduceat(ids, cuts), sizes)
-            yield rows(found[shared], ids[shared])
+            yield shared()
 
-    return docs.select("doc_id", "text").mapInArrow(send, schema).repartition("part").mapInArrow(judge, "doc_id long, anchor long")
+    sent = docs.select("doc_id", "text").mapInArrow(send, schema)
+    return sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(judge, "doc_id long, anchor long")
 
 
 def passages(docs: DataFrame, lists: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -200,17 +212,17 @@ def passages(docs: DataFrame, lists: DataFrame, window: int, anchor: int) -> Dat
             keys = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), np.uint64, len(texts)).view(np.int64)
             anchors = found[at[hit]].view(np.int64)
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)[row]
-            versions = batch["version"].to_numpy(zero_copy_only=False)[row]
+            versions = batch["version"].take(pa.array(row))
             order = np.lexsort((ids, keys, anchors))
             again = np.zeros(len(order), bool)
             again[order[1:]] = (anchors[order[1:]] == anchors[order[:-1]]) & (keys[order[1:]] == keys[order[:-1]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchors), pa.array(keys), pa.array(ids), pa.array(versions),
+                [pa.array(anchors), pa.array(keys), pa.array(ids), versions,
                  pa.array((low - words.first[row]).astype(np.int32)), pa.array(texts, pa.binary(), mask=again)],
                 names=["anchor", "key", "doc_id", "version", "start", "words"])
 
     return packed_texts(docs, ["doc_id", "version"]).join(lists, "doc_id").select("doc_id", "version", "packed", "anchors").mapInArrow(
-        run, "anchor long, key long, doc_id long, version int, start int, words binary")
+        run, "anchor long, key long, doc_id long, version binary, start int, words binary")
 
 
 class SuffixAutomaton:
@@ -401,12 +413,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     ``kept`` (the other words, joined by one space).
     """
     number = F.coalesce("doc_id", F.lit(NO_ID))
-    texts = id_text(docs, id_col, text_col).select(number.alias("doc_id"), F.hash("text").alias("version"), "text")
+
+    def version(text):
+        return F.coalesce(F.unhex(F.md5(text)), F.lit(b""))
+
+    texts = id_text(docs, id_col, text_col).select(number.alias("doc_id"), version(F.col("text")).alias("version"), "text")
     lost = repeated_spans(texts, window, **options)
-    # the version tells rows of one id apart; the text travels compressed, beside the rest of the row
+    # the version, 128 bits, tells rows of one id apart; the text travels compressed, beside the rest of the row
     whole, text = whole_rows(docs, id_col), F.col("row").getField(text_col)
     bare = F.struct(*[(F.lit(None).cast(kind) if c == text_col else F.col("row").getField(c)).alias(c) for c, kind in docs.dtypes])
-    base = packed_texts(whole.select(number.alias("doc_id"), F.hash(text.cast("string")).alias("version"), bare.alias("row"),
+    base = packed_texts(whole.select(number.alias("doc_id"), version(text.cast("string")).alias("version"), bare.alias("row"),
                                      text.cast("string").alias("text")), ["doc_id", "version", "row"])
     schema = whole.select("doc_id", "row", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
                           F.array().cast("array<struct<start:long,end:long>>").alias("spans"), F.lit("").alias("kept")).schema

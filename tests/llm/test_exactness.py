@@ -64,7 +64,7 @@ def test_rows_of_one_id_whose_texts_share_a_32_bit_hash(spark, frame):
 def test_known_anchors_are_dealt_over_parts(spark, frame, monkeypatch):
     """Anchors that a slice knows to be shared go to parts by their hash, not all to one."""
     docs = [(i, " ".join(f"w{(i // 2) * 50 + k}" for k in range(50))) for i in range(200)]
-    monkeypatch.setattr(substring, "PART_BYTES", 1)  # as many parts as bytes
+    monkeypatch.setattr(substring, "PART_BYTES", 5000)
     plan = substring.anchors_in_play(frame(docs).coalesce(1).select("doc_id", "text"), substring.WINDOW, substring.ANCHOR)
     sizes = [r.n for r in plan.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) > 3 and max(sizes) < 0.6 * sum(sizes)

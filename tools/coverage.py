@@ -24,8 +24,8 @@ IMPL = {
     "SC-06": ("sources.tables.TableSet.__getitem__", "KeyError / None tested in tests/test_tables.py"),
     "SC-07": ("sources.tables.TableSet.concepts/.categories/.sentiments/.absa", "presence by call"),
     "SC-08": ("operators.*.<Facade>._need", "NoRelevantData in tests/test_tables.py, tests/test_concepts.py"),
-    "FL-01": ("operators.flatten.stage_analyses / flatten_analyses", "input read once"),
-    "FL-02": ("operators.flatten.assign_doc_ids", "three bounded windows"),
+    "FL-01": ("operators.flatten.stage_analyses / flatten_analyses", "staged once, ten tables map-only"),
+    "FL-02": ("operators.flatten.stage_analyses / assign_doc_ids", "running sums by range; three bounded windows"),
     "FL-03": ("operators.flatten._finish", ""),
     "FL-04": ("operators.flatten.flatten_categories", ""),
     "FL-05": ("operators.flatten.flatten_concepts", ""),
@@ -38,11 +38,11 @@ IMPL = {
     "FL-12": ("operators.flatten.flatten_absa_evaluations", ""),
     "FL-13": ("operators.flatten.flatten_absa_evaluations_entities", ""),
     "FL-14": ("operators.flatten.FLATTENERS (absa_*)", ""),
-    "FL-15": ("operators.flatten.flatten_analyses; sources.sinks.TableSink.append", "ids go on"),
+    "FL-15": ("sources.registry.Registry; sources.sinks.TableSink.append; streaming.ingest", "batches claimed exclusively"),
     "FL-16": ("operators.flatten.flatten_call", ""),
     "SK-01": ("sources.sinks.TableSink", "parquet and CSV"),
     "SK-02": ("sources.sinks.ViewSink", ""),
-    "SK-03": ("sources.sinks.backup", ""),
+    "SK-03": ("sources.sinks.backup", "all ten tables and the registry"),
     "SK-04": ("sources.sinks.TableSink.write (empty outputs removed)", "tests/test_tables.py"),
     "PF-01": ("operators.common.type_equals", ""),
     "PF-02": ("operators.common.type_prefix", ""),
@@ -117,7 +117,7 @@ IMPL = {
     "ST-01": ("streaming.ingest.start_ingest / ingest_batch", "exactly-once doc ids"),
     "ST-02": ("streaming.counts.windowed_concept_counts", ""),
     "UD-01": ("operators.concepts.apply_concept_filter", ""),
-    "BP-01": ("operators.batching.batch_texts / text_bytes", "recursive SQL oracle"),
+    "BP-01": ("operators.batching.batch_texts / text_bytes", "whole table, in parallel; recursive SQL oracle"),
 }
 
 

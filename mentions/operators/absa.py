@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mentions.errors import NoRelevantData
 from mentions.operators import common as C
+from mentions.sources.postings import texts_naming
 
 SENTINEL = 100.0  # fixed value: |sentiment_value| >= 100 means "no rating"
 
@@ -59,14 +60,17 @@ def least_common_entities(entities: DataFrame, n: int | None = 15, entity_type:
     return C.share_of(result, "count", _total(named)) if normalize else result
 
 
-def co_occurring_entities(entities: DataFrame, entity: str, n: int | None = 15, entity_type: str = "") -> DataFrame:
+def co_occurring_entities(entities: DataFrame, entity: str, n: int | None = 15, entity_type: str = "",
+                          postings: DataFrame | None = None) -> DataFrame:
     """AG-14: entities sharing a text with ``entity`` (case-insensitive), by mention count.
 
     Texts holding the anchor are a left-semi join on ``(doc_id, text_order)``,
-    so every other mention counts once however often the anchor occurs.
+    so every other mention counts once however often the anchor occurs. With
+    ``postings`` of the table (:mod:`mentions.sources.postings`) they are looked
+    up there.
     """
     anchor = C.same_text("entity_name", entity)
-    anchors = entities.filter(anchor).select(*C.TEXT_KEY)
+    anchors = entities.filter(anchor).select(*C.TEXT_KEY) if postings is None else texts_naming(postings, entity)
     others = _named(entities.filter(~F.coalesce(anchor, F.lit(False))), entity_type)
     counts = _counts(others.join(anchors, C.TEXT_KEY, "left_semi"))  # skew: see co_occurring_concepts
     return C.top_k(counts, "count", "entity_name", n)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from mentions.errors import NoRelevantData
 from mentions.operators import common as C
+from mentions.sources.postings import texts_naming
 
 
 def _typed(concepts: DataFrame, concept_type: str, validate: bool) -> DataFrame:
@@ -76,7 +77,8 @@ def least_common_concepts(concepts: DataFrame, n: int | None = 15, concept_type:
 
 
 def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15, concept_type: str = "",
-                          dedupe: bool = True, validate: bool = True, salts: int = C.SALTS) -> DataFrame:
+                          dedupe: bool = True, validate: bool = True, salts: int = C.SALTS,
+                          postings: DataFrame | None = None) -> DataFrame:
     """AG-04: concepts sharing a text with ``concept`` (case-insensitive), by ``sum(freq)``.
 
     The texts holding the anchor become a left-semi join on
@@ -86,12 +88,14 @@ def co_occurring_concepts(concepts: DataFrame, concept: str, n: int | None = 15,
     multiplicity of the literal pandas join): the number of anchor rows of
     each text is attached to its rows as a salted group total and used as a
     multiplier, so no pair of rows is ever emitted and a hot text is spread
-    over many tasks.
+    over many tasks. With ``postings`` of the table
+    (:mod:`mentions.sources.postings`) the anchor's texts are looked up there
+    (with ``dedupe`` only).
     """
     if validate:
         C.require_value(concepts, "concept_type", concept_type)
     anchor = C.same_text("concept", concept)
-    anchors = concepts.filter(anchor).select(*C.TEXT_KEY)
+    anchors = concepts.filter(anchor).select(*C.TEXT_KEY) if postings is None else texts_naming(postings, concept)
     others = C.type_equals(concepts.filter(~F.coalesce(anchor, F.lit(False))), "concept_type", concept_type)
     if dedupe:
         # Both join inputs come straight from shuffles, which lets AQE split

@@ -63,13 +63,15 @@ def idf(concepts: DataFrame, concept_type: str = "", names=None, validate: bool
     return C.lookup(requests, found.select("concept", "idf"), "concept", {"idf": 0.0})
 
 
-def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True, salts: int = C.SALTS) -> DataFrame:
+def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True, salts: int | None = None) -> DataFrame:
     """TF-IDF per document and concept: ``doc_id, concept, tf, idf, tf_idf``.
 
     Bags are counted once and stored below the checkpoint folder (an eager
     step): size, document frequency and result all read that small table
     instead of counting anew. Both totals are salted, so a document or a
-    concept with a large share of all rows is spread over ``salts`` tasks.
+    concept with a large share of all rows is spread over ``salts`` tasks; by
+    default as many as the largest document, or concept, of the stored bags
+    calls for.
     """
     from mentions.session import scratch_dir
 
@@ -77,7 +79,8 @@ def tf_idf(concepts: DataFrame, concept_type: str = "", validate: bool = True, s
     path = scratch_dir(spark, "bags")
     bag_counts(concepts, concept_type, validate).write.parquet(path)
     bags = spark.read.parquet(path)
-    doc_salt, concept_salt = (F.pmod(F.xxhash64(c), F.lit(salts)) for c in ("concept", "doc_id"))
+    doc_salt, concept_salt = (F.pmod(F.xxhash64(c), F.lit(salts or C.salts_for(C.largest_group(bags, group))))
+                              for c, group in (("concept", "doc_id"), ("doc_id", "concept")))
     sizes = _totals(bags.withColumn("_d", doc_salt), "doc_id", "_d", F.sum("count"), "_size")
     freqs = _totals(bags.withColumn("_c", concept_salt), "concept", "_c", F.count(F.lit(1)), "_df")
     n_docs = document_count(concepts)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from mentions.operators import concepts as K
-from mentions.plans.registry import r, register, rounded
+from mentions.plans.registry import REGISTRY, r, register, rounded
+from mentions.session import scratch_dir
+from mentions.sources.bucketed import BucketedSink
+from mentions.sources.postings import write_postings
 from mentions.sources.views import load_views, with_views
 
 # Fixed query arguments for the registered checks.
@@ -78,6 +81,16 @@ def co_occurring_concepts(spark, sf_dir):
     return K.co_occurring_concepts(_v(spark, sf_dir)["concepts"], ANCHOR, n=N)
 
 
+@register("co_occurring_concepts_postings", ids=("AG-04", "J-01", "PF-05", "PF-06"), oracle=REGISTRY["co_occurring_concepts"].oracle)
+def co_occurring_concepts_postings(spark, sf_dir):
+    """As above over the bucketed layout, the anchor's texts from the postings."""
+    path = scratch_dir(spark, "concept-postings")
+    sink = BucketedSink(spark, path, f"c{path[-32:]}_", 8)
+    sink.write({"concepts": _v(spark, sf_dir)["concepts"]})
+    concepts = sink.open()["concepts"]
+    return K.co_occurring_concepts(concepts, ANCHOR, n=N, postings=write_postings(concepts, "concept", f"{path}/postings"))
+
+
 @register("co_occurring_concepts_multiplicity", ids=("AG-04", "D9"), oracle=with_views(f"""
 , anchors AS (SELECT doc_id, text_order FROM concepts WHERE lower(concept) = lower('{ANCHOR}')),
 counts AS (

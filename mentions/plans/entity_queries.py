@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from mentions.operators import absa as A
 from mentions.operators import categories as G
-from mentions.plans.registry import r, register, rounded
+from mentions.plans.registry import REGISTRY, r, register, rounded
 from mentions.session import scratch_dir
 from mentions.sources.bucketed import BucketedSink
+from mentions.sources.postings import write_postings
 from mentions.sources.views import load_views, with_views
 
 # Fixed query arguments for the registered checks.
@@ -116,6 +117,16 @@ def co_occurring_entities(spark, sf_dir):
     return A.co_occurring_entities(load_views(spark, sf_dir)["absa_entities"], ANCHOR, N)
 
 
+@register("co_occurring_entities_postings", ids=("AG-14", "J-02", "PF-05", "PF-06"), oracle=REGISTRY["co_occurring_entities"].oracle)
+def co_occurring_entities_postings(spark, sf_dir):
+    """As above over the bucketed layout, the anchor's texts from the postings."""
+    path = scratch_dir(spark, "entity-postings")
+    sink = BucketedSink(spark, path, f"e{path[-32:]}_", 8)
+    sink.write({"absa_entities": load_views(spark, sf_dir)["absa_entities"]})
+    entities = sink.open()["absa_entities"]
+    return A.co_occurring_entities(entities, ANCHOR, N, postings=write_postings(entities, "entity_name", f"{path}/postings"))
+
+
 _RATED = """rated AS (
   SELECT r.sentiment_value, e.entity_type, e.entity_name
   FROM absa_relations r JOIN absa_relations_entities e

@@ -1,8 +1,10 @@
-"""A bucketed layout of the tables that rating queries join (J-03, J-05).
+"""A bucketed layout of the tables that queries join (J-01, J-02, J-03, J-05, J-06).
 
 Relations, evaluations and their entities are joined on the same three keys by
-every rating query. Written with the same number of buckets on those keys, and
-sorted by them, the join needs neither a shuffle nor a sort. The tables are
+every rating query; concepts, entities and texts by text. Written with the same
+number of buckets on those keys, and sorted by them, the join needs neither a
+shuffle nor a sort. A bucket is one task, so a text that alone holds a large
+share of a table calls for the plain layout, whose joins are split. The tables are
 external tables of the session's catalog, with their files under a folder that
 the caller names.
 """
@@ -11,12 +13,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mentions.operators.common import RELATION_KEY
+from mentions.operators.common import RELATION_KEY, TEXT_KEY
 from mentions.schemas import TABLES
 from mentions.sources.tables import TableSet
 
 EVALUATION_KEY = ["doc_id", "text_order", "evaluation_id"]
 BUCKET_KEYS = {
+    "concepts": TEXT_KEY,
+    "absa_entities": TEXT_KEY,
+    "absa_normalized_texts": TEXT_KEY,
     "absa_relations": RELATION_KEY,
     "absa_relations_entities": RELATION_KEY,
     "absa_evaluations": EVALUATION_KEY,

@@ -91,3 +91,23 @@ def test_repeated_concept_in_one_text_is_spread(spark):
     got = {r["concept"]: r["count"] for r in K.co_occurring_concepts(df, "a", n=5, dedupe=False, validate=False).collect()}
     assert got == {"b": 2 * sum(i % 100 + 1 for i in range(2, 10_000))}
     assert C.salts_for(C.largest_group(df, ["doc_id", "text_order"]), 1000) == 10
+
+
+def test_a_larger_group_gets_more_salts_unasked(spark, monkeypatch):
+    """TF-IDF sizes its salts by the largest document and the largest concept."""
+    import re
+
+    from mentions.operators import common as C
+    from mentions.operators import corpus as X
+    from mentions.schemas import TABLES
+
+    used = []
+    real = C.salts_for
+    monkeypatch.setattr(C, "salts_for", lambda n: used.append((n, real(n, 10))) or real(n, 10))
+    small = [(d, 0, f"c{k}", 1, 0.1, "x") for d in range(6) for k in range(3)]
+    large = small + [(99, 0, f"big{k}", 1, 0.1, "x") for k in range(200)]
+    got = [X.tf_idf(spark.createDataFrame(rows, TABLES["concepts"])) for rows in (small, large)]
+    assert used == [(3, 1), (6, 1), (203 - 3, 20), (6, 1)]
+    assert re.search(r"pmod\(xxhash64\(concept[^)]*\), 20\)", got[1]._jdf.queryExecution().executedPlan().toString())
+    want = X.tf_idf(spark.createDataFrame(large, TABLES["concepts"]), salts=3)
+    assert sorted(map(tuple, got[1].collect())) == sorted(map(tuple, want.collect()))

@@ -57,8 +57,8 @@ IMPL = {
     "PF-11": ("operators.concepts.apply_concept_filter", "DataFrame, Column or Python predicate"),
     "PF-12": ("functions.display.remove_stopwords", ""),
     "PF-13": ("DataFrame.select on lazy tables", ""),
-    "J-01": ("operators.concepts.co_occurring_concepts", "left-semi join"),
-    "J-02": ("operators.absa.co_occurring_entities", "left-semi join"),
+    "J-01": ("operators.concepts.co_occurring_concepts; sources.postings", "left-semi join"),
+    "J-02": ("operators.absa.co_occurring_entities; sources.postings", "left-semi join"),
     "J-03": ("operators.absa.rated_mentions", ""),
     "J-04": ("operators.absa.worst_rated_entities", "inner join (D11)"),
     "J-05": ("operators.absa.opinion_strings", ""),
@@ -70,7 +70,7 @@ IMPL = {
     "AG-01": ("operators.concepts.concept_frequency", ""),
     "AG-02": ("operators.concepts.most_common_concepts", ""),
     "AG-03": ("operators.concepts.least_common_concepts", ""),
-    "AG-04": ("operators.concepts.co_occurring_concepts", ""),
+    "AG-04": ("operators.concepts.co_occurring_concepts; sources.postings", ""),
     "AG-05": ("operators.concepts.concept_frequencies", ""),
     "AG-06": ("operators.concepts.frequency_relevance", ""),
     "AG-07": ("operators.concepts.surface_forms", ""),
@@ -80,7 +80,7 @@ IMPL = {
     "AG-11": ("operators.absa.entity_frequency", ""),
     "AG-12": ("operators.absa.most_common_entities", ""),
     "AG-13": ("operators.absa.least_common_entities", ""),
-    "AG-14": ("operators.absa.co_occurring_entities", ""),
+    "AG-14": ("operators.absa.co_occurring_entities; sources.postings", ""),
     "AG-15": ("operators.absa.best_rated_entities", ""),
     "AG-16": ("operators.absa.worst_rated_entities", ""),
     "AG-17": ("operators.absa.entity_sentiment", ""),

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mentions.operators import common as C
+from mentions.sources.summaries import known_interval
 
 MISSING = ("error", "drop")
 
@@ -120,6 +121,55 @@ def concept_time_series(concepts: DataFrame, names, date_info: DataFrame | dict,
             .orderBy("ord", "start"))
 
 
+def series_from_totals(summaries, names, delta, interval=None, missing_dates: str = "error") -> DataFrame:
+    """:func:`concept_time_series` from the running totals of :class:`~mentions.sources.summaries.Summaries`.
+
+    A tick's count is the difference of two look-ups, the running total at its
+    end and at its beginning, so any ``delta`` of whole days is served by the
+    same totals and ``concepts`` isn't read. Per batch, concept and tick the last
+    total is kept (days before the interval are the tick before the first);
+    windows hold the ticks of one concept in one batch. The default interval
+    spans the dates that were known when the batches were summarised. Batches
+    summarised without dates are refused.
+    """
+    if missing_dates not in MISSING:
+        raise ValueError(f"missing_dates must be one of {MISSING}")
+    step = _delta_days(delta)
+    batches = summaries.batches()
+    undated = sorted(n for n, b in batches.items() if not b["dated"])
+    if undated:
+        raise ValueError(f"batches {undated} were summarised without dates")
+    days = summaries.table("days", batches)
+    wanted = C.keep_names(days, "concept", names if isinstance(names, DataFrame) else C.as_name_list(names))
+    if missing_dates == "error":
+        lost = wanted.filter(F.col("day").isNull() & (F.col("undated") > 0)).select("concept").take(1)
+        if lost:
+            raise MissingDates(f"no date for a document that names {lost[0].concept!r}")
+    if interval is None:
+        lo, hi = known_interval(batches) or (dt.date(1970, 1, 1), dt.date(1970, 1, 1))
+        interval = (lo, hi + dt.timedelta(days=step))
+    lo, hi = interval
+    ticks = max(0, -(-(hi - lo).days // step))
+    start = F.lit(lo)
+    tick = F.greatest(F.floor(F.datediff("day", start) / F.lit(step)), F.lit(-1)).cast("long")
+    inside = wanted.filter(F.col("day") < F.lit(lo + dt.timedelta(days=ticks * step)))  # NULL days go, too
+    ends = inside.groupBy("batch", "concept", tick.alias("tick")).agg(F.max_by("total", "day").alias("total"))
+    before = F.lag("total", 1, 0).over(Window.partitionBy("batch", "concept").orderBy("tick"))
+    counts = (ends.withColumn("count", F.col("total") - before).filter(F.col("tick") >= 0)
+              .groupBy("concept", "tick").agg(F.sum("count").alias("count")))
+    steps = F.sequence(F.lit(0), F.lit(ticks - 1)) if ticks else F.array().cast("array<int>")
+    grid = (C.request_table(summaries.spark, names, "concept").select("ord", "concept", F.explode(steps).alias("tick"))
+            .withColumn("tick", F.col("tick").cast("long")))
+
+    def at(k: Column) -> Column:
+        return F.date_add(start, (k * F.lit(step)).cast("int"))
+
+    return (grid.join(counts, ["concept", "tick"], "left")
+            .select("ord", "concept", at(F.col("tick")).alias("start"), at(F.col("tick") + 1).alias("stop"),
+                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+            .orderBy("ord", "start"))
+
+
 class MissingDates(ValueError):
     """A requested concept is mentioned in a document without a date."""
 

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from mentions.operators import concepts as K
 from mentions.operators import corpus as P
 from mentions.operators import series as S
+from mentions.operators.frequencies import Frequencies
 from mentions.plans.registry import r, register, rounded
+from mentions.session import scratch_dir
+from mentions.sources.summaries import Summaries
 from mentions.sources.views import load_views, with_views
 
 # Fixed query arguments for the registered checks.
@@ -140,3 +143,74 @@ def concept_time_series_drop(spark, sf_dir):
     dated = v["date_info"].withColumn("doc_date", F.when(F.col("doc_id") % 3 != 0, F.col("doc_date")))
     twice = dated.unionByName(dated.withColumn("doc_date", F.date_add("doc_date", 400)))
     return S.concept_time_series(v["concepts"], SERIES_NAMES, twice, WINDOW_DAYS, interval=WINDOW, missing_dates="drop")
+
+
+BATCHES = 3  # fixed query argument: batches of documents, as appends would make them
+DROPPED = ["und", "the"]
+
+
+def _summarised(spark, concepts, date_info=None) -> Summaries:
+    """Summaries of the whole table, which comes in batches by ranges of documents."""
+    out = Summaries(spark, scratch_dir(spark, "summaries"))
+    lo, hi = concepts.agg(F.min("doc_id"), F.max("doc_id")).first()
+    width = (hi - lo) // BATCHES + 1
+    for k in range(BATCHES):
+        here = (F.col("doc_id") >= lo + k * width) & (F.col("doc_id") < lo + (k + 1) * width)
+        out.add(k, concepts.filter(here), date_info)
+    return out
+
+
+@register("concept_time_series_totals", ids=("AG-23", "J-07", "SF-11"), oracle=_series_sql(SERIES_NAMES, SERIES_DAYS))
+def concept_time_series_totals(spark, sf_dir):
+    """The series from running totals that were kept by batch."""
+    v = load_views(spark, sf_dir)
+    return S.series_from_totals(_summarised(spark, v["concepts"], v["date_info"]), SERIES_NAMES, SERIES_DAYS)
+
+
+@register("concept_time_series_totals_window", ids=("AG-23", "J-07", "SF-11", "D18"),
+          oracle=_series_sql(SERIES_NAMES, WINDOW_DAYS, *WINDOW))
+def concept_time_series_totals_window(spark, sf_dir):
+    v = load_views(spark, sf_dir)
+    return S.series_from_totals(_summarised(spark, v["concepts"], v["date_info"]), SERIES_NAMES, WINDOW_DAYS, interval=WINDOW)
+
+
+@register("idf_kept", ids=("AG-21", "FL-15"), oracle=with_views(f"""
+, {_bags(ROLE)}
+SELECT concept, doc_freq, {r("idf")} AS idf FROM idf""", "token_concepts"))
+def idf_kept(spark, sf_dir):
+    """IDF from document frequencies that were kept by batch."""
+    return rounded(Frequencies(_summarised(spark, load_views(spark, sf_dir)["token_concepts"])).idf(ROLE))
+
+
+def _after_removal(sql: str) -> str:
+    """SQL over the documents whose number doesn't divide by five, without two concepts."""
+    names = ", ".join(f"'{n}'" for n in DROPPED)
+    left = f"""left_over AS (SELECT * FROM token_concepts WHERE doc_id % 5 <> 0 AND (concept IS NULL OR concept NOT IN ({names})))"""
+    return with_views(f"""
+, {left}, {_bags().replace("FROM token_concepts", "FROM left_over")}
+{sql}""", "token_concepts")
+
+
+def _reduced(spark, sf_dir) -> Frequencies:
+    tokens = load_views(spark, sf_dir)["token_concepts"]
+    ids = tokens.select("doc_id").filter(F.col("doc_id") % 5 != 0).distinct()
+    return Frequencies(_summarised(spark, tokens)).remove_concepts(DROPPED).filter(ids)
+
+
+@register("idf_after_removal", ids=("AG-21", "PF-09", "PF-10"),
+          oracle=_after_removal(f"SELECT concept, doc_freq, {r('idf')} AS idf FROM idf"))
+def idf_after_removal(spark, sf_dir):
+    """What removed documents and concepts had added is taken off the kept sums."""
+    return rounded(_reduced(spark, sf_dir).idf())
+
+
+@register("concept_bags_after_removal", ids=("AG-20", "PF-09", "PF-10"),
+          oracle=_after_removal(f"SELECT doc_id, concept, count, {r('tf')} AS tf FROM bags"))
+def concept_bags_after_removal(spark, sf_dir):
+    return rounded(_reduced(spark, sf_dir).concept_bags())
+
+
+@register("idf_filter_after_removal", ids=("AG-22", "PF-09", "PF-10"),
+          oracle=_after_removal(f"SELECT concept FROM idf WHERE idf >= {IDF_THRESHOLD}"))
+def idf_filter_after_removal(spark, sf_dir):
+    return _reduced(spark, sf_dir).idf_filter(IDF_THRESHOLD)

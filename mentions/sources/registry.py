@@ -32,11 +32,33 @@ from pyspark.sql import functions as F
 from mentions.schemas import TABLES
 from mentions.sources.tables import children, path_exists, table_path
 
-IDS, CLAIMS = "_ids", "_claims"
+IDS, CLAIMS, SUMMARIES = "_ids", "_claims", "_summaries"
 #: Seconds to wait for a writer that has created its claim and not filled it yet.
 PATIENCE = 30.0
 
 
+def create_exclusively(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with its content, or return False if it exists."""
+    jvm, raw = spark._jvm, bytearray(text.encode())
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.mkdirs(hpath.getParent())
+    try:
+        if fs.getScheme() == "file":  # Hadoop's own local file system looks first and creates then
+            options = spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 2)
+            options[0], options[1] = jvm.java.nio.file.StandardOpenOption.CREATE_NEW, jvm.java.nio.file.StandardOpenOption.WRITE
+            jvm.java.nio.file.Files.write(jvm.java.io.File(hpath.toUri().getPath()).toPath(), raw, options)
+        else:
+            stream = fs.create(hpath, False)
+            stream.write(raw)
+            stream.close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or path_exists(spark, path):
+            return False
+        raise
+    return True
+
+
 @dataclass(frozen=True)
 class Claim:
     """A batch: its number, its ids (``first_id`` up to ``next_id``, exclusive), and the micro-batch that it holds, if any."""
@@ -87,25 +109,7 @@ class Registry:
 
     def _create(self, claim: Claim) -> bool:
         """Create the claim's file with its content, or return False if its number is taken."""
-        jvm, path = self.spark._jvm, f"{self.claims}/{claim.batch:09d}.json"
-        raw = bytearray((json.dumps(claim.__dict__) + "\n").encode())
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        fs.mkdirs(hpath.getParent())
-        try:
-            if fs.getScheme() == "file":  # Hadoop's own local file system looks first and creates then
-                options = self.spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 2)
-                options[0], options[1] = jvm.java.nio.file.StandardOpenOption.CREATE_NEW, jvm.java.nio.file.StandardOpenOption.WRITE
-                jvm.java.nio.file.Files.write(jvm.java.io.File(hpath.toUri().getPath()).toPath(), raw, options)
-            else:
-                stream = fs.create(hpath, False)
-                stream.write(raw)
-                stream.close()
-        except Py4JJavaError as error:
-            if "FileAlreadyExists" in error.java_exception.getClass().getName() or path_exists(self.spark, path):
-                return False
-            raise
-        return True
+        return create_exclusively(self.spark, f"{self.claims}/{claim.batch:09d}.json", json.dumps(claim.__dict__) + "\n")
 
     def adopt(self) -> None:
         """Make what was written without a registry its batch 0."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentions.schemas import TABLES
-from mentions.sources.registry import CLAIMS, IDS, Registry
+from mentions.sources.registry import CLAIMS, IDS, SUMMARIES, Registry
 from mentions.sources.tables import FORMATS, TableSet, path_exists, read_csv, table_path
 
 STAMP = "%Y%m%d%H%M%S"  # fixed value: backup suffix format (UTC)
@@ -43,14 +43,14 @@ def backup(spark: SparkSession, root: str, names, fmt: str = "parquet", now: dt.
     """SK-03: rename existing ``<root>/<table>`` outputs to ``..._<UTC stamp>``.
 
     Returns the new names (file names only), in the order of ``names``. The
-    registry of parquet tables that were written in batches goes with them. A
+    registry of parquet tables that were written in batches, and their summaries, go with them. A
     backup of the same second is never overwritten or nested into: it raises
     FileExistsError before anything is moved. Renames are added to ``moved``
     as they are done.
     """
     stamp = (now or dt.datetime.now(dt.timezone.utc)).strftime(STAMP)
     there = [src for src in (table_path(root, name, fmt) for name in names) if path_exists(spark, src)]
-    records = [f"{root.rstrip('/')}/{name}" for name in (IDS, CLAIMS)] if fmt == "parquet" else []
+    records = [f"{root.rstrip('/')}/{name}" for name in (IDS, CLAIMS, SUMMARIES)] if fmt == "parquet" else []
     records = [src for src in records if path_exists(spark, src)]
     for src in there + records:
         if path_exists(spark, f"{src}_{stamp}"):

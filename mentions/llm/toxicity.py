@@ -28,12 +28,13 @@ many menaces of each kind) go through a logistic model fitted on the labelled
 rows. Nothing but the text enters a score.
 
 Labels. Rows are used if ``crc32`` of the id's text modulo 4 is not 2, and of
-these at most ``MAX_TRAIN`` (those of smallest hash), a documented bound. Every
-document is scored, whole.
+these at most ``MAX_TRAIN`` (those of smallest hash), a documented bound on rows,
+however many share an id. Every document is scored, whole.
 
 Edge cases: null or empty texts match nothing and get the score of such a
 document. Labels that are null, or of ids without a document, are ignored;
-repeated label rows count once, as toxic if any is. With no usable label of
+repeated label rows count once, as toxic if any is; rows with equal id and text
+are learnt from once. With no usable label of
 both kinds every score is the share of toxic labels (0 without labels).
 """
 
@@ -163,11 +164,18 @@ def held_out(id_col: F.Column) -> F.Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """``text, toxic`` of at most ``max_train`` labelled rows outside the held-out fold."""
+    """``text, toxic`` of at most ``max_train`` labelled rows outside the held-out fold.
+
+    Ids are chosen by hash first, so that few rows are stored, then rows; equal rows count once.
+    """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    some = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)  # the documented bound
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")
+    ids = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = stored(texts.join(F.broadcast(ids), "doc_id").withColumn("key", F.md5(F.col("text").cast("binary"))), "toxic-labelled")
+    keys = rows.select("doc_id", "key").distinct()
+    some = keys.orderBy(F.xxhash64("doc_id", "key"), "doc_id", "key").limit(max_train)  # the documented bound
+    return rows.join(F.broadcast(some), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("text", "toxic")
 
 
 def stem_counts(train: DataFrame) -> DataFrame:

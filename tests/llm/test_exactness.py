@@ -1,13 +1,14 @@
-"""Exact ties of operator 5 and rows of one id in operator 7."""
+"""Exact ties of operator 5 and rows of one id in operators 4 and 7."""
 
 import itertools
+import zlib
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from mentions.llm import itq, substring
+from mentions.llm import itq, substring, toxicity
 from mentions.llm.oracles import OP5
 from tests.llm import brute
 from tests.llm.conftest import rows_of
@@ -70,3 +71,18 @@ def test_known_anchors_are_dealt_over_parts(spark, frame, monkeypatch):
     assert len(sizes) > 3 and max(sizes) < 0.6 * sum(sizes)
     assert rows_of(substring.remove_repeats(frame(docs)), "doc_id", "n_words", "n_removed") == sorted(
         [r[:3] for r in brute.op7(docs)], key=repr)
+
+
+def test_toxicity_learns_from_no_more_rows_than_its_bound(spark):
+    rows = [(1, f"text {i % 300}") for i in range(600)] + [(3, None), (3, ""), (4, "one text"), (None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (4, 0), (9, 1)], "doc_id long, toxic int")
+    usable = {i for i in (1, 3, 4) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert 1 in usable
+    every = [tuple(r) for r in toxicity.training_rows(docs, labels, 10_000).collect()]
+    assert sorted(t for t, y in every if y) == sorted(f"text {i}" for i in range(300))
+    assert len(every) == 300 + len(usable & {3, 4})
+    some = [tuple(r) for r in toxicity.training_rows(docs, labels, 10).collect()]
+    assert len(some) == 10 and set(some) <= set(every)
+    assert sorted(some) == sorted(map(tuple, toxicity.training_rows(docs.repartition(3), labels, 10).collect()))
+    assert toxicity.training_rows(docs, labels.limit(0), 10).count() == 0

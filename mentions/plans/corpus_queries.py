@@ -174,7 +174,7 @@ def concept_time_series_totals_window(spark, sf_dir):
     return S.series_from_totals(_summarised(spark, v["concepts"], v["date_info"]), SERIES_NAMES, WINDOW_DAYS, interval=WINDOW)
 
 
-@register("idf_kept", ids=("AG-21", "FL-15"), oracle=with_views(f"""
+@register("idf_kept", ids=("AG-21",), oracle=with_views(f"""
 , {_bags(ROLE)}
 SELECT concept, doc_freq, {r("idf")} AS idf FROM idf""", "token_concepts"))
 def idf_kept(spark, sf_dir):

@@ -63,7 +63,7 @@ IMPL = {
     "J-04": ("operators.absa.worst_rated_entities", "inner join (D11)"),
     "J-05": ("operators.absa.opinion_strings", ""),
     "J-06": ("operators.absa.entity_texts", ""),
-    "J-07": ("operators.series.concept_time_series", "tick arithmetic, no range join"),
+    "J-07": ("operators.series.concept_time_series; operators.series.series_from_totals", "tick arithmetic, no range join"),
     "J-08": ("operators.series.concept_time_series", ""),
     "J-09": ("operators.common.lookup", ""),
     "J-10": ("operators.series.concept_time_series", "grid by exploding a sequence"),
@@ -86,10 +86,10 @@ IMPL = {
     "AG-17": ("operators.absa.entity_sentiment", ""),
     "AG-18": ("operators.absa.opinion_strings", "long form"),
     "AG-19": ("operators.absa.entity_texts", "long form"),
-    "AG-20": ("operators.corpus.concept_bags", "bag as a table"),
-    "AG-21": ("operators.corpus.idf", ""),
-    "AG-22": ("operators.corpus.idf_filter", ""),
-    "AG-23": ("operators.series.concept_time_series", ""),
+    "AG-20": ("operators.corpus.concept_bags; operators.frequencies", "bag as a table"),
+    "AG-21": ("operators.corpus.idf; operators.frequencies", ""),
+    "AG-22": ("operators.corpus.idf_filter; operators.frequencies", ""),
+    "AG-23": ("operators.series.concept_time_series; operators.series.series_from_totals", ""),
     "AG-24": ("operators.common.share_of", "scalar subquery"),
     "AG-25": ("operators.categories.category_pie", ""),
     "SO-01": ("operators.common.top_k", ""),

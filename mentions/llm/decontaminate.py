@@ -4,9 +4,10 @@ A shard is a slice of a partition, about ``SHARD_BYTES`` of documents. Inside
 a task, a shard's words become the integer ids of the benchmark's vocabulary
 (0: not in it), and its suffixes that could hold a whole window are sorted by
 prefix doubling. All test suffixes are then binary-searched at once. The
-benchmark comes in blocks of at most ``BLOCK_BYTES`` of text, each broadcast
-on its own and dropped before the next; documents are never shuffled, so a hot
-source or a passage that many documents share costs no more than its words.
+benchmark comes in blocks of at most ``BLOCK_BYTES``, equal rows once, each
+broadcast on its own and dropped before the next. With one block documents are
+never shuffled, so a hot source or a passage that many documents share costs
+no more than its words; with more, documents are joined once with all hits.
 
 Edge cases: a null or empty text has no words and no hits. An item without
 words has no window. A null item id is written ``null``. Repeated rows each
@@ -15,7 +16,7 @@ get their own result. Empty tables give no rows, or rows without hits.
 
 from __future__ import annotations
 
-from itertools import repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from mentions.llm.common import batches, id_text, row_texts, stored, text_bytes,
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 8 << 20
+#: What an item counts for in a block besides its text and id.
+ROW_BYTES = 64
 
 #: Bytes of a word after lower-casing A-Z: digits, a-z and all of non-ASCII.
 WORD_BYTES = bytes(
@@ -152,14 +155,22 @@ def longest_in_shard(ids: np.ndarray, order: np.ndarray, block: ItemBlock, found
 
 
 def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
-    """The benchmark's rows, block by block; a block holds about ``block_bytes`` of text."""
+    """The benchmark's different rows, block by block, each of at most ``block_bytes`` (or one item).
+
+    They are stored once and come to the driver as a stream, one partition at a time.
+    """
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
-                             F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
-    count = max(1, -(-total // block_bytes))
-    for k in range(count):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k) if count > 1 else items
-        yield [(r.item, r.text.encode()) for r in part.collect()]
+                             F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull()).distinct()
+    held, size = [], 0
+    for r in stored(items, "benchmark").toLocalIterator():
+        text = r.text.encode()
+        more = len(text) + len(r.item) + ROW_BYTES
+        if held and size + more > block_bytes:
+            yield held
+            held, size = [], 0
+        held.append((r.item, text))
+        size += more
+    yield held
 
 
 SPANS = "array<struct<start:long,end:long>>"
@@ -187,9 +198,9 @@ def _hits_in(block: ItemBlock, texts: list[bytes]) -> tuple[np.ndarray, list[lis
     return counts, spans, items
 
 
-def _merged(old: list | None, new: list) -> list[dict]:
+def _merged(spans: list) -> list[dict]:
     out: list[list] = []
-    for a, b in sorted([(s["start"], s["end"]) for s in old or []] + new):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -197,6 +208,28 @@ def _merged(old: list | None, new: list) -> list[dict]:
     return [{"start": a, "end": b} for a, b in out]
 
 
+def _searched(rows: DataFrame, shared, window: int, shard_bytes: int, texts_of, hits_only: bool) -> DataFrame:
+    """``rows`` with their texts searched for the block ``shared``: ``n_words``, ``spans`` and ``items`` are added.
+
+    ``texts_of`` takes the texts from a batch; with ``hits_only`` rows without a hit are left out, and so is ``text``.
+    """
+    kept = rows.drop("text").columns if hits_only else rows.columns
+    schema = rows.select(*kept, F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"),
+                         F.array().cast("array<string>").alias("items")).schema
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(source):
+        block = ItemBlock(shared.value, window)
+        for batch in batches(source, shard_bytes):
+            counts, spans, items = _hits_in(block, text_bytes(texts_of(batch)))
+            out = pa.RecordBatch.from_arrays(
+                [*[batch[n] for n in kept], pa.array(counts, pa.int64()), pa.array(list(map(_merged, spans)), kind),
+                 pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=[*kept, "n_words", "spans", "items"])
+            yield out.take(pa.array(np.flatnonzero([len(x) > 0 for x in spans]))) if hits_only else out
+
+    return rows.mapInArrow(run, schema)
+
+
 def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                 text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                 block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -205,31 +238,45 @@ def match_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_
     Returns one row per input row: ``doc_id``, ``row`` (the input row),
     ``n_words``, ``spans`` (merged word spans inside an occurrence of a
     window) and ``items`` (ids of items with an occurring window, sorted as
-    strings). Map-only: one pass over the documents per benchmark block.
+    strings). Map-only where the benchmark is one block. Else documents are
+    read once per block and what is kept of a block is its hits, by id and
+    digest of the text (rows equal in both have equal hits).
     """
     spark = docs.sparkSession
-    state = whole_rows(docs, id_col).select(
-        "doc_id", "row", F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
-    schema = state.schema
-    for k, rows in enumerate(blocks_of(benchmark, item_col, item_text, block_bytes)):
-        if k:
-            state = stored(state, "decontaminate")
-        shared = spark.sparkContext.broadcast(rows)
-
-        def run(source, shared=shared):
-            block = ItemBlock(shared.value, window)
-            for batch in batches(source, shard_bytes):
-                counts, spans, items = _hits_in(block, text_bytes(row_texts(batch, text_col)))
-                old_spans, old_items = batch["spans"].to_pylist(), batch["items"].to_pylist()
-                put = {"n_words": pa.array(counts, pa.int64()),
-                       "spans": pa.array(list(map(_merged, old_spans, spans)), batch.schema.field("spans").type),
-                       "items": pa.array([sorted({*(a or ()), *b}) for a, b in zip(old_items, items, strict=True)],
-                                         batch.schema.field("items").type)}
-                yield pa.RecordBatch.from_arrays([put.get(n, batch[n]) for n in batch.schema.names], schema=batch.schema)
-
-        state = state.mapInArrow(run, schema)
-    return state
+    rows = whole_rows(docs, id_col)
+    blocks = blocks_of(benchmark, item_col, item_text, block_bytes)
+    last, *others = islice(blocks, 2)
+    if not others:
+        return _searched(rows, spark.sparkContext.broadcast(last), window, shard_bytes, lambda b: row_texts(b, text_col), False)
+    # null texts have no hits
+    keyed = id_text(docs, id_col, text_col).where(F.col("text").isNotNull())
+    keyed = keyed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"), "text")
+    hits = None
+    for block in chain([last, *others], blocks):
+        shared = spark.sparkContext.broadcast(block)
+        found = _searched(keyed, shared, window, shard_bytes, lambda b: b["text"], True)
+        found = stored(found.select("doc_id", "key", "spans", "items").distinct(), "decontaminate")
+        shared.unpersist()
+        hits = found if hits is None else hits.unionByName(found)
+    # at most one row per block and key
+    hits = hits.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"),
+                                             F.flatten(F.collect_list("items")).alias("items"))
+
+    def merge(source):
+        for batch in source:
+            spans = [_merged([(s["start"], s["end"]) for s in x]) for x in batch["spans"].to_pylist()]
+            items = [sorted(set(x)) for x in batch["items"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], pa.array(spans, batch["spans"].type),
+                                              pa.array(items, pa.list_(pa.string()))], schema=batch.schema)
+
+    hits = hits.mapInArrow(merge, hits.schema)
+    none = spark.sparkContext.broadcast([])
+    counted = _searched(rows, none, window, shard_bytes, lambda b: row_texts(b, text_col), False).drop("spans", "items")
+    key = F.md5(F.col("row").getField(text_col).cast("string").cast("binary"))
+    joined = counted.withColumn("key", key).alias("l").join(
+        hits.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.key") == F.col("r.key")), "left")
+    return joined.select("l.doc_id", "l.row", "l.n_words", F.coalesce("r.spans", F.array().cast(SPANS)).alias("spans"),
+                         F.coalesce("r.items", F.array().cast("array<string>")).alias("items"))
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",

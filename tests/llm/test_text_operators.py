@@ -1,6 +1,7 @@
 """Operators 1, 2, 3, 7 and 8 against plain Python, on small documents with every edge case."""
 
 import random
+from itertools import chain
 
 import numpy as np
 import pytest
@@ -32,6 +33,23 @@ def digest1(found):
     return rows_of(found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)), *DIGEST1)
 
 
+def test_benchmark_blocks_are_bounded(spark):
+    rows = [("same", "w " * 100)] * 500 + [(f"i{k}", f"w{k} " * 100) for k in range(200)]
+    table = spark.createDataFrame(rows, "item_id string, text string")
+    blocks = list(decontaminate.blocks_of(table, "item_id", "text", 4000))
+    assert sorted(chain(*blocks)) == sorted((i, t.encode()) for i, t in set(rows))
+    assert all(sum(len(i) + len(t) + decontaminate.ROW_BYTES for i, t in b) <= 4000 for b in blocks)
+    assert list(decontaminate.blocks_of(bench(spark, []), "item_id", "text", 4000)) == [[]]
+
+
+def test_many_blocks_give_the_rows_of_one(spark, frame, corpus, items):
+    docs = frame([*corpus, *corpus[:20], (None, corpus[10][1]), (None, corpus[10][1]), (None, None)])
+    columns = ["doc_id", "row", "n_words", "spans", "items"]
+    one, many = (sorted(decontaminate.match_spans(docs, bench(spark, [*items, *items]), block_bytes=n).select(*columns).collect(), key=repr)
+                 for n in (1 << 20, 60))
+    assert one == many
+
+
 @pytest.mark.parametrize("block_bytes,shard_bytes", [(1 << 20, 1 << 20), (60, 500)])
 def test_contamination(spark, frame, corpus, items, block_bytes, shard_bytes):
     found = decontaminate.contamination(frame(corpus), bench(spark, items), block_bytes=block_bytes, shard_bytes=shard_bytes)

@@ -138,6 +138,19 @@ def csv_permuted_columns(spark, sf_dir):
     return rounded(TableSet.from_path(spark, path, "csv", multi_line=False)["concepts"])
 
 
+@register("csv_line_breaks", ids=("SC-01",), oracle="""
+SELECT doc_id, CAST(0 AS BIGINT) AS text_order, COALESCE(text, '') AS normalized_text FROM documents""")
+def csv_line_breaks(spark, sf_dir):
+    """Whole texts, with their line breaks and quotes, from CSV files that are read in splits."""
+    path = scratch_dir(spark, "line-breaks")
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", F.lit(0).cast("long").alias("text_order"), F.col("text").alias("normalized_text"))
+    texts.write.options(header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
+        f"{path}/absa_normalized_texts.csv")
+    back = TableSet.from_path(spark, path, "csv")["absa_normalized_texts"]
+    return back.select("doc_id", "text_order", F.coalesce("normalized_text", F.lit("")).alias("normalized_text"))
+
+
 @register("projected_concepts", ids=("PF-13",), oracle=with_views(
     "SELECT DISTINCT concept, concept_type FROM concepts", "concepts"))
 def projected_concepts(spark, sf_dir):

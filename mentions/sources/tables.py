@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from mentions.errors import NoRelevantData
 from mentions.operators import common as C
 from mentions.schemas import ANALYSIS, CALL_TABLES, TABLES, conform
+from mentions.sources.records import read_quoted_csv
 
 FORMATS = ("parquet", "csv")
 
@@ -24,19 +25,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     """A CSV table by its header: columns are found by name, in any order.
 
     Values are read as text and cast to the declared types, so a value that
-    doesn't fit fails the query. ``enforceSchema`` off makes Spark hold every
-    file's header against the first one's. ``multi_line`` allows line breaks
-    in quoted values, but then a file can't be split; switch it off for large
-    files without such values.
+    doesn't fit fails the query, as does a file whose header differs from the
+    first one's. ``multi_line`` allows line breaks in quoted values; files are
+    read in splits then too (:mod:`mentions.sources.records`), at the price of
+    one shuffle of the lines. Switch it off for files without such values.
     """
-    reader = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-              .option("mode", "FAILFAST"))
-    names = reader.csv(path).columns  # reads the header
-    missing = [f.name for f in schema.fields if f.name not in names]
+    reader = spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST")
+    names = reader.option("multiLine", multi_line).csv(path).columns  # reads the header
+    wanted = [f.name for f in schema.fields]
+    missing = [n for n in wanted if n not in names]
     if missing:
         raise ValueError(f"{path} has no columns {missing}")
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = reader.option("enforceSchema", False).schema(text).csv(path)
+    if multi_line:
+        rows = read_quoted_csv(spark, path, names, wanted)
+    else:
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = reader.option("multiLine", False).option("enforceSchema", False).schema(text).csv(path)
     return rows.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

@@ -16,7 +16,7 @@ from mentions.plans import load_all  # noqa: E402
 
 # id -> (implementation, note)
 IMPL = {
-    "SC-01": ("sources.tables.TableSet.from_path", ""),
+    "SC-01": ("sources.tables.TableSet.from_path; sources.records", "quoted CSV read in splits"),
     "SC-02": ("sources.tables.TableSet.from_path(backup_suffix=)", ""),
     "SC-03": ("sources.tables.TableSet(...)", ""),
     "SC-04": ("sources.tables.TableSet.from_analyses / from_json / from_results", "malformed, untyped and unordered input fails"),

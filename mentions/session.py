@@ -10,10 +10,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: The folder of a local session where that is unset (a running session can't change ``spark.checkpoint.dir``).
+LOCAL_KEY = "mentions.scratch.local"
+RUN_KEY = "mentions.scratch.run"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "mentions") -> SparkSession:
@@ -51,15 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it; a folder of the driver's machine would not be seen
     by executors, so on a cluster an unset name is an error. A ``local``
     master has one machine: there, as in tests, a fresh folder below the
-    system temp folder is used and set for the session.
+    system temp folder is used and remembered in the session.
     """
-    current = spark.conf.get(CHECKPOINT_KEY, None)
+    current = spark.conf.get(CHECKPOINT_KEY, None) or spark.conf.get(LOCAL_KEY, None)
     if not current:
         master = spark.conf.get("spark.master", "")
         if not (master == "local" or master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="mentions-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, current)
+        spark.conf.set(LOCAL_KEY, current)
     return current
 
 
@@ -67,8 +73,43 @@ def scratch_dir(spark: SparkSession, tag: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint directory.
 
     Intermediate files go to the cluster's shared folder, never to a
-    machine-local temp dir that other executors cannot see.
+    machine-local temp dir that other executors cannot see. They stay until
+    :func:`clear_scratch`, or until the end of the :func:`scratch_run` in
+    which the folder was made.
     """
-    import uuid
+    run = spark.conf.get(RUN_KEY, None) or "session"
+    return f"{_application_scratch(spark)}/{run}/{tag}-{uuid.uuid4().hex}"
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/mentions-{tag}/{uuid.uuid4().hex}"
+
+def _application_scratch(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/mentions-{spark.conf.get('spark.app.id', 'application')}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hpath, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of this Spark application; results that are not collected or written are lost."""
+    _delete(spark, _application_scratch(spark))
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """One scratch folder for all that the block makes, removed at its end (also if it fails).
+
+    DataFrames made inside read from it when they run, so collect or write
+    them inside. Runs may be nested; a session has one at a time, so runs of
+    several threads need sessions of their own (``spark.newSession()``).
+    """
+    outer, run = spark.conf.get(RUN_KEY, None), f"run-{uuid.uuid4().hex}"
+    spark.conf.set(RUN_KEY, run)
+    try:
+        yield f"{_application_scratch(spark)}/{run}"
+    finally:
+        if outer is None:
+            spark.conf.unset(RUN_KEY)
+        else:
+            spark.conf.set(RUN_KEY, outer)
+        _delete(spark, f"{_application_scratch(spark)}/{run}")

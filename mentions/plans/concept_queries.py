@@ -5,7 +5,7 @@ from __future__ import annotations
 from mentions.operators import concepts as K
 from mentions.plans.registry import REGISTRY, r, register, rounded
 from mentions.session import scratch_dir
-from mentions.sources.bucketed import BucketedSink
+from mentions.sources.bucketed import BucketedSink, buckets_for
 from mentions.sources.postings import write_postings
 from mentions.sources.views import load_views, with_views
 
@@ -85,8 +85,9 @@ def co_occurring_concepts(spark, sf_dir):
 def co_occurring_concepts_postings(spark, sf_dir):
     """As above over the bucketed layout, the anchor's texts from the postings."""
     path = scratch_dir(spark, "concept-postings")
-    sink = BucketedSink(spark, path, f"c{path[-32:]}_", 8)
-    sink.write({"concepts": _v(spark, sf_dir)["concepts"]})
+    v = _v(spark, sf_dir)
+    sink = BucketedSink(spark, path, f"c{path[-32:]}_", buckets_for(v.raw("lineitem").count()))
+    sink.write({"concepts": v["concepts"]})
     concepts = sink.open()["concepts"]
     return K.co_occurring_concepts(concepts, ANCHOR, n=N, postings=write_postings(concepts, "concept", f"{path}/postings"))
 

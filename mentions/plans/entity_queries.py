@@ -6,7 +6,7 @@ from mentions.operators import absa as A
 from mentions.operators import categories as G
 from mentions.plans.registry import REGISTRY, r, register, rounded
 from mentions.session import scratch_dir
-from mentions.sources.bucketed import BucketedSink
+from mentions.sources.bucketed import BucketedSink, buckets_for
 from mentions.sources.postings import write_postings
 from mentions.sources.views import load_views, with_views
 
@@ -121,8 +121,9 @@ def co_occurring_entities(spark, sf_dir):
 def co_occurring_entities_postings(spark, sf_dir):
     """As above over the bucketed layout, the anchor's texts from the postings."""
     path = scratch_dir(spark, "entity-postings")
-    sink = BucketedSink(spark, path, f"e{path[-32:]}_", 8)
-    sink.write({"absa_entities": load_views(spark, sf_dir)["absa_entities"]})
+    v = load_views(spark, sf_dir)
+    sink = BucketedSink(spark, path, f"e{path[-32:]}_", buckets_for(v.raw("lineitem").count()))
+    sink.write({"absa_entities": v["absa_entities"]})
     entities = sink.open()["absa_entities"]
     return A.co_occurring_entities(entities, ANCHOR, N, postings=write_postings(entities, "entity_name", f"{path}/postings"))
 
@@ -161,7 +162,7 @@ def best_rated_bucketed(spark, sf_dir):
     """As ``best_rated_entities``, over tables bucketed by the join's keys."""
     v = load_views(spark, sf_dir)
     path = scratch_dir(spark, "bucketed")
-    sink = BucketedSink(spark, path, f"bucketed_{path.rsplit('/', 1)[-1]}_", BUCKETS)
+    sink = BucketedSink(spark, path, f"b{path[-32:]}_", buckets_for(v.raw("lineitem").count(), BUCKETS))  # a catalog name: no "-"
     sink.write({"absa_relations": v["absa_relations"], "absa_relations_entities": v["absa_relations_entities"]})
     tables = sink.open()
     return rounded(A.best_rated_entities(tables["absa_relations"], tables["absa_relations_entities"], N))

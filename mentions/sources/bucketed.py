@@ -29,11 +29,20 @@ BUCKET_KEYS = {
 }
 
 
+#: Rows that one bucket, which one task sorts and reads, should hold.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets for a table of so many rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 class BucketedSink:
     """Catalog tables ``<prefix><table>``; those of :data:`BUCKET_KEYS` are bucketed and sorted."""
 
     def __init__(self, spark: SparkSession, path: str, prefix: str, buckets: int):
-        """``buckets`` should make a bucket about as large as a task should read (e.g. 128 MB)."""
+        """``buckets`` should make a bucket about as large as a task should read (e.g. 128 MB; see :func:`buckets_for`)."""
         if buckets < 1:
             raise ValueError("buckets must be positive")
         self.spark, self.path, self.prefix, self.buckets = spark, path.rstrip("/"), prefix, buckets

@@ -22,6 +22,45 @@ def test_lines_are_shuffled_by_order_once(spark):
     assert sum("hashpartitioning(ok" in line for line in text.splitlines()) == 1
 
 
+def test_rows_of_a_group_are_found_once(spark):
+    """Lists are searched for texts, concepts and line numbers once each, and for what is not NULL: not again for each use."""
+    text = build_nested_orders(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("filter(") <= 6
+
+
+def test_nesting_of_repeated_lines_and_missing_values(spark, tmp_path):
+    def put(name, schema, rows):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("nation", "n_nationkey int, n_name string", [(1, "PERU")])
+    put("supplier", "s_suppkey long, s_nationkey int", [(5, 1)])
+    put("part", "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+        [(1, "b", "Brand#1", "Big", 4), (2, "a", "Brand#1", "Big", 2), (3, None, None, None, None)])
+    put("lineitem", "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string",
+        [(7, 2, 1, 5, 3.0, 0.2, 0.1, "R", "O"), (7, 2, 2, 6, 4.0, None, 0.0, "A", "F"), (7, 1, 3, 5, None, None, None, None, None),
+         (7, 5, 1, 5, 1.0, 0.1, 0.1, "N", "F")])
+    got = build_nested_orders(spark, str(tmp_path)).collect()[0].asDict(recursive=True)
+    first = got["concepts"][0]
+    assert [(c["concept"], c["type"], c["freq"], c["relevance_score"]) for c in first] == [(None, None, None, None), ("Brand#1", "big", 7, 0.2)]
+    assert first[1]["surface"] == [{"surface_string": "a", "span": [2, 4]}, {"surface_string": "b", "span": [2, 6]}]
+    assert got["sentiment"] == [{"sentiment_value": 0.2}, {"sentiment_value": 0.1}]
+    one, two = got["absa"][0]["relations"]
+    assert one["semantics"] == {"entity": [{"type": None, "value": None}, {"type": "nation", "value": "PERU"}],
+                                "opinion_holder": None, "restriction": None, "sentiment_value": None}
+    big = {"type": "big", "value": "Brand#1"}
+    assert two["semantics"] == {"entity": [big, big, {"type": "nation", "value": "PERU"}], "opinion_holder": "A", "restriction": "F",
+                                "sentiment_value": 100.0}
+    assert two["surface"] == {"span": [2, 4], "surface_string": "a"} and not two["external_entity"]
+    assert got["absa"][0]["evaluations"][1]["semantics"]["entity"] == [big, big]
+    assert [c["label"] for c in got["categories"][0]] == [None, "big", "big"] and len(got["absa"][1]["entities"]) == 1
+
+
+def test_spans_need_no_lambda(spark):
+    rows = spark.createDataFrame([([1, None, 3],), (None,), ([],)], "s array<int>").select(FL._span(F.col("s")).alias("s"))
+    assert [r.s for r in rows.collect()] == ["1-3", None, ""]
+    assert "lambda" not in plan(rows)
+
+
 def test_staging_computes_the_analyses_once(spark):
     seen = spark.sparkContext.accumulator(0)
 

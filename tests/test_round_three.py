@@ -74,6 +74,18 @@ def test_staging_computes_the_analyses_once(spark):
     assert {r.seq: r.doc_base for r in staged.analyses().collect()} == {k: k for k in range(100)}
 
 
+def test_ids_are_assigned_from_analyses_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    rows = [{"seq": k, "single_document": False, "sentiment": [{"sentiment_value": 1.0}] * 2} for k in range(50)]
+    ids = FL.assign_doc_ids(spark.createDataFrame(rows, ANALYSIS).mapInArrow(count, ANALYSIS)).collect()
+    assert seen.value == 50 and {r.seq: r.doc_base for r in ids} == {k: 2 * k for k in range(50)}
+
+
 def test_staging_checks_seq_and_leaves_no_table(spark):
     before = {t.name for t in spark.catalog.listTables()}
     for seqs in ([1, None], [3, 3]):

@@ -86,6 +86,19 @@ def test_ids_are_assigned_from_analyses_computed_once(spark):
     assert seen.value == 50 and {r.seq: r.doc_base for r in ids} == {k: 2 * k for k in range(50)}
 
 
+def test_staged_rows_are_packed_tight(spark, tmp_path, monkeypatch):
+    seen, real = [], FL._with_places
+
+    def watched(stored, *args):
+        seen.extend(stored.inputFiles())
+        return real(stored, *args)
+    monkeypatch.setattr(FL, "_with_places", watched)
+    rows = [{"seq": k, "single_document": True, "sentiment": [{"sentiment_value": 1.0}]} for k in range(100)]
+    staged = FL.stage_analyses(spark.createDataFrame(rows, ANALYSIS), f"{tmp_path}/staged")
+    assert staged.used == 100 and seen  # what is stored first, and what stays
+    assert all(f.endswith(".zstd.parquet") for f in seen + staged.rows.inputFiles())
+
+
 def test_staging_checks_seq_and_leaves_no_table(spark):
     before = {t.name for t in spark.catalog.listTables()}
     for seqs in ([1, None], [3, 3]):

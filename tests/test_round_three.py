@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentions.operators import flatten as FL
+from mentions.plans import flatten_queries as FQ
 from mentions.plans import load_all
 from mentions.plans.flatten_queries import build_nested_orders
+from mentions.plans.registry import rounded
 from mentions.schemas import ANALYSIS
 from tests.conftest import SF_SMALL
 from tests.test_plans import plan
@@ -150,3 +152,33 @@ def test_csv_without_line_breaks_is_not_shuffled(spark, tmp_path):
     (tmp_path / "c.csv").write_text('x,y\n4,"e\nf"\n')
     got = sorted((r.record, r.header) for r in csv_records(spark, str(tmp_path)).collect())
     assert got[3:5] == [('4,"e\nf"', False), ("x,y", True)] and len(got) == 7
+
+
+def _shuffle_bytes(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_staging_leaves_no_shuffled_rows(spark):
+    """The shuffle files of the analyses are gone when they are stored, not when the driver collects its garbage."""
+    text = F.to_json(F.array(F.struct(F.sha2(F.col("id").cast("string"), 512).alias("normalized_text"))))
+    rows = spark.range(20_000).select(F.col("id").alias("seq"), F.from_json(text, ANALYSIS["absa"].dataType).alias("absa")).repartition(3, "seq")
+    before = _shuffle_bytes(spark)
+    staged = FL.stage_analyses(rows)
+    assert staged.used == 20_000
+    assert _shuffle_bytes(spark) - before < 1_000_000  # 128 bytes of text a row
+
+
+def test_slices_are_staged_one_by_one(spark, monkeypatch):
+    """Slices of the orders: no order in two, the same rows in all, the same ids, each computed by a write of its own."""
+    whole = FQ.build_nested_orders(spark, SF_SMALL)
+    monkeypatch.setattr(FQ, "SLICE_LINES", 1_000)
+    slices = FQ.order_slices(spark, SF_SMALL)
+    assert len(slices) == FQ.MAX_SLICES
+    seqs = [{r.seq for r in s.select("seq").collect()} for s in slices]
+    assert all(seqs) and sum(map(len, seqs)) == len(set().union(*seqs)) == whole.count()
+    with_all, in_slices = FL.stage_analyses(whole), FL.stage_analyses(slices)
+    assert in_slices.used == with_all.used and in_slices.calls == with_all.calls
+    for name, table in with_all.tables().items():
+        assert sorted(map(repr, rounded(in_slices.tables()[name]).collect())) == sorted(map(repr, rounded(table).collect())), name
+    assert sum("xxhash64" in plan(s) for s in slices) == len(slices)

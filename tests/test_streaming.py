@@ -104,3 +104,101 @@ def test_malformed_line_fails_the_stream(spark, tmp_path):
     query = start_ingest(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt"))
     with pytest.raises(Exception):
         query.awaitTermination()
+
+
+def _json_rows(rows):
+    return sorted(map(repr, rows.collect()))
+
+
+def test_ingest_stores_analyses_once_and_removes_them(spark, analysis, tmp_path, monkeypatch):
+    """The nested rows of a batch are stored once, tables are written without shuffling them, and nothing of them is left."""
+    from tests.test_plans import plan
+
+    from mentions.operators import flatten as FL
+    from mentions.session import scratch_run
+    from mentions.sources.tables import children
+    from mentions.streaming import ingest
+
+    seen, real = [], ingest._write
+
+    def watched(staged, *args):
+        seen.extend([staged.rows.inputFiles(), plan(staged.tables()["absa_relations"])])
+        return real(staged, *args)
+    monkeypatch.setattr(ingest, "_write", watched)
+    target = str(tmp_path / "out")
+    batch = spark.createDataFrame([dict(analysis, seq=s) for s in (7, 3, -1, 5)], ANALYSIS).repartition(3)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with scratch_run(spark) as scratch:
+            ingest_batch(batch, 0, target)
+            assert children(spark, scratch) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    files, shown = seen
+    assert all("/dealt/" in f or "/places/" in f for f in files) and "Exchange" not in shown and "Sort" not in shown
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("staged_", "places_"))]
+    tables = TableSet.from_path(spark, target)
+    want = FL.stage_analyses(batch).tables()
+    assert tables.names() == list(want)
+    for name, rows in want.items():
+        assert _json_rows(tables[name]) == _json_rows(rows), name
+
+
+def test_batch_with_repeated_seq_is_refused(spark, analysis, tmp_path):
+    import pytest
+
+    for seqs, said in (([4, 4], "seq 4 occurs more than once"), ([1, None], "1 analyses without seq")):
+        with pytest.raises(ValueError, match=said):
+            ingest_batch(spark.createDataFrame([dict(analysis, seq=s) for s in seqs], ANALYSIS), 0, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_batch_is_not_committed_if_a_table_fails(spark, analysis, tmp_path, monkeypatch):
+    import pytest
+
+    from mentions.operators import flatten as FL
+
+    target = str(tmp_path / "out")
+    batch = spark.createDataFrame([dict(analysis, seq=0)], ANALYSIS)
+    with monkeypatch.context() as m:
+        m.setitem(FL.FLATTENERS, "sentiments", lambda rows, real=FL.flatten_sentiments: real(rows).filter(F.raise_error(F.lit("disk full")).isNull()))
+        with pytest.raises(Exception, match="disk full"):
+            ingest_batch(batch, 0, target)
+    assert ingested_ids(spark, target).count() == 0
+    ingest_batch(batch, 0, target)
+    assert TableSet.from_path(spark, target)["sentiments"].count() == 2
+
+
+def test_lines_are_not_shuffled_by_supplier(spark):
+    """Small suppliers are broadcast: a join of them with the nations is taken for a large table, and was shuffled with all lines."""
+    from tests.conftest import SF_SMALL
+    from tests.test_plans import plan
+
+    from mentions.plans import flatten_queries as FQ
+    from mentions.sources.views import Raw
+
+    assert "suppkey" in plan(FQ._lines(Raw(spark, SF_SMALL))) and "hashpartitioning(l_suppkey" not in plan(FQ._lines(Raw(spark, SF_SMALL)))
+
+
+def test_range_of_orders_is_found_without_nesting(spark):
+    from tests.conftest import SF_SMALL
+
+    from mentions.plans import flatten_queries as FQ
+
+    analyses = FQ.build_nested_orders(spark, SF_SMALL)
+    assert FQ.seq_range(spark, SF_SMALL) == tuple(analyses.agg(F.min("seq"), F.max("seq")).first())
+
+
+def test_json_is_packed_for_speed_or_size(spark, tmp_path):
+    from mentions.plans.flatten_queries import write_json
+    from mentions.sources.tables import read_analyses
+
+    rows = spark.range(20_000).select(F.col("id").alias("seq"), F.array(F.struct(F.sin("id").alias("sentiment_value"))).alias("sentiment")).coalesce(1)
+    size = {}
+    for level in ("DEFAULT_COMPRESSION", "BEST_SPEED"):
+        path = tmp_path / level
+        write_json(rows, str(path), level)
+        size[level] = sum(f.stat().st_size for f in path.glob("*.json.gz"))
+        assert _json_rows(read_analyses(spark, str(path)).select("seq", "sentiment")) == _json_rows(rows)
+    assert 0 < size["DEFAULT_COMPRESSION"] < size["BEST_SPEED"]

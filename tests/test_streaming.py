@@ -122,7 +122,9 @@ def test_ingest_stores_analyses_once_and_removes_them(spark, analysis, tmp_path,
     seen, real = [], ingest._write
 
     def watched(staged, *args):
-        seen.extend([staged.rows.inputFiles(), plan(staged.tables()["absa_relations"])])
+        table = staged.tables()["absa_relations"]
+        seen.extend([staged.rows.inputFiles(), plan(table)])
+        assert table.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))  # not four times as many
         return real(staged, *args)
     monkeypatch.setattr(ingest, "_write", watched)
     target = str(tmp_path / "out")
